@@ -41,19 +41,17 @@ def _corr(a: str, b: str):
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Long correlation matrix (col_a, col_b, r), all ordered pairs, from one
-    aggregate of the upper triangle."""
-    d = df.select(*[F.col(c).cast("double") for c in cols])
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = d.agg(*[_corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    cells = []
-    for i, j in pairs:
-        cells.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                              F.col(f"r_{i}_{j}").alias("r")))
-        if i != j:
-            cells.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                  F.col(f"r_{i}_{j}").alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+    """Long correlation matrix (col_a, col_b, r), all ordered pairs. The data
+    pass is the centred moment matrix (two constant-size aggregates); r is
+    S_ab / sqrt(S_aa S_bb), null where a column is constant."""
+    _, _, S = moments(df, cols)
+    d = np.sqrt(np.diag(S))
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            r = float(S[i, j] / (d[i] * d[j])) if d[i] > 0 and d[j] > 0 else None
+            rows.append((a, b, r))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def corr_with(df: DataFrame, cols: list[str], target: str) -> DataFrame:

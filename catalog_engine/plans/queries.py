@@ -21,7 +21,7 @@ from ..operators import ranking as R
 from ..operators import stats as ST
 from ..operators import store as IO
 from ..operators import trends as TR
-from ..operators.prep import clean_releases, entity_releases, preprocess
+from ..operators.prep import clean_releases, entity_releases
 from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS
 from ..sources import tables as TB
 
@@ -58,7 +58,7 @@ def raw(spark, d):
 
 
 def prep(spark, d):
-    return preprocess(raw(spark, d))
+    return TB.analysis_store(spark, d)
 
 
 def clean(spark, d):
@@ -74,12 +74,12 @@ def q_releases(spark, d):
 
 @query("q_normalise_payloads")
 def q_normalise_payloads(spark, d):
-    return rounded(ET.normalise_payloads(TB.payloads_from_tables(spark, d)))
+    return rounded(ET.normalise_payloads(TB.payload_store(spark, d)))
 
 
 @query("q_normalise_search")
 def q_normalise_search(spark, d):
-    return rounded(ET.normalise_search(TB.search_hits(spark, d), TB.payloads_from_tables(spark, d)))
+    return rounded(ET.normalise_search(TB.search_hits(spark, d), TB.payload_store(spark, d)))
 
 
 @query("q_clean_releases")
@@ -96,7 +96,7 @@ def q_missing_ids(spark, d):
 def _search_batch(spark, d):
     """A search ingest batch with one replayed page: the replay carries a
     marked title and a later position, so first-wins is observable."""
-    rows = ET.normalise_search(TB.search_hits(spark, d), TB.payloads_from_tables(spark, d))
+    rows = ET.normalise_search(TB.search_hits(spark, d), TB.payload_store(spark, d))
     first = rows.withColumn("_pos", F.lit(0))
     replay = rows.withColumn("title", F.concat("title", F.lit(" (replay)"))).withColumn("_pos", F.lit(1))
     return first.unionByName(replay)

@@ -153,10 +153,11 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_hits(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None) -> DataFrame:
     """One search hit per order (orders without lines included, with empty
     token lists): id, title, year, genre[], style[], format[]."""
-    f = order_facts(spark, sf_dir).select("id", "genres", "styles", "format_names")
+    p = payloads if payloads is not None else payload_store(spark, sf_dir)
+    f = p.select("id", "genres", "styles", F.transform("formats", lambda x: x["name"]).alias("format_names"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     o = orders.join(cust, orders.o_custkey == cust.c_custkey)
@@ -184,17 +185,50 @@ def interacted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", "user_id").select(F.col("user_id").alias("id")).distinct()
 
 
+_CODE_FILES = ["sources/tables.py", "operators/prep.py", "operators/etl.py", "functions/scores.py",
+               "functions/numeric.py", "functions/nested.py", "functions/text.py", "schemas.py"]
+
+
+def _code_hash() -> str:
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for f in _CODE_FILES:
+        with open(os.path.join(root, f), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
 def _store_path(spark: SparkSession, sf_dir: str) -> str:
     prints = "|".join(path_fingerprint(spark, table_path(sf_dir, t)) for t in SOURCE_TABLES)
-    key = hashlib.sha1(f"{STORE_VERSION}|{prints}".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"{STORE_VERSION}|{_code_hash()}|{prints}".encode()).hexdigest()[:16]
     return f"{checkpoint_root(spark)}/catalog_store/{key}"
 
 
+def _materialised(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bool = False) -> DataFrame:
+    """Write `build()` once under the shared checkpoint folder and read it back."""
+    path = f"{_store_path(spark, sf_dir)}/{name}"
+    if rebuild or not path_exists(spark, path + "/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def release_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The release table, written once to the shared checkpoint folder and
     read back, so every query starts from a short lineage. A rebuild is
-    triggered by any change of the source tables (size, mtime) or STORE_VERSION."""
-    path = _store_path(spark, sf_dir) + "/releases"
-    if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-        releases_from_orders(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    triggered by any change of the source tables (size, mtime), of the code
+    that builds it, or of STORE_VERSION."""
+    return _materialised(spark, sf_dir, "releases", lambda: releases_from_orders(spark, sf_dir), rebuild)
+
+
+def payload_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """Saved release payloads (the input of the ingest jobs)."""
+    return _materialised(spark, sf_dir, "payloads", lambda: payloads_from_tables(spark, sf_dir), rebuild)
+
+
+def analysis_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The prepared analysis frame (preprocess of the release store), with
+    num_tracks and total_duration_min computed once."""
+    from ..operators.prep import preprocess
+    return _materialised(spark, sf_dir, "analysis",
+                         lambda: preprocess(release_store(spark, sf_dir)), rebuild)

@@ -318,6 +318,12 @@ def ols_diagnostics(df: DataFrame, y: str = "lowest_price", xs: list[str] = OLS_
 
 # --- tree importances ---------------------------------------------------------------
 
+def train_test_split(df: DataFrame, test: float = 0.25, seed: int = 42):
+    """Seeded random split into (train, test)."""
+    train, tst = df.randomSplit([1.0 - test, test], seed=seed)
+    return train, tst
+
+
 def _capped(df: DataFrame, cols: list[str], max_categories: int) -> DataFrame:
     """Whole-text categories capped to the most frequent ones; the rest -> 'other'."""
     out = df

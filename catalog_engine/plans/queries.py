@@ -434,3 +434,20 @@ def q_gbt_importance(spark, d):
 def q_stream_ingest(spark, d):
     from ..streaming.ingest import ingest_payload_drops
     return rounded(ingest_payload_drops(spark, d))
+
+
+# --- report and split ----------------------------------------------------------------------------
+
+@query("q_report")
+def q_report(spark, d):
+    """The text summary report, one row per line (section order kept in line_no)."""
+    from .report import render_report, summary_tables
+    text = render_report(summary_tables(prep(spark, d), excluded_style=EXCLUDED_STYLE))
+    return spark.createDataFrame(list(enumerate(text.split("\n"))), "line_no int, line string")
+
+
+@query("q_split_counts")
+def q_split_counts(spark, d):
+    train, test = ST.train_test_split(prep(spark, d), 0.25, seed=42)
+    return train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("part"), "n").unionByName(
+        test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("part"), "n"))

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ID_LIST, RAW_RELEASE, RELEASE_PAYLOAD, SEARCH_STATE
 
 
 def read_releases(spark: SparkSession, path: str, fmt: str = "parquet", schema=RAW_RELEASE) -> DataFrame:
     """All rows of a release table (parquet, json or csv) with an explicit
-    schema; later projections prune the columns at the scan."""
-    r = spark.read.schema(schema)
-    if fmt == "csv":
-        return r.option("header", True).csv(path)
-    return r.format(fmt).load(path)
+    schema; later projections prune the columns at the scan. Text formats
+    are read as text and converted with try_cast, so string-valued exports
+    (every value written as text) read back typed."""
+    if fmt == "parquet":
+        return spark.read.schema(schema).parquet(path)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    r = spark.read.schema(text)
+    df = r.option("header", True).csv(path) if fmt == "csv" else r.format(fmt).load(path)
+    return df.select(*[(F.col(f.name) if isinstance(f.dataType, T.StringType)
+                        else F.col(f.name).try_cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def read_for_clean(df: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ one order.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,11 +206,16 @@ def _store_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_root(spark)}/catalog_store/{key}"
 
 
+_BUILD_LOCK = threading.RLock()
+
+
 def _materialised(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bool = False) -> DataFrame:
-    """Write `build()` once under the shared checkpoint folder and read it back."""
+    """Write `build()` once under the shared checkpoint folder and read it back
+    (callers in several threads of one driver build it once)."""
     path = f"{_store_path(spark, sf_dir)}/{name}"
-    if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+    with _BUILD_LOCK:
+        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
+            build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -309,3 +309,27 @@ def test_distribution_tails():
     assert ST.t_ppf(0.975, 10) == pytest.approx(2.228139, abs=1e-5)
     # F(1, d) tail equals the two-sided t tail
     assert ST.f_sf(4.0, 1, 20) == pytest.approx(2 * ST.t_sf(2.0, 20), rel=1e-9)
+
+
+def test_train_test_split(spark):
+    df = spark.range(2000)
+    a, b = ST.train_test_split(df, 0.25, seed=3)
+    na, nb = a.count(), b.count()
+    assert na + nb == 2000 and 350 < nb < 650
+    assert a.join(b, "id").count() == 0
+
+
+def test_report_sections(spark):
+    from catalog_engine.plans.report import render_report, summary_tables, write_report
+    from catalog_engine.sources.tables import analysis_store
+    df = analysis_store(spark, "/root/testdata/sf0.001")
+    tables = summary_tables(df, excluded_style="Brand#1")
+    assert list(tables)[0] == "Summary" and len(tables) == 10
+    text = render_report(tables)
+    assert text.startswith("=== Release Catalogue Analysis Summary ===")
+    assert "Top 10 Genres:" in text and "Key Correlations:" in text
+    assert f"total_releases: {df.count()}" in text
+    import tempfile
+    out = tempfile.mkdtemp(prefix="catalog-report-") + "/report"
+    write_report(spark, text, out)
+    assert spark.read.text(out).count() == len(text.split("\n"))

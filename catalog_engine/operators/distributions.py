@@ -122,17 +122,17 @@ def box_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> Da
     fences = quart.select("_g", "n", "q1", "median", "q3",
                           (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
     # One row per group: the planner broadcasts it when small, else shuffles.
+    # A value lies beyond a whisker exactly when it lies beyond the fence (the
+    # whiskers are the extreme values inside the fences, and the quartiles
+    # themselves are inside), so one aggregate gives whiskers and outliers.
     j = rows.join(fences, "_g")
     whisk = j.groupBy("_g").agg(
         F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_wl"),
-        F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_wh"))
-    both = fences.join(whisk, "_g").select(
-        "_g", "n", "q1", "median", "q3",
-        F.coalesce("_wl", "q1").alias("whisker_low"), F.coalesce("_wh", "q3").alias("whisker_high"))
-    out = rows.join(both.select("_g", "whisker_low", "whisker_high"), "_g").groupBy("_g").agg(
-        F.count_if((F.col("_v") < F.col("whisker_low")) | (F.col("_v") > F.col("whisker_high"))).alias("n_outliers"))
-    return both.join(out, "_g").withColumnRenamed("_g", group).select(
-        group, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
+        F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_wh"),
+        F.count_if((F.col("_v") < F.col("_lo")) | (F.col("_v") > F.col("_hi"))).alias("n_outliers"))
+    return fences.join(whisk, "_g").withColumnRenamed("_g", group).select(
+        group, "n", "q1", "median", "q3",
+        F.coalesce("_wl", "q1").alias("whisker_low"), F.coalesce("_wh", "q3").alias("whisker_high"), "n_outliers")
 
 
 def box_by_top_genres(df: DataFrame, value: str, n: int = 5) -> DataFrame:
@@ -150,15 +150,18 @@ def points(df: DataFrame, x: str, y: str, colour: str | None = None, bins: int |
     if bins is None:
         p = df.select(x, y, *([colour] if colour else []))
         return p.sample(fraction=fraction, seed=seed) if fraction else p
-    xl, xh = _edges(*_range(df, x)[:2]) if df.limit(1).count() else (0.0, 1.0)
-    yl, yh = _edges(*_range(df, y)[:2]) if df.limit(1).count() else (0.0, 1.0)
+    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    r = both.agg(F.min(x).alias("xl"), F.max(x).alias("xh"), F.min(y).alias("yl"), F.max(y).alias("yh")).first()
+    if r["xl"] is None:
+        xl, xh, yl, yh = 0.0, 1.0, 0.0, 1.0
+    else:
+        (xl, xh), (yl, yh) = _edges(r["xl"], r["xh"]), _edges(r["yl"], r["yh"])
     xb = bin_index(F.col(x).cast("double"), xl, xh, bins).alias("x_bin")
     yb = bin_index(F.col(y).cast("double"), yl, yh, bins).alias("y_bin")
     aggs = [F.count(F.lit(1)).alias("count")]
     if colour:
         aggs.append(F.avg(colour).alias(f"mean_{colour}"))
-    return (df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-              .groupBy(xb, yb).agg(*aggs))
+    return both.groupBy(xb, yb).agg(*aggs)
 
 
 def pairwise(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:

@@ -89,7 +89,8 @@ def q_clean_releases(spark, d):
 
 @query("q_missing_ids")
 def q_missing_ids(spark, d):
-    ids = ET.clean_id_list(TB.order_ids(spark, d))
+    from ..sources.files import read_release_ids
+    ids = read_release_ids(spark, TB.id_list_csv(spark, d))
     return ET.missing_ids(ids, raw(spark, d))
 
 

@@ -232,6 +232,16 @@ def payload_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Da
     return _materialised(spark, sf_dir, "payloads", lambda: payloads_from_tables(spark, sf_dir), rebuild)
 
 
+def id_list_csv(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Path of an id-list CSV (header release_id) holding every order key:
+    the input file of the id-list ingest job, written once."""
+    path = f"{_store_path(spark, sf_dir)}/id_list_csv"
+    with _BUILD_LOCK:
+        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
+            order_ids(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def analysis_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The prepared analysis frame (preprocess of the release store), with
     num_tracks and total_duration_min computed once."""

@@ -106,6 +106,16 @@ def kde(df: DataFrame, col: str, grid: int = 200, prebins: int = 8192) -> DataFr
                        (F.col("_s") * F.lit(norm)).alias("density")))
 
 
+def column_densities(df: DataFrame, cols: list[str], grid: int = 200, prebins: int = 8192) -> DataFrame:
+    """kde of several columns in one long frame (column, grid_index, x,
+    density): the diagonal of the pairwise relation."""
+    out = None
+    for c in cols:
+        k = kde(df, c, grid, prebins).select(F.lit(c).alias("column"), "grid_index", "x", "density")
+        out = k if out is None else out.unionByName(k)
+    return out
+
+
 def box_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
     """Per group: q1, median, q3 (linear interpolation), whiskers = furthest
     values within 1.5 IQR of the quartiles, and the number of points beyond

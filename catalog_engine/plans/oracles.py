@@ -448,20 +448,29 @@ FROM range(0, (SELECT max(num_tracks) FROM prep) + 1) g
 LEFT JOIN (SELECT CAST(num_tracks AS BIGINT) AS v, count(*) AS n FROM prep GROUP BY v) c ON c.v = g.range""")
 
 
-def _kde(col: str, grid: int = Q.KDE_GRID, pre: int = Q.KDE_PREBINS) -> str:
-    return with_base(f"""kd AS (SELECT CAST({col} AS DOUBLE) AS v FROM prep WHERE {col} IS NOT NULL)""", f"""ks AS (
+def _kde_parts(col: str, tag: str = "", grid: int = Q.KDE_GRID, pre: int = Q.KDE_PREBINS, label: bool = False):
+    kd, ks, kc = f"kd{tag}", f"ks{tag}", f"kc{tag}"
+    ctes = [f"""{kd} AS (SELECT CAST({col} AS DOUBLE) AS v FROM prep WHERE {col} IS NOT NULL)""", f"""{ks} AS (
   SELECT min(v) AS lo, max(v) AS hi, count(v) AS n, stddev_samp(v) AS sd,
          CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS plo,
-         CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS phi FROM kd)""", f"""kc AS (
+         CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS phi FROM {kd})""", f"""{kc} AS (
   SELECT least(floor((v - plo) * ({pre} / (phi - plo))), {pre - 1}) AS b, count(*) AS w, avg(v) AS c
-  FROM kd, ks GROUP BY b)""", select=f"""
-SELECT CAST(j.range AS INTEGER) AS grid_index,
-       round(CAST(j.range AS DOUBLE) * ((hi - lo) / {grid - 1}) + lo, 9) AS x,
-       round(sum(w * exp(-0.5 * ((CAST(j.range AS DOUBLE) * ((hi - lo) / {grid - 1}) + lo - c) / (sd * pow(n, -1.0 / 5.0)))
-                                 * ((CAST(j.range AS DOUBLE) * ((hi - lo) / {grid - 1}) + lo - c) / (sd * pow(n, -1.0 / 5.0)))))
-             * (1.0 / (n * (sd * pow(n, -1.0 / 5.0)) * sqrt(2 * pi()))), 9) AS density
-FROM kc CROSS JOIN range({grid}) j CROSS JOIN ks
-GROUP BY j.range, hi, lo, n, sd""")
+  FROM {kd}, {ks} GROUP BY b)"""]
+    g = f"(CAST(j.range AS DOUBLE) * ((hi - lo) / {grid - 1}) + lo)"
+    h = "(sd * pow(n, -1.0 / 5.0))"
+    first = f"{q(col)} AS \"column\", " if label else ""
+    select = f"""
+SELECT {first}CAST(j.range AS INTEGER) AS grid_index, round({g}, 9) AS x,
+       round(sum(w * exp(-0.5 * (({g} - c) / {h}) * (({g} - c) / {h}))) * (1.0 / (n * {h} * sqrt(2 * pi()))), 9)
+         AS density
+FROM {kc} CROSS JOIN range({grid}) j CROSS JOIN {ks}
+GROUP BY j.range, hi, lo, n, sd"""
+    return ctes, select
+
+
+def _kde(col: str) -> str:
+    ctes, select = _kde_parts(col)
+    return with_base(*ctes, select=select)
 
 
 for _n, _c in Q.KDES.items():
@@ -524,6 +533,18 @@ def _pairwise(cols: list[str], k: int = Q.PAIRWISE_BINS) -> str:
 
 ORACLES["q_pairwise"] = _pairwise(Q.PAIRWISE_COLUMNS)
 
+
+def _diagonal(cols: list[str]) -> str:
+    ctes, selects = [], []
+    for i, c in enumerate(cols):
+        cc, sel = _kde_parts(c, tag=str(i), label=True)
+        ctes += cc
+        selects.append(sel)
+    return with_base(*ctes, select="\nUNION ALL\n".join(selects))
+
+
+ORACLES["q_pairwise_diagonal"] = _diagonal(Q.PAIRWISE_COLUMNS)
+
 # --- statistics ---------------------------------------------------------------------------
 
 

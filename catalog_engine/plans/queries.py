@@ -373,6 +373,11 @@ def q_pairwise(spark, d):
     return D.pairwise(prep(spark, d), PAIRWISE_COLUMNS, PAIRWISE_BINS)
 
 
+@query("q_pairwise_diagonal")
+def q_pairwise_diagonal(spark, d):
+    return rounded(D.column_densities(prep(spark, d), PAIRWISE_COLUMNS, KDE_GRID, KDE_PREBINS), 9)
+
+
 # --- statistics and models ----------------------------------------------------------------------
 
 @query("q_corr_matrix")

@@ -18,6 +18,11 @@ orders ⋈ lineitem ⋈ part ⋈ supplier ⋈ customer ⋈ nation, grouped by or
   tracklist         JSON list of {"duration": "<l_linenumber>:<quantity, 2 digits>"}
   youtube_links     video URL with the order key padded to 11 characters
 
+The tables are first turned into release payloads (the shape the catalogue
+service delivers, stored once as `payloads`); the release store is those
+payloads run through the ingest normalisation (operators.etl), so the store is
+built by the same job that ingests real payloads.
+
 Joins are declared plainly: the planner broadcasts a dimension only when its
 measured size is under the broadcast threshold and shuffles otherwise, and
 AQE re-plans with runtime sizes. The per-order aggregate is partial
@@ -33,12 +38,11 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ARTIST_TITLE_SEPARATOR, LIST_SEPARATOR, VIDEO_URL_PREFIX
-from ..functions import bayesian_rating, demand, gem_value, release_link
+from ..constants import ARTIST_TITLE_SEPARATOR, VIDEO_URL_PREFIX
 from ..schemas import RAW_COLUMNS
 from ..session import checkpoint_root, path_exists, path_fingerprint
 
-STORE_VERSION = "v3"
+STORE_VERSION = "v4"
 SOURCE_TABLES = ["orders", "lineitem", "part", "supplier", "customer", "nation"]
 
 
@@ -91,39 +95,15 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                        F.lpad(F.col("id").cast("string"), 11, "0"))))
 
 
-def releases_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw release table (27 columns) built from the test tables."""
-    f = order_facts(spark, sf_dir)
-    rating = bayesian_rating("average_rating", "n_lines")
-    dem = demand("have", "want")
-    return f.select(
-        F.col("id"),
-        F.col("id").cast("string").alias("release_id"),
-        F.col("title"),
-        F.year("o_orderdate").cast("string").alias("year"),
-        F.array_join("genres", LIST_SEPARATOR).alias("genre"),
-        F.array_join("styles", LIST_SEPARATOR).alias("style"),
-        F.array_join("format_names", LIST_SEPARATOR).alias("format"),
-        F.element_at("label_names", 1).alias("label"),
-        F.col("n_name").alias("country"),
-        F.col("average_rating"),
-        F.col("n_lines").alias("rating_count"),
-        F.col("have"), F.col("want"),
-        rating.alias("rating_coefficient"),
-        release_link(F.col("id")).alias("link"),
-        F.col("video_url").alias("youtube_links"),
-        dem.alias("demand_coefficient"),
-        gem_value(rating, dem).alias("gem_value"),
-        F.col("c_name").alias("artists_sort"),
-        F.to_json(F.transform("label_names", lambda n: F.struct(n.alias("name")))).alias("labels"),
-        F.col("num_for_sale"),
-        F.col("lowest_price"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("released"),
-        F.to_json(F.transform("durations", lambda d: F.struct(d.alias("duration")))).alias("tracklist"),
-        F.lit("[]").alias("extraartists"),
-        F.lit("[]").alias("images"),
-        F.lit("").alias("thumb"),
-    ).select(*RAW_COLUMNS)
+def releases_from_orders(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None) -> DataFrame:
+    """The raw release table (27 columns): the saved payloads run through the
+    id-list ingest normalisation, with `label` = the first (least) label name
+    so that the label leaderboard has one key per supplier."""
+    from ..operators.etl import normalise_payloads
+    p = payloads if payloads is not None else payload_store(spark, sf_dir)
+    p = p.withColumn("_first_label", F.try_element_at("labels", F.lit(1))["name"])
+    recs = normalise_payloads(p, keep=("_first_label",))
+    return recs.withColumn("label", F.coalesce("_first_label", F.lit(""))).select(*RAW_COLUMNS)
 
 
 def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

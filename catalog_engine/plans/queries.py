@@ -98,9 +98,9 @@ def _search_batch(spark, d):
     """A search ingest batch with one replayed page: the replay carries a
     marked title and a later position, so first-wins is observable."""
     rows = ET.normalise_search(TB.search_hits(spark, d), TB.payload_store(spark, d))
-    first = rows.withColumn("_pos", F.lit(0))
-    replay = rows.withColumn("title", F.concat("title", F.lit(" (replay)"))).withColumn("_pos", F.lit(1))
-    return first.unionByName(replay)
+    both = rows.withColumn("_pos", F.explode(F.array(F.lit(0), F.lit(1))))
+    return both.withColumn("title", F.when(F.col("_pos") == 1, F.concat("title", F.lit(" (replay)")))
+                           .otherwise(F.col("title")))
 
 
 @query("q_insert_or_ignore")

@@ -135,10 +135,16 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_hits(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None) -> DataFrame:
-    """One search hit per order (orders without lines included, with empty
-    token lists): id, title, year, genre[], style[], format[]."""
-    p = payloads if payloads is not None else payload_store(spark, sf_dir)
-    f = p.select("id", "genres", "styles", F.transform("formats", lambda x: x["name"]).alias("format_names"))
+    """Saved search results: one hit per order (orders without lines
+    included, with empty token lists): id, title, year, genre[], style[],
+    format[]. Written once, like the payloads."""
+    if payloads is None:
+        return _materialised(spark, sf_dir, "search_hits", lambda: search_hits(spark, sf_dir, payload_store(spark, sf_dir)))
+    return _search_hits(spark, sf_dir, payloads)
+
+
+def _search_hits(spark: SparkSession, sf_dir: str, payloads: DataFrame) -> DataFrame:
+    f = payloads.select("id", "genres", "styles", F.transform("formats", lambda x: x["name"]).alias("format_names"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     o = orders.join(cust, orders.o_custkey == cust.c_custkey)

@@ -333,3 +333,16 @@ def test_report_sections(spark):
     out = tempfile.mkdtemp(prefix="catalog-report-") + "/report"
     write_report(spark, text, out)
     assert spark.read.text(out).count() == len(text.split("\n"))
+
+
+def test_insert_with_key_broadcast_matches_plain(spark):
+    target = raw_rows(spark, [dict(id=i, release_id=str(i), title="stored") for i in range(0, 40, 2)])
+    batch = raw_rows(spark, [dict(id=i, release_id=str(i % 25), title=f"b{i}") for i in range(60)])
+    batch = batch.withColumn("_pos", F.col("id"))
+    plain = IO.new_rows(target, batch, "release_id", ["_pos"])
+    small = IO.new_rows(target, batch, "release_id", ["_pos"], max_broadcast_keys=1000)
+    big = IO.new_rows(target, batch, "release_id", ["_pos"], max_broadcast_keys=3)
+    key = lambda df: sorted((r["release_id"], r["title"]) for r in df.collect())
+    assert key(plain) == key(small) == key(big)
+    assert key(plain) == sorted((str(i), f"b{i}") for i in range(25) if not (i % 2 == 0 and i < 40))
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()

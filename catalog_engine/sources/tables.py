@@ -195,16 +195,44 @@ def _store_path(spark: SparkSession, sf_dir: str) -> str:
 _BUILD_LOCK = threading.RLock()
 
 
+def _publish(spark: SparkSession, write, path: str, replace: bool) -> None:
+    """Run `write(tmp)` into a fresh sibling folder, then rename it to `path`.
+    Readers see either no table or a complete one; when another writer got
+    there first, its table is kept and ours is dropped."""
+    import uuid
+    from ..session import hadoop_path
+    tmp = f"{path}.building-{uuid.uuid4().hex}"
+    write(tmp)
+    fs, final = hadoop_path(spark, path)
+    _, staged = hadoop_path(spark, tmp)
+    if replace and fs.exists(final):
+        fs.delete(final, True)
+    if not fs.rename(staged, final):
+        fs.delete(staged, True)
+
+
 def _materialised(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bool = False) -> DataFrame:
     """Write `build()` once under the shared checkpoint folder and read it back
-    (callers in several threads of one driver build it once)."""
+    (callers in several threads of one driver build it once; a failed or
+    concurrent build never leaves a partial table behind)."""
     path = f"{_store_path(spark, sf_dir)}/{name}"
     with _BUILD_LOCK:
         if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-            build().write.mode("overwrite").parquet(path)
+            _publish(spark, lambda p: build().write.mode("overwrite").parquet(p), path, replace=True)
     return spark.read.parquet(path)
 
 
+def id_list_csv(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Path of an id-list CSV (header release_id) holding every order key:
+    the input file of the id-list ingest job, written once."""
+    path = f"{_store_path(spark, sf_dir)}/id_list_csv"
+    with _BUILD_LOCK:
+        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
+            _publish(spark, lambda p: order_ids(spark, sf_dir).write.mode("overwrite")
+                     .option("header", True).csv(p), path, replace=True)
+    return path
+
+
 def release_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The release table, written once to the shared checkpoint folder and
     read back, so every query starts from a short lineage. A rebuild is
@@ -218,16 +246,6 @@ def payload_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Da
     return _materialised(spark, sf_dir, "payloads", lambda: payloads_from_tables(spark, sf_dir), rebuild)
 
 
-def id_list_csv(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
-    """Path of an id-list CSV (header release_id) holding every order key:
-    the input file of the id-list ingest job, written once."""
-    path = f"{_store_path(spark, sf_dir)}/id_list_csv"
-    with _BUILD_LOCK:
-        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-            order_ids(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
 def analysis_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The prepared analysis frame (preprocess of the release store), with
     num_tracks and total_duration_min computed once."""

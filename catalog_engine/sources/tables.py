@@ -134,12 +134,14 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def search_hits(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None) -> DataFrame:
+def search_hits(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None,
+                rebuild: bool = False) -> DataFrame:
     """Saved search results: one hit per order (orders without lines
     included, with empty token lists): id, title, year, genre[], style[],
     format[]. Written once, like the payloads."""
     if payloads is None:
-        return _materialised(spark, sf_dir, "search_hits", lambda: search_hits(spark, sf_dir, payload_store(spark, sf_dir)))
+        return _materialised(spark, sf_dir, "search_hits",
+                             lambda: _search_hits(spark, sf_dir, payload_store(spark, sf_dir)), rebuild)
     return _search_hits(spark, sf_dir, payloads)
 
 

@@ -355,6 +355,26 @@ FROM (
                         lambda x: x <> '')[1] AS tok
   FROM clean WHERE {ARTIST} = (SELECT artist FROM top1))""")
 
+def _fixed2(v: str) -> str:
+    return f"CASE WHEN {v} IS NULL OR isnan({v}) OR {v} = 0 THEN '0.00' ELSE printf('%.2f', round({v}, 2)) END"
+
+
+ORACLES["q_artist_releases_display"] = with_base(_leaderboard_cte("artist"), """top1 AS (
+  SELECT artist FROM lb ORDER BY round(bayesian_score, 9) DESC, artist ASC LIMIT 1)""", """seen AS (
+  SELECT DISTINCT user_id AS id FROM events)""", select=f"""
+SELECT id, title, coalesce(nullif(label, ''), 'Unknown') AS label, coalesce(year, '') AS year, genre, style,
+  {_fixed2('rating_coeff')} || ' (' || CAST(coalesce(rating_count, 0) AS VARCHAR) || ')' AS rating,
+  {_fixed2('demand_coeff')} AS demand, {_fixed2('gem_value')} AS gem,
+  coalesce(have, 0) AS have, coalesce(want, 0) AS want,
+  CASE WHEN tok IS NULL THEN 'No links'
+       WHEN nullif(regexp_extract(tok, {q(VIDEO_ID_PATTERN)}, 1), '') IS NULL THEN 'Invalid link'
+       ELSE regexp_extract(tok, {q(VIDEO_ID_PATTERN)}, 1) END AS preview,
+  (id IN (SELECT id FROM seen)) AS is_interacted
+FROM (
+  SELECT *, list_filter(list_transform(string_split(coalesce(youtube_links, ''), ','), lambda x: {strip('x')}),
+                        lambda x: x <> '')[1] AS tok
+  FROM clean WHERE {ARTIST} = (SELECT artist FROM top1))""")
+
 ORACLES["q_best_styles"] = with_base("""st AS (
   SELECT style_list, sum(rating_coefficient) AS s, count(*) AS n
   FROM (SELECT unnest(string_split(style, ', ')) AS style_list, rating_coefficient FROM prep)

@@ -251,6 +251,16 @@ def q_artist_releases(spark, d):
     return rounded(entity_releases(c, "artist", value, TB.interacted_ids(spark, d)))
 
 
+@query("q_artist_releases_display")
+def q_artist_releases_display(spark, d):
+    """The drill-down rows as displayed: 2-decimal scores, 'x.xx (n)' rating,
+    placeholders for empty values, video id or link status."""
+    c = clean(spark, d)
+    top = R.leaderboard_page(R.leaderboard(c, "artist"), page=1).first()
+    value = top["artist"] if top else ""
+    return entity_releases(c, "artist", value, TB.interacted_ids(spark, d), display=True)
+
+
 @query("q_best_styles")
 def q_best_styles(spark, d):
     return rounded(R.best_styles(prep(spark, d)))

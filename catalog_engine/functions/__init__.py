@@ -1,6 +1,6 @@
 """Column expressions used by the jobs; every one is a built-in Spark expression."""
 
-from ._util import strip
+from ._util import round_to, strip
 from .display import fixed2, or_unknown, preview, rating_display
 from .nested import (
     as_json, format_names, join_list, json_list, label_name, label_names,
@@ -19,6 +19,6 @@ __all__ = [
     "gem_value", "join_list", "json_list", "label_key", "label_name",
     "label_names", "list_tokens", "lowest_price", "num_or_zero", "num_tracks",
     "or_unknown", "parse_float", "parse_int", "preview", "rating_display",
-    "release_link", "release_year", "strip", "total_duration_min", "youtube_id",
+    "release_link", "release_year", "round_to", "strip", "total_duration_min", "youtube_id",
     "youtube_links",
 ]

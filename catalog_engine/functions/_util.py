@@ -9,3 +9,12 @@ def col(c) -> Column:
 def strip(c) -> Column:
     """Remove leading and trailing white space (Spark's trim removes spaces only)."""
     return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+
+
+def round_to(c, digits: int) -> Column:
+    """round(x * 10^d) / 10^d: the scaled value is rounded half away from
+    zero. The steps are plain IEEE operations, so any engine computing the
+    same expression gets the same double (Spark's round(x, d) instead rounds
+    the shortest decimal text of x, which differs from x * 10^d at ties)."""
+    m = float(10 ** digits)
+    return F.round(col(c) * F.lit(m), 0) / F.lit(m)

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import INVALID_LINK, NO_LINKS, UNKNOWN
-from ._util import col
+from ._util import col, round_to
 from .numeric import parse_float
 from .text import csv_tokens, youtube_id
 
@@ -13,7 +13,7 @@ def fixed2(c) -> Column:
     """Two-decimal text; falsy (null, 0, NaN) -> '0.00'."""
     v = col(c)
     return F.when(v.isNull() | F.isnan(v) | (v == 0), F.lit("0.00")).otherwise(
-        F.format_string("%.2f", F.round(v, 2)))
+        F.format_string("%.2f", round_to(v, 2)))
 
 
 def rating_display(rating_coeff, rating_count) -> Column:

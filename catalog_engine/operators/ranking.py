@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import LEADERBOARD_PAGE_SIZE, LEADERBOARD_PRIOR_WEIGHT, LIST_SEPARATOR
-from ..functions import as_number
+from ..functions import as_number, round_to
 from .prep import entity_key, filter_releases
 
 # Scores equal to this many decimals are ties and fall back to the name.
@@ -35,12 +35,12 @@ def leaderboard(df: DataFrame, entity: str = "artist", m: float = LEADERBOARD_PR
 
 
 def ranking_order(score: str, name: str):
-    return [F.round(F.col(score), SCORE_DIGITS).desc(), F.col(name).asc()]
+    return [round_to(score, SCORE_DIGITS).desc(), F.col(name).asc()]
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str, digits: int | None = SCORE_DIGITS) -> DataFrame:
     """First k rows by `by` descending, then `tie` ascending (TakeOrderedAndProject)."""
-    key = F.round(F.col(by), digits) if digits is not None else F.col(by)
+    key = round_to(by, digits) if digits is not None else F.col(by)
     return df.orderBy(key.desc(), F.col(tie).asc()).limit(k)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import round_to
 from ..operators import aggregates as AG
 from ..operators import distributions as D
 from ..operators import etl as ET
@@ -47,7 +48,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name))
+            out.append(round_to(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

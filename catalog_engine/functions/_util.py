@@ -11,10 +11,16 @@ def strip(c) -> Column:
     return F.regexp_replace(col(c), r"^\s+|\s+$", "")
 
 
-def round_to(c, digits: int) -> Column:
-    """round(x * 10^d) / 10^d: the scaled value is rounded half away from
-    zero. The steps are plain IEEE operations, so any engine computing the
-    same expression gets the same double (Spark's round(x, d) instead rounds
-    the shortest decimal text of x, which differs from x * 10^d at ties)."""
+def _scaled_round(c: Column, digits: int) -> Column:
     m = float(10 ** digits)
-    return F.round(col(c) * F.lit(m), 0) / F.lit(m)
+    return F.round(c * F.lit(m), 0) / F.lit(m)
+
+
+def round_to(c, digits: int) -> Column:
+    """Round to `digits` decimals in two steps, first to digits + 3 (which
+    absorbs last-bit noise from summation order), then to digits. Each step
+    is round(x * 10^d) / 10^d with the scaled value rounded half away from
+    zero: plain IEEE operations, so any engine computing the same expression
+    gets the same double (Spark's round(x, d) rounds the shortest decimal
+    text of x instead, which differs at ties)."""
+    return _scaled_round(_scaled_round(col(c), digits + 3), digits)

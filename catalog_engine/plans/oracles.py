@@ -590,3 +590,40 @@ SELECT round(regr_slope(lowest_price, gem_value), 6) AS slope,
        round(regr_intercept(lowest_price, gem_value), 6) AS intercept,
        round(regr_r2(lowest_price, gem_value), 6) AS r_squared
 FROM prep WHERE lowest_price IS NOT NULL AND gem_value IS NOT NULL""")
+
+
+def two_step_rounding(sql: str) -> str:
+    """Rewrite every round(expr, d) with a literal d into
+    round(round(expr, d + 3), d), matching functions.round_to."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, last_comma = 1, j + 6, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        inner = sql[j + 6:k - 1]
+        digits = inner[last_comma - (j + 6) + 1:].strip() if last_comma is not None else ""
+        if digits.isdigit():
+            expr = two_step_rounding(inner[:last_comma - (j + 6)])
+            d = int(digits)
+            out.append(sql[i:j] + f"round(round({expr}, {d + 3}), {d})")
+        else:
+            out.append(sql[i:j] + "round(" + two_step_rounding(inner) + ")")
+        i = k
+
+
+ORACLES = {k: two_step_rounding(v) for k, v in ORACLES.items()}

@@ -346,3 +346,37 @@ def test_insert_with_key_broadcast_matches_plain(spark):
     assert key(plain) == key(small) == key(big)
     assert key(plain) == sorted((str(i), f"b{i}") for i in range(25) if not (i % 2 == 0 and i < 40))
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_normalise_search_missing_payload_defaults(spark):
+    from catalog_engine.schemas import RELEASE_PAYLOAD, SEARCH_RESULT
+    hits = spark.createDataFrame([(1, "A - X", "1999", ["Rock"], ["Indie"], ["Vinyl", "LP"]),
+                                  (2, None, None, [], [], [])], SEARCH_RESULT)
+    payloads = spark.createDataFrame([], RELEASE_PAYLOAD)
+    kept = {r["id"]: r for r in ET.normalise_search(hits, payloads).collect()}
+    assert sorted(kept) == [1, 2]
+    r = kept[1]
+    assert (r["genre"], r["format"], r["rating_coefficient"], r["demand_coefficient"], r["gem_value"]) == \
+        ("Rock", "Vinyl, LP", 3.0, 0.0, 0.0)
+    assert (r["label"], r["country"], r["labels"], r["tracklist"], r["lowest_price"]) == ("", "", "[]", "[]", 0.0)
+    assert (kept[2]["title"], kept[2]["year"]) == ("N/A", "Unknown")
+    assert ET.normalise_search(hits, payloads, keep_missing=False).count() == 0
+
+
+def test_first_per_key_with_a_hot_key(spark):
+    n = 30000
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i}", n - i) for i in range(n)]   # a third of rows share one key
+    df = spark.createDataFrame(rows, "id long, release_id string, _pos long").repartition(16)
+    got = {r["release_id"]: r["id"] for r in IO.first_per_key(df, "release_id", ["_pos"]).collect()}
+    assert got["hot"] == max(i for i in range(n) if i % 3 == 0)              # smallest _pos wins
+    assert len(got) == 1 + sum(1 for i in range(n) if i % 3)
+
+
+def test_search_sorts(spark):
+    df = raw_rows(spark, [dict(id=i, title=t, year=y, genre="Rock", style="", format="CD")
+                          for i, (t, y) in enumerate([("b", "2001"), ("a", "1999"), ("c", "x"), ("a", "2000")])])
+    by_title = [r["id"] for r in ET.search(df, sort="title", order="asc", per_page=10).collect()]
+    assert by_title == [1, 3, 0, 2]
+    by_year = [r["id"] for r in ET.search(df, sort="year", order="desc", per_page=10).collect()]
+    assert by_year == [0, 3, 1, 2]                                          # unparseable year last
+    assert [r["id"] for r in ET.search(df, per_page=2, page=2).collect()] == [2, 3]

@@ -380,3 +380,26 @@ def test_search_sorts(spark):
     by_year = [r["id"] for r in ET.search(df, sort="year", order="desc", per_page=10).collect()]
     assert by_year == [0, 3, 1, 2]                                          # unparseable year last
     assert [r["id"] for r in ET.search(df, per_page=2, page=2).collect()] == [2, 3]
+
+
+def test_approx_and_sampling_options(spark):
+    rng = np.random.default_rng(2)
+    vals = rng.integers(0, 50, 5000)
+    df = raw_rows(spark, [dict(id=i, year="2000", average_rating=float(v) / 10, genre="Rock" if i % 2 else "Pop",
+                               tracklist="[]") for i, v in enumerate(vals)])
+    prep = preprocess(df)
+    exact = AG.summary(prep).first()["median_rating"]
+    approx = AG.summary(prep, approx=True).first()["median_rating"]
+    assert exact == pytest.approx(np.median(vals / 10))
+    assert abs(approx - exact) <= 0.1
+    a = {r["genre"]: r for r in D.box_stats(prep, "genre", "average_rating", approx=True).collect()}
+    e = {r["genre"]: r for r in D.box_stats(prep, "genre", "average_rating").collect()}
+    for g in ("Rock", "Pop"):
+        assert abs(a[g]["median"] - e[g]["median"]) <= 0.1 and a[g]["n"] == e[g]["n"]
+    pts = D.points(prep, "average_rating", "have", bins=None)
+    assert pts.count() == 5000 and pts.columns == ["average_rating", "have"]
+    sample = D.points(prep, "average_rating", "have", bins=None, fraction=0.1, seed=7)
+    assert 300 < sample.count() < 700
+    assert sample.count() == D.points(prep, "average_rating", "have", bins=None, fraction=0.1, seed=7).count()
+    grid = D.points(prep, "average_rating", "have", colour="want", bins=10)
+    assert sum(r["count"] for r in grid.collect()) == 5000 and "mean_want" in grid.columns

@@ -61,3 +61,20 @@ def test_payload_json_price_forms(spark, tmp):
     assert recs[1]["youtube_links"] == "https://www.youtube.com/watch?v=00000000001"
     assert recs[1]["year"] == "1991"
     assert recs[1]["rating_coefficient"] == pytest.approx(1 / 11 * 4.0 + 10 / 11 * 3.0)
+
+
+def test_replayed_batch_is_idempotent(spark, tmp):
+    """A crash after the batch wrote its folder but before the commit: on
+    restart Spark replays the batch, which rewrites only its own folder."""
+    src, store, ckpt = f"{tmp}/in", f"{tmp}/store", f"{tmp}/ckpt"
+    write_drop(src, "drop1.json", [payload(i) for i in range(12)])
+    ingest_stream(spark, src, store, ckpt)
+    before = sorted(r["id"] for r in read_store(spark, store).collect())
+    commits = os.path.join(ckpt, "commits")
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for name in (str(last), f".{last}.crc"):             # the commit never happened
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    ingest_stream(spark, src, store, ckpt)                 # restart replays the batch
+    after = sorted(r["id"] for r in read_store(spark, store).collect())
+    assert after == before == list(range(12))

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .fingerprints import edited_fingerprints
+from .mixing import mix
 from .piece_bpe import encode_texts
-from .repetition import MAX_COVERED, MAX_LONGEST, MIN_REPEAT, MIN_WORDS, repetition_rules
+from .repetition import repetition_rules
+from .substring_dedup import substring_dedup
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -22,6 +25,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_texts(documents(spark, sf_dir), PIECE_MODEL)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -29,13 +37,24 @@ def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir)).drop("repeats")
 
 
+def op10_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_piece_bpe": op4_piece_bpe,
+    "op5_mix": op5_mix,
     "op9_repetition_rules": op9_repetition_rules,
+    "op10_edited_fingerprints": op10_edited_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}

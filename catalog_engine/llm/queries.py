@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .fingerprints import edited_fingerprints
+from .line_dedup import line_dedup
 from .mixing import mix
+from .near_dedup import near_dedup
 from .piece_bpe import encode_texts
 from .repetition import repetition_rules
 from .substring_dedup import substring_dedup
@@ -41,6 +43,15 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir)).select("doc_id", "class_id", F.col("first").alias("kept"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", "dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir)).drop("repeats")
 
@@ -53,6 +64,8 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_mix": op5_mix,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_repetition_rules": op9_repetition_rules,
     "op10_edited_fingerprints": op10_edited_fingerprints,
 }

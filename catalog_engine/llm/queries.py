@@ -5,11 +5,13 @@ outputs. ORACLES holds DuckDB SQL where SQL can say the same."""
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from ..session import checkpoint_root, hadoop_path
+from .common import cut, read_table
 from .fingerprints import edited_fingerprints
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -17,6 +19,7 @@ from .near_dedup import near_dedup
 from .piece_bpe import encode_texts
 from .repetition import repetition_rules
 from .substring_dedup import substring_dedup
+from .warc import read_archives, write_archives
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -32,6 +35,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archives lie in the shared folder until they have been read."""
+    path = f"{checkpoint_root(spark)}/warc-{uuid.uuid4().hex}"
+    write_archives(read_table(spark, sf_dir, "pages"), path)
+    try:
+        return cut(read_archives(spark, path).filter("problem is null").select(
+            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    finally:
+        fs, folder = hadoop_path(spark, path)
+        fs.delete(folder, True)
+
+
 def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_texts(documents(spark, sf_dir), PIECE_MODEL)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -62,6 +77,7 @@ def op10_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_warc": op3_warc,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_mix": op5_mix,
     "op7_near_dedup": op7_near_dedup,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, hadoop_path
 from .common import cut, read_table
+from .chat import format_chats
 from .fingerprints import edited_fingerprints
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -35,6 +36,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archives lie in the shared folder until they have been read."""
     path = f"{checkpoint_root(spark)}/warc-{uuid.uuid4().hex}"
@@ -77,6 +82,7 @@ def op10_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_chat": op2_chat,
     "op3_warc": op3_warc,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_mix": op5_mix,

@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, shuffle_partitions
 
-#: Costs of a repair.
-MERGE, RELABEL, INSERT = 2, 3, 4
+#: Costs of a repair: a wrong role is taken to be rarer than a missing turn.
+MERGE, RELABEL, INSERT = 2, 6, 3
 #: Turns in a segment at most.
 SEGMENT = 256
 ROLES = ("", "system", "user", "assistant")  # by state; 0: nothing yet

@@ -17,7 +17,7 @@ own. So a conversation may be as long as the table: no task holds more than a
 segment's texts, or one small table per segment.
 
 A row of the result is a part of a conversation; its parts' `rendered` strings
-in order are the conversation. Nearly all have one part.
+in order are the conversation. One of at most `SEGMENT` turns has one part.
 
 Defined cases: turns are ordered by turn (null last), role, text; a null
 conv_id is one conversation; a null or unknown role must be relabelled; a null
@@ -215,9 +215,17 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     segs = cut(rows.repartitionByRange(shuffle_partitions(turns.sparkSession), *keys).sortWithinPartitions(*keys)
                .select("conv_id", "role", "text")
                .mapInArrow(_segments(segment), "seg long, conv_id long, given array<int>, texts array<string>, costs array<long>"))
-    several = segs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = (segs.groupBy(F.col("conv_id").alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("given")).alias("turns"))
+               .filter("n > 1"))
+    same = F.col("conv_id").eqNullSafe(F.col("c"))
+    # a conversation that the ranges cut by chance, and that fits, is one segment again
+    short = several.filter(F.col("turns") <= segment)
+    whole = (segs.join(short, same, "left_semi").groupBy("conv_id")
+             .agg(F.sort_array(F.collect_list(F.struct("seg", "given", "texts"))).alias("s"))
+             .select(F.col("s")[0]["seg"].alias("seg"), "conv_id", F.flatten("s.given").alias("given"),
+                     F.flatten("s.texts").alias("texts"), F.lit(None).cast("array<long>").alias("costs")))
     seams = (segs.select("seg", "conv_id", "costs")
-             .join(several.select(F.col("conv_id").alias("c")), F.col("conv_id").eqNullSafe(F.col("c")), "left_semi")
+             .join(several.filter(F.col("turns") > segment), same, "left_semi")
              .groupBy("conv_id").applyInPandas(_seams, "seg long, part long, start_state int, end_state int, last boolean"))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,5 +242,6 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                                  ["conv_id", "part", "n_turns", "cost", "roles", "actions", "rendered"])
 
-    return (segs.join(seams, "seg", "left").select("conv_id", "given", "texts", "part", "start_state", "end_state", "last")
+    every = segs.join(short, same, "left_anti").unionByName(whole)
+    return (every.join(seams, "seg", "left").select("conv_id", "given", "texts", "part", "start_state", "end_state", "last")
             .mapInArrow(parts, RESULT))

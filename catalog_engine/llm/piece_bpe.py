@@ -256,6 +256,13 @@ def read_model(path: str) -> bytes:
     return model
 
 
+def _coded(bpe: PieceBpe, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
+    ids = [bpe.encode(t) for t in texts]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return (pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+            pa.array([bpe.decode(x) for x in ids], pa.string()))
+
+
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, all ids of the whole text (no begin or end ids), and the text
     that the ids decode to; one row per input row."""
@@ -264,12 +271,30 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(model)
         for cols in chunks(batches):
-            ids = [bpe.encode(t) for t in cols["text"]]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(cols["doc_id"], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
-                pa.array([bpe.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "decoded"])
+            ids, decoded = _coded(bpe, cols["text"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), ids, decoded],
+                                             ["doc_id", "ids", "decoded"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(rows, SCHEMA)
+
+
+def encode_rows(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """The documents with all their other columns, ids and decoded (which
+    replace columns of these names and the text)."""
+    model = read_model(model_path)
+    keep = [c for c in docs.columns if c not in (text_col, "ids", "decoded")]
+    row = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*keep).alias("row"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tokenizer(model)
+        for batch in batches:
+            done = 0
+            for cols in chunks([batch.select(["text"])]):
+                n = len(cols["text"])
+                ids, decoded = _coded(bpe, cols["text"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(done, n), ids, decoded], ["row", "ids", "decoded"])
+                done += n
+
+    kind = row.schema["row"].dataType.simpleString()
+    return row.mapInArrow(rows, f"row {kind}, ids array<int>, decoded string").select("row.*", "ids", "decoded")

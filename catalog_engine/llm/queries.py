@@ -14,6 +14,7 @@ from ..session import checkpoint_root, hadoop_path
 from .common import cut, read_table
 from .chat import format_chats
 from .fingerprints import edited_fingerprints
+from .licences import find_licences
 from .line_dedup import line_dedup
 from .mixing import mix
 from .near_dedup import near_dedup
@@ -63,6 +64,10 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(documents(spark, sf_dir))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir)).select("doc_id", "class_id", F.col("first").alias("kept"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_mix": op5_mix,
+    "op6_licences": op6_licences,
     "op7_near_dedup": op7_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_repetition_rules": op9_repetition_rules,

@@ -22,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 #: Bytes of text that a Python worker turns into one output batch.
 BATCH_BYTES = 8 << 20
+#: Units per shuffle partition (see in_units).
+UNITS = 2
 INT64_MAX = (1 << 63) - 1
 
 
@@ -69,9 +71,8 @@ class Numbers(dict):
 
 def in_units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text and unit: a share of the documents that is dealt by the
-    hash of the row, so that every copy of a hot text sits elsewhere. There
-    are four units to a shuffle partition, which evens out their sizes."""
-    n = 4 * shuffle_partitions(docs.sparkSession)
+    hash of the row, so that every copy of a hot text sits elsewhere."""
+    n = UNITS * shuffle_partitions(docs.sparkSession)
     return docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.lit(n)).cast("int").alias("unit"),
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -5,9 +5,9 @@ the least hash of its m-word pieces; consecutive windows with the same
 minimiser form a super-k-mer, whose words travel once, as one packed string, to
 the bucket that the minimiser names. Equal windows have equal minimisers, so a
 bucket sees every occurrence of its windows. There the windows are sorted (by a
-64-bit hash of their words; neighbours in that order are then compared word by
-word, and a bucket in which two different windows share a hash is sorted by the
-words themselves), and each run of equal windows yields the smallest document
+64-bit hash; neighbours in that order are then compared by their words, and a
+bucket in which two different windows share a hash is sorted by the words
+themselves), and each run of equal windows yields the smallest document
 that has it.
 
 Documents are dealt over units by the hash of the row. A unit sends each
@@ -26,6 +26,8 @@ counts as larger than every other. Other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INT64_MAX, Numbers, in_units, shuffle_partitions
+from .common import INT64_MAX, UNITS, in_units, shuffle_partitions
 
 WINDOW = 13
 #: Words of the pieces among which a window's minimiser is chosen.
@@ -50,6 +52,12 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_remove
                      ("removed", _SPANS), ("kept_text", pa.string())])
 
 
+#: Bytes of text that are hashed at a time.
+SLICE = 1 << 20
+_TABLE = np.random.default_rng(13).integers(1, 1 << 63, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that scatters them."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -57,13 +65,56 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _windows_of(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each `size` consecutive words."""
-    n = len(hashes) - size + 1
-    out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
-    return _mixed(out)
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(size, base, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out[0], out[1]
+
+
+class Slice(NamedTuple):
+    """Some strings of words (one blank between), joined by line breaks: the
+    bytes, per word its start, end and string, and prefix sums of the bytes."""
+    text: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    string: np.ndarray
+    sums: np.ndarray
+    down: np.ndarray
+
+    def spans(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from word a to word b."""
+        lo = self.starts[a]
+        return _mixed((self.sums[self.ends[b]] - self.sums[lo]) * self.down[lo])
+
+
+def slices(strings: list[bytes]) -> Iterator[Slice]:
+    """Strings without words are passed over."""
+    which, held = [], 0
+    for n, s in enumerate(strings):
+        if s:
+            which.append(n)
+            held += len(s) + 1
+        if which and (held >= SLICE or n == len(strings) - 1):
+            yield _sliced(b"\n".join([strings[k] for k in which]) + b"\n", which)
+            which, held = [], 0
+    if which:
+        yield _sliced(b"\n".join([strings[k] for k in which]) + b"\n", which)
+
+
+def _sliced(text: bytes, which: list[int]) -> Slice:
+    raw = np.frombuffer(text, np.uint8)
+    ends = np.flatnonzero((raw == 32) | (raw == 10))
+    up, down = _powers(1 << max(20, len(raw).bit_length()))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_TABLE[raw] * up[:len(raw)], out=sums[1:])
+    last = raw[ends] == 10
+    string = np.array(which)[np.cumsum(last) - last]
+    return Slice(text, np.concatenate([[0], ends[:-1] + 1]), ends, string, sums, down)
 
 
 def _least_of(values: np.ndarray, size: int) -> np.ndarray:
@@ -76,39 +127,41 @@ def _least_of(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def super_kmers(words: list[list[bytes]], k: int) -> Iterator[tuple[int, int, int, int]]:
-    """(text number, first window, windows, minimiser) over many texts."""
-    numbers = Numbers()
-    sizes = [len(w) for w in words]
-    ids = np.concatenate([np.fromiter(map(numbers.__getitem__, w), np.int64, len(w)) for w in words]
-                         or [np.empty(0, np.int64)])
-    if len(ids) < k:
-        return
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))[ids]
+def _windows(part: Slice, k: int) -> np.ndarray:
+    """First words of the windows: k words of one string."""
+    n = len(part.ends) - k + 1
+    return np.flatnonzero(part.string[:n] == part.string[k - 1:]) if n > 0 else np.empty(0, np.int64)
+
+
+def super_kmers(strings: list[bytes], k: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(string, first window, windows, minimiser, text) of every super-k-mer."""
     piece = min(PIECE, k)
-    least = _least_of(_windows_of(hashes, piece), k - piece + 1)
-    text = np.repeat(np.arange(len(words)), sizes)[:len(least)]
-    start = (np.cumsum(sizes) - sizes)[text]
-    inside = np.arange(len(least)) + k <= start + np.array(sizes)[text]
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return
-    breaks = np.ones(len(at), bool)
-    breaks[1:] = (least[at[1:]] != least[at[:-1]]) | (text[at[1:]] != text[at[:-1]])
-    heads = np.flatnonzero(breaks)
-    counts = np.diff(np.append(heads, len(at)))
-    first = at[heads]
-    for t, a, n, m in zip(text[first].tolist(), (first - start[first]).tolist(), counts.tolist(),
-                          least[first].tolist()):
-        while n > MAX_RUN:
-            yield t, a, MAX_RUN, m
-            a, n = a + MAX_RUN, n - MAX_RUN
-        yield t, a, n, m
-
-
-def _unit_texts(table: pa.Table) -> tuple[list, list[str | None], list[list[bytes]]]:
-    texts = table["text"].to_pylist()
-    return table["doc_id"].to_pylist(), texts, [t.encode().split() if t else [] for t in texts]
+    for part in slices(strings):
+        at = _windows(part, k)
+        if not len(at):
+            continue
+        word = np.arange(len(part.ends) - piece + 1)
+        least = _least_of(part.spans(word, word + piece - 1), k - piece + 1)[at]
+        string = part.string[at]
+        breaks = np.ones(len(at), bool)
+        breaks[1:] = (least[1:] != least[:-1]) | (string[1:] != string[:-1])
+        run = np.flatnonzero(breaks)
+        breaks |= (np.arange(len(at)) - run[np.cumsum(breaks) - 1]) % MAX_RUN == 0
+        heads = np.flatnonzero(breaks)
+        counts = np.diff(np.append(heads, len(at)))
+        first = at[heads]
+        new = np.ones(len(part.string), bool)
+        new[1:] = part.string[1:] != part.string[:-1]
+        origin = np.flatnonzero(new)[np.cumsum(new) - 1][first]
+        for s, w, n, m, lo, hi in zip(string[heads].tolist(), (first - origin).tolist(), counts.tolist(),
+                                      least[heads].tolist(), part.starts[first].tolist(),
+                                      part.ends[first + counts + k - 2].tolist()):
+            yield s, w, n, m, part.text[lo:hi]
+
+
+def _unit_texts(table: pa.Table) -> tuple[list, list[bytes]]:
+    """Ids, and texts with one blank between words."""
+    return table["doc_id"].to_pylist(), [b" ".join(t.encode().split()) if t else b"" for t in table["text"].to_pylist()]
 
 
 def _pack(strings: list[bytes], *numbers: np.ndarray) -> bytes:
@@ -129,12 +182,11 @@ def _unpack(packed: bytes, n_arrays: int) -> tuple[list[bytes], list[np.ndarray]
 
 def _send(k: int, buckets: int):
     def send(table: pa.Table) -> pa.Table:
-        ids, _, words = _unit_texts(table)
+        ids, strings = _unit_texts(table)
         unit = table["unit"][0].as_py()
         found: dict[bytes, list[int]] = {}  # super-k-mer: bucket, smallest and largest document
-        for t, a, n, least in super_kmers(words, k):
+        for t, _, _, least, text in super_kmers(strings, k):
             doc = INT64_MAX if ids[t] is None else ids[t]
-            text = b" ".join(words[t][a:a + n + k - 1])
             seen = found.get(text)
             if seen is None:
                 found[text] = [least % buckets, doc, doc]
@@ -152,23 +204,23 @@ def _send(k: int, buckets: int):
     return send
 
 
-def smallest_documents(ids: np.ndarray, starts: np.ndarray, low: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
-    """For the window at each start: the smallest `low` among equal windows.
-    `ids` are the words' numbers, `hashes` a hash per word number."""
-    window = np.zeros(len(starts), np.uint64)
-    for t in range(k):
-        window = window * np.uint64(0x9E3779B97F4A7C15) + hashes[ids[starts + t]]
-    order = np.argsort(_mixed(window), kind="stable")
-    ranked = window[order]
-    alike = ranked[1:] == ranked[:-1]
-    a, b = starts[order[1:][alike]], starts[order[:-1][alike]]
-    if len(a) and not all((ids[a + t] == ids[b + t]).all() for t in range(k)):
-        order = np.lexsort([ids[starts + t] for t in range(k)])
-        at = starts[order]
-        alike = np.ones(len(at) - 1, bool)
-        for t in range(k):
-            alike &= ids[at[1:] + t] == ids[at[:-1] + t]
-    heads = np.flatnonzero(np.concatenate([[True], ~alike]))
+def smallest_documents(text: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray,
+                       low: np.ndarray) -> np.ndarray:
+    """For each window text[start:end], the smallest `low` among equal windows."""
+    order = np.argsort(hashes, kind="stable")
+    ranked = hashes[order]
+    alike = np.flatnonzero(ranked[1:] == ranked[:-1])
+    spans = list(zip(starts[order].tolist(), ends[order].tolist()))
+    same = np.zeros(len(order) - 1, bool)
+    same[alike] = True
+    for p in alike.tolist():
+        (a, b), (c, d) = spans[p], spans[p + 1]
+        if text[a:b] != text[c:d]:  # different windows share a hash: sort by the words
+            order = np.array(sorted(range(len(starts)), key=lambda j: text[starts[j]:ends[j]]))
+            spans = [text[a:b] for a, b in zip(starts[order].tolist(), ends[order].tolist())]
+            same = np.array([x == y for x, y in zip(spans[1:], spans)], bool)
+            break
+    heads = np.flatnonzero(np.concatenate([[True], ~same]))
     least = np.minimum.reduceat(low[order], heads)
     out = np.empty(len(starts), np.int64)
     out[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
@@ -185,15 +237,15 @@ def _sort_bucket(k: int):
             lows.append(low)
             highs.append(high)
         low, high = np.concatenate(lows), np.concatenate(highs)
-        sizes = np.fromiter((s.count(b" ") + 1 for s in strings), np.int64, len(strings))
-        numbers = Numbers()
-        ids = np.fromiter(map(numbers.__getitem__, b" ".join(strings).split(b" ")), np.int64, int(sizes.sum()))
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
-        counts = sizes - k + 1
-        owner = np.repeat(np.arange(len(strings)), counts)
+        found, base = [], 0
+        for part in slices(strings):
+            at = _windows(part, k)
+            found.append((part.starts[at] + base, part.ends[at + k - 1] + base, part.spans(at, at + k - 1), part.string[at]))
+            base += len(part.text)
+        starts, ends_, hashes, owner = (np.concatenate(x) for x in zip(*found))
+        least = smallest_documents(b"\n".join(strings), starts, ends_, hashes, low[owner])
+        counts = np.bincount(owner, minlength=len(strings))
         ends = np.cumsum(counts)
-        starts = np.arange(len(owner)) - (ends - counts)[owner] + (np.cumsum(sizes) - sizes)[owner]
-        least = smallest_documents(ids, starts, low[owner], hashes, k)
         shared = np.logical_or.reduceat(least < high[owner], ends - counts)
         answers: dict[int, list[int]] = {}
         for s in np.flatnonzero(shared).tolist():
@@ -211,7 +263,7 @@ def _drop_words(k: int):
     def drop(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _RESULT.empty_table()
-        ids, texts, words = _unit_texts(docs)
+        ids, strings = _unit_texts(docs)
         least: dict[bytes, np.ndarray] = {}  # by digest of the super-k-mer
         for packed in answers["answers"].to_pylist() if answers.num_rows else []:
             _, (keys, counts, values) = _unpack(packed, 3)
@@ -219,21 +271,22 @@ def _drop_words(k: int):
             for s, (lo, hi) in enumerate(zip((ends - counts).tolist(), ends.tolist())):
                 least[raw[16 * s:16 * s + 16]] = values[lo:hi]
         gone: dict[int, list[int]] = {}
-        for t, a, n, _ in super_kmers(words, k) if least else ():
-            found = least.get(xxhash.xxh3_128_digest(b" ".join(words[t][a:a + n + k - 1])))
+        for t, w, _, _, text in super_kmers(strings, k) if least else ():
+            found = least.get(xxhash.xxh3_128_digest(text))
             if found is not None:
                 hits = np.flatnonzero(found < (INT64_MAX if ids[t] is None else ids[t]))
                 if len(hits):
-                    gone.setdefault(t, []).extend((hits + a).tolist())
-        sizes = [len(w) for w in words]
-        removed, spans, kept = [0] * len(words), [[] for _ in words], list(map(b" ".join, words))
+                    gone.setdefault(t, []).extend((hits + w).tolist())
+        sizes = [s.count(b" ") + 1 if s else 0 for s in strings]
+        removed, spans, kept = [0] * len(strings), [[] for _ in strings], strings
         for t, starts in gone.items():
             steps = np.zeros(sizes[t] + 1, np.int64)
             np.add.at(steps, np.array(starts), 1)
             np.add.at(steps, np.array(starts) + k, -1)
             out = np.cumsum(steps[:-1]) > 0
             removed[t] = int(out.sum())
-            kept[t] = b" ".join([words[t][i] for i in np.flatnonzero(~out)])
+            words = strings[t].split(b" ")
+            kept[t] = b" ".join([words[i] for i in np.flatnonzero(~out)])
             edges = np.flatnonzero(np.diff(np.concatenate([[0], out.astype(np.int8), [0]])))
             spans[t] = [{"start": a, "end": b} for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
         return pa.Table.from_arrays([
@@ -247,7 +300,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the kept text, words joined by one space. A word goes if a window of k
     words over it also starts in a document with a smaller doc_id."""
     units = in_units(docs, id_col, text_col)
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
+    buckets = UNITS * shuffle_partitions(docs.sparkSession)
     sent = units.groupBy("unit").applyInArrow(_send(k, buckets), SENT)
     answers = sent.groupBy("bucket").applyInArrow(_sort_bucket(k), ANSWER)
     return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_drop_words(k), RESULT)

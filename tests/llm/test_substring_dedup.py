@@ -61,11 +61,20 @@ def test_empty_table(spark):
 
 
 def test_hash_ties_are_sorted_by_words():
-    ids = np.array([0, 1, 2, 3, 0, 1], np.int64)
-    out = S.smallest_documents(ids, np.array([0, 2, 4]), np.array([5, 6, 3]), np.zeros(4, np.uint64), 2)
+    text = b"a b c d a b"
+    at, end = np.array([0, 4, 8]), np.array([3, 7, 11])
+    out = S.smallest_documents(text, at, end, np.zeros(3, np.uint64), np.array([5, 6, 3]))
     assert out.tolist() == [3, 6, 3]
 
 
+def test_long_runs_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(S, "MAX_RUN", 3)
+    strings = [b"a " * 50 + b"b", b"", b"x y z"]
+    out = list(S.super_kmers(strings, 2))
+    assert sum(n for _, _, n, _, _ in out) == 50 + 2 and max(n for _, _, n, _, _ in out) <= 3
+    assert all(t.count(b" ") == n for _, _, n, _, t in out)
+
+
 def test_whole_table(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     from catalog_engine.llm.queries import op1_substring_dedup

@@ -29,11 +29,33 @@ VIDEO_ID_PATTERN = (
     r"""(?:youtube\.com/(?:[^/]+/.+/|(?:v|e(?:mbed)?)/|.*[?&]v=)|youtu\.be/)([^"&?/\s]{11})"""
 )
 EXCLUDED_STYLE = "Techno"
-WORD_PATTERN = r"\w[\w']+"
+WORD_PATTERN = r"(?U)\w[\w']+"                 # letters and digits of any script
 
-# Search options offered to the user.
-SEARCH_SORT_FIELDS = ["rating", "year", "title"]
-SEARCH_FORMATS = ["Vinyl", "CD", "Album", "EP", "Compilation", "Single", "Cassette", "DVD", "File"]
+# The report's texts.
+REPORT_TITLE = "=== Release Catalogue Analysis Summary ==="
+REPORT_SUMMARY = {
+    "total_releases": "Total Releases: {:.0f}",
+    "average_rating": "Average Rating: {:.2f}",
+    "median_rating": "Median Rating: {:.2f}",
+    "average_rating_count": "Average Rating Count: {:.2f}",
+    "average_demand_coefficient": "Average Demand Coefficient: {:.2f}",
+    "average_gem_value": "Average Gem Value: {:.2f}",
+    "average_lowest_price": "Average Lowest Price: ${:.2f}",
+    "average_num_tracks": "Average Number of Tracks: {:.2f}",
+    "average_total_duration": "Average Total Duration: {:.2f} minutes",
+}
+REPORT_SECTIONS = {
+    "summary": "Summary",
+    "genres": "Top 10 Genres",
+    "styles": "Top 10 Styles (Excluding '{excluded}')",
+    "labels_by_popularity": "Top 100 Labels by Popularity (Average Want + Average Rating Coefficient)",
+    "labels_by_rating": "Top 100 Best Rated Labels (Average Rating Coefficient per Release)",
+    "artists_by_popularity": "Top 100 Artists by Popularity (Average Want Count per Release)",
+    "artists_by_rating": "Top 100 Best Rated Artists (Average Rating Coefficient per Release)",
+    "countries": "Top 20 Countries by Number of Releases",
+    "formats": "Top 10 Formats",
+    "correlations": "Key Correlations",
+}
 
 # Base of the canonical release link. The catalogue site's own base URL is
 # configuration, not code: pass it to release_link(...) / normalise_payloads.

@@ -1,7 +1,7 @@
 """Column expressions used by the jobs; every one is a built-in Spark expression."""
 
 from ._util import round_to, strip
-from .display import fixed2, or_unknown, preview, rating_display
+from .display import display_tokens, fixed2, or_unknown, preview, rating_display
 from .nested import (
     as_json, format_names, join_list, json_list, label_name, label_names,
     lowest_price, num_tracks, release_link, total_duration_min, youtube_links,
@@ -15,7 +15,7 @@ from .text import (
 
 __all__ = [
     "artist_from_title", "artist_key", "as_json", "as_number", "bayesian_rating",
-    "clean_title", "csv_tokens", "demand", "first_link", "fixed2", "format_names",
+    "clean_title", "csv_tokens", "demand", "display_tokens", "first_link", "fixed2", "format_names",
     "gem_value", "join_list", "json_list", "label_key", "label_name",
     "label_names", "list_tokens", "lowest_price", "num_or_zero", "num_tracks",
     "or_unknown", "parse_float", "parse_int", "preview", "rating_display",

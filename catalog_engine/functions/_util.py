@@ -2,13 +2,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Unicode white space (the `U` flag), and the four separators that it leaves out.
+SPACE_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c) -> Column:
-    """Remove leading and trailing white space (Spark's trim removes spaces only)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Remove leading and trailing white space of any script (Spark's trim removes spaces only)."""
+    return F.regexp_replace(col(c), SPACE_ENDS, "")
 
 
 def _scaled_round(c: Column, digits: int) -> Column:

@@ -66,8 +66,9 @@ def format_names(c) -> Column:
 
 
 def label_names(c) -> Column:
-    """Label objects -> names joined; a missing name is kept as ''."""
-    return join_list(F.transform(col(c), lambda x: F.coalesce(x["name"], F.lit(""))))
+    """Label objects (VARIANT list) -> names joined; a missing or null name is kept as ''."""
+    members = F.try_variant_get(col(c), "$", "array<variant>")
+    return join_list(F.transform(members, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit(""))))
 
 
 def youtube_links(c) -> Column:
@@ -93,8 +94,9 @@ def lowest_price(c, strict: bool = False) -> Column:
 
 
 def as_json(c, empty: str = "[]") -> Column:
-    """Re-serialise a nested value as JSON text; missing -> '[]'."""
-    return F.coalesce(F.to_json(col(c)), F.lit(empty))
+    """A VARIANT as JSON text with every member and null it has; missing or JSON null -> '[]'."""
+    v = col(c)
+    return F.when(v.isNull() | F.is_variant_null(v), F.lit(empty)).otherwise(F.to_json(v))
 
 
 def release_link(release_id, base: str = DEFAULT_LINK_BASE) -> Column:

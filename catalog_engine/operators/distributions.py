@@ -75,45 +75,60 @@ def unit_histogram(df: DataFrame, col: str) -> DataFrame:
     return allv.join(counts, col, "left").select(col, F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 
 
-def kde(df: DataFrame, col: str, grid: int = 200, prebins: int = 8192) -> DataFrame:
-    """Gaussian density on `grid` points over [min, max], Scott bandwidth
-    (sd * n^(-1/5), sd with ddof 1). Rows are first reduced to at most
-    `prebins` weighted centres (count, mean of the bin), so the cost is
-    rows + prebins * grid, never rows * grid."""
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n"),
-               F.stddev_samp(col).alias("sd")).first()
+# Bins per bandwidth, and bandwidths beyond which a kernel adds nothing that a double shows.
+KDE_BINS, KDE_REACH = 20, 8.5
+
+
+def column_densities(df: DataFrame, cols: list[str], grid: int = 200) -> DataFrame:
+    """Gaussian densities of several columns in one long frame (column,
+    grid_index, x, density), on `grid` points over each column's [min, max] with
+    the Scott bandwidth h = sd * n^(-1/5) (sd with ddof 1).
+
+    Rows are first reduced to weighted centres (count, mean) of bins h / 20
+    wide, whatever the range, so a bin's spread stays far below the bandwidth at
+    any size; a centre adds only to the grid points within 8.5 h. One aggregate
+    gives all ranges and deviations, one stacked aggregate all centres.
+    Constant or empty columns have no density."""
     spark = df.sparkSession
-    lo, hi, n, sd = r["lo"], r["hi"], r["n"], r["sd"]
-    if not n or sd is None or sd == 0 or math.isnan(sd):
-        return spark.range(0).select(F.col("id").cast("int").alias("grid_index"),
+    r = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{k}") for k, c in enumerate(cols)
+                 for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count), ("sd", F.stddev_samp))]).first()
+    facts = []
+    for k, c in enumerate(cols):
+        lo, hi, n, sd = (r[f"{x}{k}"] for x in ("lo", "hi", "n", "sd"))
+        if n and sd and not math.isnan(sd):
+            facts.append((c, float(lo), float(hi), n, float(sd) * n ** (-1.0 / 5.0)))
+    if not facts:
+        return spark.range(0).select(F.lit("").alias("column"), F.col("id").cast("int").alias("grid_index"),
                                      F.lit(0.0).alias("x"), F.lit(0.0).alias("density"))
-    lo, hi = float(lo), float(hi)
-    h = float(sd) * n ** (-1.0 / 5.0)
-    plo, phi = _edges(lo, hi)
-    x = F.col(col).cast("double")
-    centres = (df.filter(F.col(col).isNotNull())
-                 .groupBy(F.least(F.floor((x - F.lit(plo)) * F.lit(prebins / (phi - plo))),
-                                  F.lit(prebins - 1)).alias("_b"))
-                 .agg(F.count(F.lit(1)).alias("_w"), F.avg(x).alias("_c")))
-    step = (hi - lo) / (grid - 1) if grid > 1 else 0.0
-    pts = centres.select("_w", "_c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("grid_index"))
-    g = F.col("grid_index").cast("double") * F.lit(step) + F.lit(lo)
-    z = (g - F.col("_c")) / F.lit(h)
-    contrib = F.col("_w") * F.exp(F.lit(-0.5) * z * z)
-    norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
-    return (pts.groupBy("grid_index").agg(F.sum(contrib).alias("_s"))
-               .select("grid_index", (F.col("grid_index").cast("double") * F.lit(step) + F.lit(lo)).alias("x"),
-                       (F.col("_s") * F.lit(norm)).alias("density")))
-
-
-def column_densities(df: DataFrame, cols: list[str], grid: int = 200, prebins: int = 8192) -> DataFrame:
-    """kde of several columns in one long frame (column, grid_index, x,
-    density): the diagonal of the pairwise relation."""
-    out = None
-    for c in cols:
-        k = kde(df, c, grid, prebins).select(F.lit(c).alias("column"), "grid_index", "x", "density")
-        out = k if out is None else out.unionByName(k)
-    return out
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v"))
+                                           for k, (c, *_) in enumerate(facts)]))).filter("v IS NOT NULL")
+
+    def per(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("k") + 1)
+
+    lo, h = per([f[1] for f in facts]), per([f[4] for f in facts])
+    step = per([(f[2] - f[1]) / (grid - 1) if grid > 1 else 0.0 for f in facts])
+    norm = per([1.0 / (f[3] * f[4] * math.sqrt(2 * math.pi)) for f in facts])
+    centres = (stacked.groupBy("k", F.floor((F.col("v") - lo) * F.lit(float(KDE_BINS)) / h).alias("b"))
+               .agg(F.count(F.lit(1)).alias("w"), F.avg("v").alias("c")))
+    reach = F.lit(KDE_REACH) * h
+    first = F.greatest(F.lit(0), F.ceil((F.col("c") - reach - lo) / step))
+    last = F.least(F.lit(grid - 1), F.floor((F.col("c") + reach - lo) / step))
+    g = F.col("grid_index").cast("double") * step + lo
+    z = (g - F.col("c")) / h
+    sums = (centres.filter(first <= last)
+            .withColumn("grid_index", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+            .groupBy("k", "grid_index").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s")))
+    every = spark.range(len(facts) * grid).select((F.col("id") / grid).cast("int").alias("k"),
+                                                  (F.col("id") % grid).cast("int").alias("grid_index"))
+    return every.join(sums, ["k", "grid_index"], "left").select(
+        per([f[0] for f in facts]).alias("column"), "grid_index", g.alias("x"),
+        (F.coalesce("s", F.lit(0.0)) * norm).alias("density"))
+
+
+def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
+    """The density of one column (grid_index, x, density); see column_densities."""
+    return column_densities(df, [col], grid).drop("column")
 
 
 def box_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
@@ -176,15 +191,17 @@ def points(df: DataFrame, x: str, y: str, colour: str | None = None, bins: int |
 
 def pairwise(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
     """Binned relation of every column pair (a < b in the given order):
-    (x_col, y_col, x_bin, y_bin, count). Each row is binned once per column,
-    then emits one cell per pair; all pairs aggregate in one partial agg."""
+    (x_col, y_col, x_bin, y_bin, count). Each row is binned once per column;
+    rows in the same bins are counted before they emit one cell per pair."""
     clean = df.select(*cols).dropna()
     r = clean.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     if r[f"lo_{cols[0]}"] is None:
         return df.sparkSession.createDataFrame([], "x_col string, y_col string, x_bin int, y_bin int, count long")
     binned = clean.select(*[bin_index(F.col(c).cast("double"), *_edges(r[f"lo_{c}"], r[f"hi_{c}"]), bins).alias(c)
                             for c in cols])
+    # equal rows of bins first, so that a row is expanded to pairs once per distinct cell
+    binned = binned.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     cells = [F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"), F.col(a).alias("x_bin"), F.col(b).alias("y_bin"))
              for i, a in enumerate(cols) for b in cols[i + 1:]]
-    return (binned.select(F.inline(F.array(*cells)))
-                  .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count")))
+    return (binned.select("_n", F.inline(F.array(*cells)))
+                  .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.sum("_n").alias("count")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +52,14 @@ def _record(title, year, genre, style, fmt, strict_price: bool, link_base: str):
 
 def normalise_payloads(payloads: DataFrame, link_base: str = DEFAULT_LINK_BASE, keep=()) -> DataFrame:
     """Id-list job: flatten payloads (RELEASE_PAYLOAD columns) to stored
-    releases. Defaults: title 'N/A', year 'Unknown', text fields '', community
+    releases; a payload without id (a malformed line) is skipped. Defaults: title 'N/A', year 'Unknown', text fields '', community
     numbers 0 (a JSON null counts as missing)."""
     cols = _record(
         F.coalesce("title", F.lit(NOT_AVAILABLE_TITLE)),
         F.coalesce("year", F.lit(UNKNOWN)),
         join_list("genres"), join_list("styles"), format_names("formats"),
         strict_price=False, link_base=link_base)
-    return payloads.select(*cols, *keep).select(*RAW_COLUMNS, *keep)
+    return payloads.filter("id IS NOT NULL").select(*cols, *keep).select(*RAW_COLUMNS, *keep)
 
 
 def normalise_search(hits: DataFrame, payloads: DataFrame, keep_missing: bool = True,
@@ -87,9 +85,18 @@ def clean_id_list(ids: DataFrame, col: str = "release_id") -> DataFrame:
 
 
 def existing_ids(store: DataFrame, key: str = "release_id") -> DataFrame:
+    """The distinct stored ids as text."""
     return store.select(F.col(key).cast("string").alias("release_id")).distinct()
 
 
+def ingest_ids(ids: DataFrame, store: DataFrame, payloads: DataFrame, link_base: str = DEFAULT_LINK_BASE) -> DataFrame:
+    """The id-list job: ids not stored yet, once each, with their saved
+    payloads flattened. Ids without a payload are skipped."""
+    todo = missing_ids(ids.distinct(), store).select(F.col("release_id").alias("_todo"))
+    found = payloads.filter("id IS NOT NULL").join(todo, F.col("id").cast("string") == F.col("_todo"), "left_semi")
+    return normalise_payloads(found, link_base=link_base)
+
+
 def missing_ids(ids: DataFrame, store: DataFrame, key: str = "release_id") -> DataFrame:
     """Ids of the list that are not in the store; duplicates of the list stay.
     An anti join: the planner broadcasts the store keys only when small."""
@@ -147,6 +154,3 @@ def search_state(df: DataFrame, per_page: int = SEARCH_PAGE_SIZE, **criteria) ->
         "total_items", F.lit(per_page).alias("per_page"),
         F.ceil(F.col("total_items") / F.lit(per_page)).cast("long").alias("total_pages"))
 
-
-def page_count(n: int, per_page: int) -> int:
-    return math.ceil(n / per_page)

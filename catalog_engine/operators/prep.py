@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..constants import ARTIST_TITLE_SEPARATOR, UNKNOWN
 from ..functions import (
-    artist_from_title, clean_title, first_link, fixed2, label_key, num_or_zero,
-    num_tracks, parse_int, preview, rating_display, release_year, strip,
+    artist_from_title, clean_title, display_tokens, first_link, fixed2, label_key, num_or_zero,
+    num_tracks, or_unknown, parse_int, preview, rating_display, release_year, strip,
     total_duration_min,
 )
 from ..schemas import CLEAN_COLUMNS
@@ -106,10 +106,6 @@ def filter_releases(df: DataFrame, entity: str = "artist", query: str = "", genr
     return df.filter(cond)
 
 
-def exclude_token(tokens, token: str):
-    return F.filter(tokens, lambda t: t != token)
-
-
 def restrict_to_top(df: DataFrame, col: str, top: DataFrame) -> DataFrame:
     """Rows whose `col` is in a computed top-N table. The top table is the
     output of a limit, so its size is bounded and it is broadcast."""
@@ -136,8 +132,9 @@ def entity_releases(df: DataFrame, entity: str, value: str, interacted: DataFram
         rows = rows.withColumn("is_interacted", F.lit(False))
     if display:
         rows = rows.select(
-            "id", "title", F.coalesce(F.nullif("label", F.lit("")), F.lit(UNKNOWN)).alias("label"),
-            F.coalesce("year", F.lit("")).alias("year"), "genre", "style",
+            "id", "title", or_unknown("label").alias("label"),
+            F.coalesce("year", F.lit("")).alias("year"),
+            display_tokens("genre").alias("genre"), display_tokens("style").alias("style"),
             rating_display("rating_coeff", "rating_count").alias("rating"),
             fixed2("demand_coeff").alias("demand"), fixed2("gem_value").alias("gem"),
             F.coalesce("have", F.lit(0)).alias("have"), F.coalesce("want", F.lit(0)).alias("want"),
@@ -145,5 +142,5 @@ def entity_releases(df: DataFrame, entity: str, value: str, interacted: DataFram
     return rows
 
 
-__all__ = ["preprocess", "clean_releases", "filter_releases", "exclude_token", "restrict_to_top",
+__all__ = ["preprocess", "clean_releases", "filter_releases", "restrict_to_top",
            "genre_contains_any", "entity_releases", "entity_key", "ARTIST_TITLE_SEPARATOR"]

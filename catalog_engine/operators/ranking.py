@@ -9,9 +9,6 @@ from ..constants import LEADERBOARD_PAGE_SIZE, LEADERBOARD_PRIOR_WEIGHT, LIST_SE
 from ..functions import as_number, round_to
 from .prep import entity_key, filter_releases
 
-# Scores equal to this many decimals are ties and fall back to the name.
-SCORE_DIGITS = 9
-
 
 def leaderboard(df: DataFrame, entity: str = "artist", m: float = LEADERBOARD_PRIOR_WEIGHT,
                 rating_col: str = "rating_coeff", **filters) -> DataFrame:
@@ -23,35 +20,37 @@ def leaderboard(df: DataFrame, entity: str = "artist", m: float = LEADERBOARD_PR
     dtype = rows.schema[rating_col].dataType
     r = as_number(rating_col, dtype)
     keyed = rows.select(entity_key(entity).alias(entity), r.alias("_r"))
-    g = keyed.agg(F.avg("_r").alias("g")).first()["g"]
     grouped = keyed.groupBy(entity).agg(F.sum("_r").alias("_sum"), F.count(F.lit(1)).alias("release_count"))
-    if g is None:
-        g = 0.0
+    # G from the groups, as a scalar subquery: the rows are scanned once, lazily
+    prior = grouped.agg((F.sum("_sum") / F.sum("release_count")).alias("g")).scalar()
     return grouped.select(
         entity, "release_count",
         (F.col("_sum") / F.col("release_count")).alias("average_rating_coeff"),
-        ((F.lit(float(m) * g) + F.col("_sum")) / (F.lit(float(m)) + F.col("release_count"))).alias("bayesian_score"),
+        ((F.lit(float(m)) * prior + F.col("_sum")) / (F.lit(float(m)) + F.col("release_count"))).alias("bayesian_score"),
     )
 
 
-def ranking_order(score: str, name: str):
-    return [round_to(score, SCORE_DIGITS).desc(), F.col(name).asc()]
+def ranking_order(score: str, name: str, digits: int | None = None):
+    """Score descending, then name. `digits` makes scores that agree to so many
+    decimals ties (for comparing engines that add in another order)."""
+    return [(F.col(score) if digits is None else round_to(score, digits)).desc(), F.col(name).asc()]
 
 
-def top_k(df: DataFrame, by: str, k: int, tie: str, digits: int | None = SCORE_DIGITS) -> DataFrame:
+def top_k(df: DataFrame, by: str, k: int, tie: str, digits: int | None = None) -> DataFrame:
     """First k rows by `by` descending, then `tie` ascending (TakeOrderedAndProject)."""
     key = round_to(by, digits) if digits is not None else F.col(by)
     return df.orderBy(key.desc(), F.col(tie).asc()).limit(k)
 
 
 def leaderboard_page(lb: DataFrame, page: int = 1, size: int = LEADERBOARD_PAGE_SIZE,
-                     score: str = "bayesian_score", name: str | None = None) -> DataFrame:
+                     score: str = "bayesian_score", name: str | None = None, digits: int | None = None) -> DataFrame:
     """Page `page` (1-based) of a ranked leaderboard with its 1-based rank.
     Only the first page*size rows are taken (a bounded top-k); the rank window
     runs over that small set, never over the whole input."""
     name = name or lb.columns[0]
-    head = lb.orderBy(*ranking_order(score, name)).limit(page * size)
-    w = Window.orderBy(*ranking_order(score, name))
+    order = ranking_order(score, name, digits)
+    head = lb.orderBy(*order).limit(page * size)
+    w = Window.orderBy(*order)
     ranked = head.withColumn("rank", F.row_number().over(w))
     return ranked.filter(F.col("rank") > (page - 1) * size).select("rank", *lb.columns)
 
@@ -75,7 +74,8 @@ def style_priors(stats: DataFrame) -> tuple[float, float]:
     return float(row["m"] or 0.0), float(row["c"] or 0.0)
 
 
-def best_styles(df: DataFrame, m: float | None = None, C: float | None = None, k: int = 100) -> DataFrame:
+def best_styles(df: DataFrame, m: float | None = None, C: float | None = None, k: int = 100,
+                digits: int | None = None) -> DataFrame:
     """Best-rated styles: per style token, sum and count of the rating
     coefficient, bayesian_avg = (sum + m*C) / (count + m), top k."""
     stats = style_stats(df)
@@ -85,4 +85,4 @@ def best_styles(df: DataFrame, m: float | None = None, C: float | None = None, k
         C = dc if C is None else C
     scored = stats.withColumn(
         "bayesian_avg", (F.col("sum_rating_coeff") + F.lit(m * C)) / (F.col("release_count") + F.lit(float(m))))
-    return top_k(scored, "bayesian_avg", k, "style_list")
+    return top_k(scored, "bayesian_avg", k, "style_list", digits)

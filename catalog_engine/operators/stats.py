@@ -11,12 +11,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .aggregates import top_values
-
 CORR_COLUMNS = ["average_rating", "rating_count", "have", "want", "rating_coefficient",
                 "demand_coefficient", "gem_value", "num_for_sale", "lowest_price", "num_tracks"]
 PRICE_FEATURES = ["average_rating", "rating_count", "have", "want", "rating_coefficient",
@@ -83,6 +81,9 @@ def moments(df: DataFrame, cols: list[str]):
 
 def _vif_values(n: int, mean: np.ndarray, S: np.ndarray) -> list[float]:
     p = len(mean)
+    # unit scales: the inflation does not depend on them, the solver does
+    scale = np.where(np.diag(S) > 0, np.sqrt(np.abs(np.diag(S)) / max(n, 1)), 1.0)
+    mean, S = mean / scale, S / np.outer(scale, scale)
     out = []
     # constant: regress 1 on the uncentred features (no intercept); VIF = n / SSR
     xtx = S + n * np.outer(mean, mean)
@@ -318,52 +319,62 @@ def ols_diagnostics(df: DataFrame, y: str = "lowest_price", xs: list[str] = OLS_
 
 # --- tree importances ---------------------------------------------------------------
 
-def train_test_split(df: DataFrame, test: float = 0.25, seed: int = 42):
-    """Seeded random split into (train, test)."""
-    train, tst = df.randomSplit([1.0 - test, test], seed=seed)
-    return train, tst
+def train_test_split(df: DataFrame, test: float = 0.25, seed: int = 42, key: str = "id"):
+    """(train, test) by a hash of the key and the seed: the same rows land in
+    the same part however the data are partitioned."""
+    digest = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), 1, 8)
+    in_test = digest < F.lit(f"{min(int(test * 2 ** 32), 2 ** 32 - 1):08x}")
+    return df.filter(~in_test), df.filter(in_test)
 
 
-def _capped(df: DataFrame, cols: list[str], max_categories: int) -> DataFrame:
-    """Whole-text categories capped to the most frequent ones; the rest -> 'other'."""
-    out = df
-    for c in cols:
-        keep = [r[c] for r in top_values(df, c, max_categories).collect()]
-        out = out.withColumn(c, F.when(F.col(c).isin(keep), F.col(c)).otherwise(F.lit("other")))
-    return out
+def category_gains(df: DataFrame, col: str, target: str, width: int) -> DataFrame:
+    """(value, index, gain): the `width` values whose split "is this value" takes
+    most of the target's variance, over all rows and all values, best first."""
+    y = F.col(target).cast("double")
+    whole = df.agg(F.count(y).alias("n"), F.avg(y).alias("m")).first()
+    n, m = whole["n"] or 0, whole["m"] or 0.0
+    per = df.groupBy(F.col(col).alias("value")).agg(F.count(y).alias("c"), F.avg(y).alias("a"))
+    gain = F.col("c") * F.pow(F.col("a") - F.lit(m), 2) / F.greatest(F.lit(n) - F.col("c"), F.lit(1))
+    best = per.select("value", gain.alias("gain")).orderBy(F.desc("gain"), "value").limit(width)
+    order = Window.orderBy(F.desc("gain"), "value")  # over the rows of a limit
+    return best.withColumn("index", F.row_number().over(order) - 1)
 
 
 def tree_importance(df: DataFrame, kind: str = "rf", target: str = "lowest_price",
                     numeric: list[str] = TREE_NUMERIC, categorical: list[str] = TREE_CATEGORICAL,
-                    max_categories: int = 50, k: int = 20, seed: int = 42) -> DataFrame:
-    """Top-k feature importances of a random forest (kind='rf') or gradient
-    boosted trees (kind='gbt') predicting the target from numeric columns and
-    one-hot whole-text categories."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+                    k: int = 20, seed: int = 42, trees: int = 20, depth: int | None = None,
+                    width: int = 200) -> DataFrame:
+    """Top-k feature importances of a random forest (kind='rf', depth 6) or
+    gradient boosted trees (kind='gbt', depth 4) predicting the target from
+    numeric columns and one-hot whole-text categories.
+
+    A tree learner keeps every feature of every row, so a column cannot have
+    one feature per text. Each categorical column gets `width` features: the
+    texts, common or rare, whose own split explains most of the target, measured
+    on all rows. Rows with other texts stay, with no such feature set."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    data = _capped(df.select(*numeric, *categorical, target).dropna(), categorical, max_categories)
-    idx = [f"{c}__idx" for c in categorical]
-    ohe = [f"{c}__ohe" for c in categorical]
-    stages = [StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
-                            stringOrderType="frequencyDesc"),
-              OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False),
-              VectorAssembler(inputCols=numeric + ohe, outputCol="_features")]
+    data = df.select(*numeric, *categorical, target).dropna()
+    names = list(numeric)
+    for c in categorical:
+        best = [(r["value"], r["index"]) for r in category_gains(data, c, target, width).collect()]
+        best.sort(key=lambda r: r[1])
+        names += [f"{c}_{v}" for v, _ in best] + [f"{c} (none)"] * (width - len(best))
+        table = df.sparkSession.createDataFrame(best, "_value string, _index int")  # at most `width` rows
+        data = (data.join(F.broadcast(table), data[c].cast("string") == F.col("_value"), "left")
+                .withColumn(f"{c}__idx", F.coalesce("_index", F.lit(width)).cast("double")).drop("_value", "_index"))
+    idx, ohe = [f"{c}__idx" for c in categorical], [f"{c}__ohe" for c in categorical]
+    # index `width` is the last category, which the encoder drops: no feature set
+    encoder = OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True)
+    sizes = df.sparkSession.createDataFrame([(float(i),) * len(idx) for i in (0, width)], ", ".join(f"{i} double" for i in idx))
+    data = encoder.fit(sizes).transform(data)
+    data = VectorAssembler(inputCols=numeric + ohe, outputCol="_features").transform(data)
+    data = data.select("_features", F.col(target).cast("double").alias(target))
     if kind == "rf":
-        est = RandomForestRegressor(featuresCol="_features", labelCol=target, numTrees=20, maxDepth=6, seed=seed)
+        est = RandomForestRegressor(featuresCol="_features", labelCol=target, numTrees=trees, maxDepth=depth or 6, seed=seed)
     else:
-        est = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=20, maxDepth=4, seed=seed)
-    model = Pipeline(stages=stages + [est]).fit(data)
-    feats = model.transform(data.limit(1)).schema["_features"].metadata["ml_attr"]["attrs"]
-    names = {}
-    for group in feats.values():
-        for a in group:
-            nm = a["name"]
-            for c in categorical:
-                if nm.startswith(f"{c}__ohe_"):
-                    nm = f"{c}_" + nm[len(f"{c}__ohe_"):]
-            names[a["idx"]] = nm
-    imp = model.stages[-1].featureImportances.toArray()
-    rows = sorted(((names.get(i, str(i)), float(v)) for i, v in enumerate(imp)), key=lambda t: (-t[1], t[0]))[:k]
+        est = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=trees, maxDepth=depth or 4, seed=seed)
+    found = est.fit(data).featureImportances
+    rows = sorted(zip(names, map(float, found.toArray())), key=lambda t: (-t[1], t[0]))[:k]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import EXCLUDED_STYLE, LIST_SEPARATOR
@@ -21,9 +21,9 @@ def gem_per_year(df: DataFrame) -> DataFrame:
               .agg(F.avg("gem_value").alias("average_gem_value")).orderBy("year"))
 
 
-def label_trend(df: DataFrame, n: int = 10) -> DataFrame:
+def label_trend(df: DataFrame, n: int = 10, digits: int | None = None) -> DataFrame:
     """(year, label, count) for the n most popular labels."""
-    top = top_k(label_stats(df), "popularity_score", n, "label_name")
+    top = top_k(label_stats(df), "popularity_score", n, "label_name", digits)
     e = restrict_to_top(exploded_labels(df), "label_name", top).dropna(subset=["year"])
     return e.groupBy("year", "label_name").agg(F.count(F.lit(1)).alias("release_count"))
 
@@ -53,6 +53,17 @@ def wide(long: DataFrame, key: str, values: list[str]) -> DataFrame:
     return w.fillna(0, subset=values).orderBy("year")
 
 
+def positional(long: DataFrame, key: str, top: DataFrame, n: int) -> DataFrame:
+    """Year x rank counts with fixed columns c01..cNN: the count of the
+    key that is first, second, ... in `top` (its keys and release counts)."""
+    w = Window.orderBy(F.desc("release_count"), F.asc(key))  # over the n rows of a limit
+    ranks = top.select(F.col(key).alias("_key"), F.row_number().over(w).alias("_rank"))
+    ranked = long.join(F.broadcast(ranks), F.col(key) == F.col("_key"))
+    return ranked.groupBy("year").agg(*[
+        F.coalesce(F.max(F.when(F.col("_rank") == k, F.col("release_count"))), F.lit(0)).alias(f"c{k:02d}")
+        for k in range(1, n + 1)])
+
+
 def style_trend_wide(df: DataFrame, n: int = 10, exclude: str = EXCLUDED_STYLE) -> DataFrame:
     values = [r["style"] for r in top_style_names(df, n, exclude).collect()]
     return wide(style_trend(df, n, exclude), "style", values)

@@ -9,9 +9,10 @@ the Spark output; doubles are rounded alike.
 from __future__ import annotations
 
 from ..constants import DEFAULT_LINK_BASE, VIDEO_ID_PATTERN, VIDEO_URL_PREFIX
+from ..schemas import RAW_COLUMNS
 from . import queries as Q
 
-STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+STRIP = "regexp_replace({0}, '^[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+|[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+$', '', 'g')"
 DURATION_RE = r"^\s*([+-]?\d+)\s*:\s*([+-]?\d+)\s*$"
 
 
@@ -41,20 +42,29 @@ agg AS (
     sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS price_cents,
     count(*) FILTER (WHERE l_linestatus = 'O') AS num_for_sale,
     min(l_extendedprice) AS lowest_price,
-    '[' || string_agg('{{"duration":"' || CAST(l_linenumber AS VARCHAR) || ':' ||
-         lpad(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 2, '0') || '"}}', ',' ORDER BY l_linenumber, CAST(l_quantity AS BIGINT)) || ']'
-      AS tracklist
+    coalesce('[' || string_agg('{{' || CASE l_linenumber WHEN 3 THEN '"duration":"none",' WHEN 4 THEN ''
+           ELSE '"duration":"' || CAST(l_linenumber AS VARCHAR) || ':' ||
+                lpad(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 2, '0') || '",' END ||
+           '"title":"T' || CAST(l_linenumber AS VARCHAR) || '"}}', ','
+           ORDER BY l_linenumber, CAST(l_quantity AS BIGINT)) FILTER (WHERE l_linenumber <> 2) || ']', '[]') AS tracklist
   FROM li GROUP BY id),
 facts AS (
   SELECT a.*, o.o_orderdate, c.c_name, n.n_name,
          CAST(a.discount_pct AS DOUBLE) / a.n_lines / 2.0 AS average_rating,
          CAST(floor(CAST(a.price_cents AS DOUBLE) / 1000000.0) AS BIGINT) AS want,
          c.c_name || ' - Order ' || CAST(a.id AS VARCHAR) AS title,
-         CAST(year(o.o_orderdate) AS VARCHAR) AS year_text,
+         CASE WHEN a.id % 41 = 0 THEN 'Unknown' ELSE CAST(year(o.o_orderdate) AS VARCHAR) END AS year_text,
          strftime(o.o_orderdate, '%Y-%m-%d') AS released,
-         '{VIDEO_URL_PREFIX}' || lpad(CAST(a.id AS VARCHAR), 11, '0') AS video_url,
-         '[' || array_to_string(list_transform(label_names, lambda x: '{{"name":"' || x || '"}}'), ',') || ']'
-           AS labels_json
+         CASE WHEN a.id % 11 = 0 THEN ''
+              WHEN a.id % 5 = 0 THEN '{VIDEO_URL_PREFIX}' || lpad(CAST(a.id AS VARCHAR), 11, '0') || ', ' ||
+                                     '{VIDEO_URL_PREFIX}' || lpad(CAST(a.id AS VARCHAR), 11, '0') || '&t=1'
+              ELSE '{VIDEO_URL_PREFIX}' || lpad(CAST(a.id AS VARCHAR), 11, '0') END AS video_url,
+         '[' || array_to_string(list_transform(label_names, lambda x: '{{"catno":"C' || CAST(a.id AS VARCHAR) || '","name":' ||
+           CASE WHEN a.id % 97 = 0 AND x = label_names[1] THEN 'null' ELSE '"' || x || '"' END || '}}'), ',') || ']'
+           AS labels_json,
+         array_to_string(list_transform(label_names, lambda x:
+           CASE WHEN a.id % 97 = 0 AND x = label_names[1] THEN '' ELSE x END), ', ') AS label_text,
+         CASE WHEN a.id % 53 = 0 THEN '' ELSE n.n_name END AS country_text
   FROM agg a JOIN orders o ON a.id = o.o_orderkey
              JOIN customer c ON o.o_custkey = c.c_custkey
              JOIN nation n ON c.c_nationkey = n.n_nationkey),
@@ -68,7 +78,7 @@ scored AS (
 raw AS (
   SELECT id, CAST(id AS VARCHAR) AS release_id, title, year_text AS year,
     array_to_string(genres, ', ') AS genre, array_to_string(styles, ', ') AS style,
-    array_to_string(format_names, ', ') AS format, label_names[1] AS label, n_name AS country,
+    array_to_string(format_names, ', ') AS format, label_text AS label, country_text AS country,
     average_rating, n_lines AS rating_count, have, want, rc AS rating_coefficient,
     '{DEFAULT_LINK_BASE}' || CAST(id AS VARCHAR) AS link, video_url AS youtube_links,
     dc AS demand_coefficient, rc * dc AS gem_value, c_name AS artists_sort, labels_json AS labels,
@@ -124,12 +134,7 @@ def with_base(*ctes: str, select: str) -> str:
 
 ORACLES["q_releases"] = with_base(select=f"SELECT {RAW_COLS} FROM raw")
 
-PAYLOAD_RAW = """payload_raw AS (
-  SELECT id, release_id, title, year, genre, style, format,
-         array_to_string(label_names, ', ') AS label, country, average_rating, rating_count, have, want,
-         rating_coefficient, link, youtube_links, demand_coefficient, gem_value, artists_sort, labels,
-         num_for_sale, lowest_price, released, tracklist, extraartists, images, thumb
-  FROM raw JOIN (SELECT id AS _id, label_names FROM agg) ON raw.id = _id)"""
+PAYLOAD_RAW = "payload_raw AS (SELECT * FROM raw)"
 ORACLES["q_normalise_payloads"] = with_base(PAYLOAD_RAW, select=f"SELECT {RAW_COLS} FROM payload_raw")
 ORACLES["q_stream_ingest"] = ORACLES["q_normalise_payloads"]
 
@@ -209,7 +214,18 @@ SELECT count(*) AS total_items, {Q.SEARCH['per_page']} AS per_page,
        CAST(ceil(count(*) / {Q.SEARCH['per_page']}) AS BIGINT) AS total_pages
 FROM raw WHERE {_search_where()}""")
 
-ORACLES["q_sorted_by_gem"] = with_base(select="SELECT id, release_id, round(gem_value, 6) AS gem_value FROM raw")
+ORACLES["q_sorted_by_gem"] = with_base(select=f"""
+SELECT {RAW_COLS}, row_number() OVER (ORDER BY round(gem_value, 9) DESC, id ASC) - 1 AS position FROM raw""")
+ORACLES["q_idlist_ingest"] = with_base(select=f"SELECT {RAW_COLS} FROM raw WHERE released >= '1998-01-01'")
+ORACLES["q_truncated"] = with_base(select="""
+SELECT count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS left_after_delete FROM raw WHERE year = '1996'""")
+ORACLES["q_export_records"] = with_base(select="SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in RAW_COLUMNS) + " FROM raw")
+
+ORACLES["q_saved_search_state"] = with_base(select=f"""
+SELECT 3 AS resume_page, CAST(count(*) AS INTEGER) AS total_items, {Q.SEARCH['per_page']} AS per_page,
+       {q(Q.SEARCH['sort'])} AS sort, {q(','.join(Q.SEARCH['genres']))} AS genres, {q(Q.SEARCH['year'])} AS year
+FROM raw WHERE {_search_where()}""")
 
 # --- aggregations --------------------------------------------------------------------
 
@@ -285,7 +301,7 @@ def _terms(col: str, exclude=()) -> str:
     ex = f" WHERE tok NOT IN ({', '.join(q(e) for e in exclude)})" if exclude else ""
     return with_base(select=f"""
 SELECT lower(w) AS term, count(*) AS frequency FROM (
-  SELECT unnest(regexp_extract_all(tok, '\\w[\\w'']+')) AS w FROM (
+  SELECT unnest(regexp_extract_all(tok, '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}][\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}'']+')) AS w FROM (
     SELECT unnest(string_split({col}, ', ')) AS tok FROM prep){ex})
 GROUP BY lower(w)""")
 
@@ -356,13 +372,22 @@ FROM (
   FROM clean WHERE {ARTIST} = (SELECT artist FROM top1))""")
 
 def _fixed2(v: str) -> str:
-    return f"CASE WHEN {v} IS NULL OR isnan({v}) OR {v} = 0 THEN '0.00' ELSE printf('%.2f', round({v}, 2)) END"
+    # printf works on the exact value; it takes exact ties to the even digit, the display takes them up
+    tie = f"{v} * 8 = floor({v} * 8)"
+    return (f"CASE WHEN {v} IS NULL OR isnan({v}) OR {v} = 0 THEN '0.00' "
+            f"ELSE printf('%.2f', CASE WHEN {tie} THEN {v} + 1e-9 ELSE {v} END) END")
+
+
+def _shown_tokens(c: str) -> str:
+    v = f"coalesce(nullif({c}, ''), 'Unknown')"
+    return f"array_to_string(list_transform(string_split({v}, ','), lambda x: {strip('x')}), ', ') AS {c}"
 
 
 ORACLES["q_artist_releases_display"] = with_base(_leaderboard_cte("artist"), """top1 AS (
   SELECT artist FROM lb ORDER BY round(bayesian_score, 9) DESC, artist ASC LIMIT 1)""", """seen AS (
   SELECT DISTINCT user_id AS id FROM events)""", select=f"""
-SELECT id, title, coalesce(nullif(label, ''), 'Unknown') AS label, coalesce(year, '') AS year, genre, style,
+SELECT id, title, coalesce(nullif(label, ''), 'Unknown') AS label, coalesce(year, '') AS year,
+  {_shown_tokens('genre')}, {_shown_tokens('style')},
   {_fixed2('rating_coeff')} || ' (' || CAST(coalesce(rating_count, 0) AS VARCHAR) || ')' AS rating,
   {_fixed2('demand_coeff')} AS demand, {_fixed2('gem_value')} AS gem,
   coalesce(have, 0) AS have, coalesce(want, 0) AS want,
@@ -409,9 +434,18 @@ st_long AS (
   SELECT year, style, count(*) AS release_count FROM sty
   WHERE style IN (SELECT style FROM topst) GROUP BY year, style)"""
 ORACLES["q_style_trend"] = with_base(STYLE_TOP, select="SELECT year, style, release_count FROM st_long")
-ORACLES["q_style_trend_wide"] = with_base(STYLE_TOP, select="""
-SELECT year, CAST(COALESCE(COLUMNS(* EXCLUDE (year)), 0) AS BIGINT)
-FROM (PIVOT st_long ON style USING sum(release_count) GROUP BY year) ORDER BY year""")
+
+
+def _positional(key: str, long: str, ranked: str) -> str:
+    cols = ", ".join(f"CAST(coalesce(max(CASE WHEN rk = {k} THEN release_count END), 0) AS BIGINT) AS c{k:02d}"
+                     for k in range(1, 11))
+    return f"SELECT year, {cols} FROM {long} JOIN {ranked} USING ({key}) GROUP BY year"
+
+
+ORACLES["q_style_trend_wide"] = with_base(STYLE_TOP, f"""rk AS (
+  SELECT style, row_number() OVER (ORDER BY count(*) DESC, style ASC) AS rk
+  FROM (SELECT unnest(string_split(style, ', ')) AS style FROM prep) WHERE style <> {q(Q.EXCLUDED_STYLE)} GROUP BY style)""",
+                                          select=_positional("style", "st_long", "rk"))
 ORACLES["q_style_defining"] = with_base(STYLE_TOP, """firsts AS (
   SELECT style, min(year) AS fy FROM sty WHERE style IN (SELECT style FROM topst) AND year IS NOT NULL
   GROUP BY style)""", select="""
@@ -425,9 +459,9 @@ c_long AS (
   SELECT year, country, count(*) AS release_count FROM prep
   WHERE country IN (SELECT country FROM topc) GROUP BY year, country)"""
 ORACLES["q_country_trend"] = with_base(COUNTRY_TOP, select="SELECT year, country, release_count FROM c_long")
-ORACLES["q_country_trend_wide"] = with_base(COUNTRY_TOP, select="""
-SELECT year, CAST(COALESCE(COLUMNS(* EXCLUDE (year)), 0) AS BIGINT)
-FROM (PIVOT c_long ON country USING sum(release_count) GROUP BY year) ORDER BY year""")
+ORACLES["q_country_trend_wide"] = with_base(COUNTRY_TOP, """rk AS (
+  SELECT country, row_number() OVER (ORDER BY count(*) DESC, country ASC) AS rk
+  FROM prep WHERE country IS NOT NULL GROUP BY country)""", select=_positional("country", "c_long", "rk"))
 
 # --- distributions ----------------------------------------------------------------------
 
@@ -468,13 +502,11 @@ FROM range(0, (SELECT max(num_tracks) FROM prep) + 1) g
 LEFT JOIN (SELECT CAST(num_tracks AS BIGINT) AS v, count(*) AS n FROM prep GROUP BY v) c ON c.v = g.range""")
 
 
-def _kde_parts(col: str, tag: str = "", grid: int = Q.KDE_GRID, pre: int = Q.KDE_PREBINS, label: bool = False):
+def _kde_parts(col: str, tag: str = "", grid: int = Q.KDE_GRID, label: bool = False):
     kd, ks, kc = f"kd{tag}", f"ks{tag}", f"kc{tag}"
     ctes = [f"""{kd} AS (SELECT CAST({col} AS DOUBLE) AS v FROM prep WHERE {col} IS NOT NULL)""", f"""{ks} AS (
-  SELECT min(v) AS lo, max(v) AS hi, count(v) AS n, stddev_samp(v) AS sd,
-         CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS plo,
-         CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS phi FROM {kd})""", f"""{kc} AS (
-  SELECT least(floor((v - plo) * ({pre} / (phi - plo))), {pre - 1}) AS b, count(*) AS w, avg(v) AS c
+  SELECT min(v) AS lo, max(v) AS hi, count(v) AS n, stddev_samp(v) AS sd FROM {kd})""", f"""{kc} AS (
+  SELECT floor((v - lo) * 20.0 / (sd * pow(n, -1.0 / 5.0))) AS b, count(*) AS w, avg(v) AS c
   FROM {kd}, {ks} GROUP BY b)"""]
     g = f"(CAST(j.range AS DOUBLE) * ((hi - lo) / {grid - 1}) + lo)"
     h = "(sd * pow(n, -1.0 / 5.0))"
@@ -592,6 +624,61 @@ SELECT round(regr_slope(lowest_price, gem_value), 6) AS slope,
 FROM prep WHERE lowest_price IS NOT NULL AND gem_value IS NOT NULL""")
 
 
+ORACLES["q_split_counts"] = with_base(select="""
+SELECT part, count(*) AS n FROM (
+  SELECT CASE WHEN substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8) < '40000000' THEN 'test' ELSE 'train' END AS part FROM prep)
+GROUP BY part""")
+ORACLES["q_csv_written"] = ORACLES["q_best_styles"]
+
+
+def _report_oracle() -> str:
+    def ranked(section: str, source: str, key: str, metrics: list[str], order: str, limit: int, digits: bool = True) -> str:
+        score = f"round({order}, 9)" if digits else order
+        top = (f"(SELECT *, row_number() OVER (ORDER BY {score} DESC, {key} ASC) AS rk FROM {source})")
+        return "\nUNION ALL\n".join(
+            f"SELECT {q(section)} AS section, CAST(rk AS INTEGER) AS rank, {key} AS key, {q(m)} AS metric, "
+            f"round(CAST({m} AS DOUBLE), 6) AS value FROM {top} WHERE rk <= {limit}" for m in metrics)
+
+    def tokens(col: str, exclude: str = "") -> str:
+        return (f"(SELECT {col}, count(*) AS release_count FROM (SELECT unnest(string_split({col}, ', ')) AS {col} FROM prep)"
+                f"{exclude} GROUP BY {col})")
+
+    def artists(measure: str, alias: str) -> str:
+        return f"(SELECT artist, avg({measure}) AS {alias}, count(artist) AS release_count FROM art GROUP BY artist)"
+    summary = {"total_releases": "count(*)", "average_rating": "avg(average_rating)",
+               "median_rating": "quantile_cont(average_rating, 0.5)", "average_rating_count": "avg(rating_count)",
+               "average_demand_coefficient": "avg(demand_coefficient)", "average_gem_value": "avg(gem_value)",
+               "average_lowest_price": "avg(lowest_price)", "average_num_tracks": "avg(num_tracks)",
+               "average_total_duration": "avg(total_duration_min)"}
+    cols = _ST.CORR_COLUMNS + ["total_duration_min"]
+    parts = [f"SELECT 'summary' AS section, 0 AS rank, '' AS key, {q(k)} AS metric, round(CAST({e} AS DOUBLE), 6) AS value FROM prep"
+             for k, e in summary.items()]
+    parts += [
+        ranked("genres", tokens("genre"), "genre", ["release_count"], "release_count", 10, False),
+        ranked("styles", tokens("style", f" WHERE style <> {q(Q.EXCLUDED_STYLE)}"), "style", ["release_count"],
+               "release_count", 10, False),
+        ranked("labels_by_popularity", "label_stats", "label_name",
+               ["average_want", "average_rating_coeff", "release_count", "popularity_score"], "popularity_score", 100),
+        ranked("labels_by_rating", "label_stats", "label_name", ["average_rating_coeff", "release_count"],
+               "average_rating_coeff", 100),
+        ranked("artists_by_popularity", artists("want", "average_want"), "artist", ["average_want", "release_count"],
+               "average_want", 100),
+        ranked("artists_by_rating", artists("rating_coefficient", "average_rating_coeff"), "artist",
+               ["average_rating_coeff", "release_count"], "average_rating_coeff", 100),
+        ranked("countries", "(SELECT country, count(*) AS release_count FROM prep WHERE country IS NOT NULL GROUP BY country)",
+               "country", ["release_count"], "release_count", 20, False),
+        ranked("formats", tokens("format"), "format", ["release_count"], "release_count", 10, False)]
+    parts += [f"SELECT 'correlations' AS section, 0 AS rank, {q(a)} AS key, {q(b)} AS metric, {_corr(a, b)} AS value FROM prep"
+              for a in cols for b in cols]
+    art = f"""art AS (
+  SELECT CASE WHEN {strip('artists_sort')} = '' THEN 'Unknown' ELSE {strip('artists_sort')} END AS artist, want, rating_coefficient
+  FROM prep WHERE artists_sort IS NOT NULL)"""
+    return with_base(LABELS, art, select="\nUNION ALL\n".join(parts))
+
+
+ORACLES["q_report"] = _report_oracle()
+
+
 def two_step_rounding(sql: str) -> str:
     """Rewrite every round(expr, d) with a literal d into
     round(round(expr, d + 3), d), matching functions.round_to."""

@@ -33,6 +33,10 @@ SEARCH = dict(genres=["MEDIUM"], formats=["R"], year="1996-1998", sort="rating",
 SEARCH_PAGE = 2
 LEADERBOARD_FILTER = dict(query="order 1", genre="MEDIUM", year_min="1996", year_max="1999")
 
+# Scores that agree to this many decimals are ties in the queries, because two
+# engines add up in different orders; the operators compare exact scores.
+TIE_DIGITS = 9
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
@@ -99,21 +103,22 @@ def _search_batch(spark, d):
     """A search ingest batch with one replayed page: the replay carries a
     marked title and a later position, so first-wins is observable."""
     rows = ET.normalise_search(TB.search_hits(spark, d), TB.payload_store(spark, d))
-    both = rows.withColumn("_pos", F.explode(F.array(F.lit(0), F.lit(1))))
-    return both.withColumn("title", F.when(F.col("_pos") == 1, F.concat("title", F.lit(" (replay)")))
-                           .otherwise(F.col("title")))
+    both = rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.withColumn("_pos", F.col("id") * 2 + F.col("_copy"))
+    return both.withColumn("title", F.when(F.col("_copy") == 1, F.concat("title", F.lit(" (replay)")))
+                           .otherwise(F.col("title"))).drop("_copy")
 
 
 @query("q_insert_or_ignore")
 def q_insert_or_ignore(spark, d):
     batch = _search_batch(spark, d)
-    return rounded(IO.insert_or_ignore(raw(spark, d), batch, "release_id", ["_pos", "id"], RAW_COLUMNS))
+    return rounded(IO.insert_or_ignore(raw(spark, d), batch, "release_id", "_pos", RAW_COLUMNS))
 
 
 @query("q_clean_insert")
 def q_clean_insert(spark, d):
     batch = clean_releases(_search_batch(spark, d), keep=("_pos",))
-    return rounded(IO.insert_or_ignore(clean(spark, d), batch, "id", ["_pos"], CLEAN_COLUMNS))
+    return rounded(IO.insert_or_ignore(clean(spark, d), batch, "id", "_pos", CLEAN_COLUMNS))
 
 
 @query("q_search")
@@ -129,8 +134,66 @@ def q_search_state(spark, d):
 
 @query("q_sorted_by_gem")
 def q_sorted_by_gem(spark, d):
-    gv = F.coalesce(F.col("gem_value").cast("string").try_cast("double"), F.lit(0.0))
-    return rounded(raw(spark, d).orderBy(gv.desc(), F.col("id").asc()).select("id", "release_id", "gem_value"))
+    """The whole table in gem order, with each row's position."""
+    from ..sources.files import sorted_positions
+    order_free = raw(spark, d).withColumn("gem_value", round_to("gem_value", 9))  # engines multiply alike, add not
+    return rounded(sorted_positions(order_free))
+
+
+@query("q_idlist_ingest")
+def q_idlist_ingest(spark, d):
+    """The id-list job: an id file, a store that holds the releases up to 1997,
+    and the saved payloads; the rows it would append."""
+    from ..sources.files import read_release_ids
+    ids = read_release_ids(spark, TB.id_list_csv(spark, d))
+    stored = raw(spark, d).filter("released < '1998-01-01'")
+    return rounded(ET.ingest_ids(ids, stored, TB.payload_store(spark, d)))
+
+
+def _written(spark, name: str) -> str:
+    import uuid
+    from ..session import checkpoint_root
+    return f"{checkpoint_root(spark)}/catalog_written/{name}-{uuid.uuid4().hex}"
+
+
+@query("q_csv_written")
+def q_csv_written(spark, d):
+    """The best-styles table written as CSV with a header and read back."""
+    from ..sources.files import write_csv
+    path = _written(spark, "styles")
+    write_csv(rounded(R.best_styles(prep(spark, d), digits=TIE_DIGITS)), path)
+    return spark.read.option("header", True).schema(
+        "style_list string, sum_rating_coeff double, release_count long, bayesian_avg double").csv(path)
+
+
+@query("q_truncated")
+def q_truncated(spark, d):
+    """A copy of the store emptied for a new search, then filled with the
+    releases of 1996: what it holds."""
+    from ..sources.files import delete_all
+    path = _written(spark, "store")
+    raw(spark, d).select("id", "year").write.parquet(path)
+    delete_all(spark, path, T.StructType([T.StructField("id", T.LongType()), T.StructField("year", T.StringType())]))
+    emptied = spark.read.parquet(path).count()
+    raw(spark, d).filter("year = '1996'").select("id", "year").write.mode("append").parquet(path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum")).withColumn(
+        "left_after_delete", F.lit(emptied).cast("long"))
+
+
+@query("q_saved_search_state")
+def q_saved_search_state(spark, d):
+    """The progress record of a search, replaced once and read back: the page to resume at."""
+    from ..sources.files import load_search_state, save_search_state
+    crit = {k: v for k, v in SEARCH.items() if k not in ("per_page",)}
+    total = ET.search_state(raw(spark, d), per_page=SEARCH["per_page"], **crit).first()["total_items"]
+    path = _written(spark, "state")
+    state = dict(SEARCH, sort_order=SEARCH["order"], total_items=total)
+    for page in (1, 2):
+        save_search_state(spark, path, dict(state, last_page_fetched=page))
+    got = load_search_state(spark, path)
+    return spark.createDataFrame([(got["last_page_fetched"] + 1, got["total_items"], got["per_page"], got["sort"],
+                                   ",".join(got["genres"]), got["year"])],
+                                 "resume_page int, total_items int, per_page int, sort string, genres string, year string")
 
 
 @query("q_export_records")
@@ -163,23 +226,23 @@ def q_top_countries(spark, d):
 
 @query("q_top_labels_popularity")
 def q_top_labels_popularity(spark, d):
-    return rounded(R.top_k(AG.label_stats(prep(spark, d)), "popularity_score", 100, "label_name"))
+    return rounded(R.top_k(AG.label_stats(prep(spark, d)), "popularity_score", 100, "label_name", TIE_DIGITS))
 
 
 @query("q_top_labels_rating")
 def q_top_labels_rating(spark, d):
-    return rounded(R.top_k(AG.label_stats(prep(spark, d)), "average_rating_coeff", 100, "label_name"))
+    return rounded(R.top_k(AG.label_stats(prep(spark, d)), "average_rating_coeff", 100, "label_name", TIE_DIGITS))
 
 
 @query("q_top_artists_want")
 def q_top_artists_want(spark, d):
-    return rounded(R.top_k(AG.artist_stats(prep(spark, d), "want", "average_want"), "average_want", 100, "artist"))
+    return rounded(R.top_k(AG.artist_stats(prep(spark, d), "want", "average_want"), "average_want", 100, "artist", TIE_DIGITS))
 
 
 @query("q_top_artists_rating")
 def q_top_artists_rating(spark, d):
     s = AG.artist_stats(prep(spark, d), "rating_coefficient", "average_rating_coeff")
-    return rounded(R.top_k(s, "average_rating_coeff", 100, "artist"))
+    return rounded(R.top_k(s, "average_rating_coeff", 100, "artist", TIE_DIGITS))
 
 
 @query("q_summary")
@@ -221,12 +284,12 @@ def q_label_leaderboard(spark, d):
 
 @query("q_artist_leaderboard_page")
 def q_artist_leaderboard_page(spark, d):
-    return rounded(R.leaderboard_page(R.leaderboard(clean(spark, d), "artist"), page=1))
+    return rounded(R.leaderboard_page(R.leaderboard(clean(spark, d), "artist"), page=1, digits=TIE_DIGITS))
 
 
 @query("q_label_leaderboard_page")
 def q_label_leaderboard_page(spark, d):
-    return rounded(R.leaderboard_page(R.leaderboard(clean(spark, d), "label"), page=2))
+    return rounded(R.leaderboard_page(R.leaderboard(clean(spark, d), "label"), page=2, digits=TIE_DIGITS))
 
 
 @query("q_artist_leaderboard_filtered")
@@ -247,7 +310,7 @@ def q_label_pages(spark, d):
 @query("q_artist_releases")
 def q_artist_releases(spark, d):
     c = clean(spark, d)
-    top = R.leaderboard_page(R.leaderboard(c, "artist"), page=1).first()
+    top = R.leaderboard_page(R.leaderboard(c, "artist"), page=1, digits=TIE_DIGITS).first()
     value = top["artist"] if top else ""
     return rounded(entity_releases(c, "artist", value, TB.interacted_ids(spark, d)))
 
@@ -257,14 +320,14 @@ def q_artist_releases_display(spark, d):
     """The drill-down rows as displayed: 2-decimal scores, 'x.xx (n)' rating,
     placeholders for empty values, video id or link status."""
     c = clean(spark, d)
-    top = R.leaderboard_page(R.leaderboard(c, "artist"), page=1).first()
+    top = R.leaderboard_page(R.leaderboard(c, "artist"), page=1, digits=TIE_DIGITS).first()
     value = top["artist"] if top else ""
     return entity_releases(c, "artist", value, TB.interacted_ids(spark, d), display=True)
 
 
 @query("q_best_styles")
 def q_best_styles(spark, d):
-    return rounded(R.best_styles(prep(spark, d)))
+    return rounded(R.best_styles(prep(spark, d), digits=TIE_DIGITS))
 
 
 # --- trends -----------------------------------------------------------------------------
@@ -281,7 +344,7 @@ def q_gem_per_year(spark, d):
 
 @query("q_label_trend")
 def q_label_trend(spark, d):
-    return TR.label_trend(prep(spark, d))
+    return TR.label_trend(prep(spark, d), digits=TIE_DIGITS)
 
 
 @query("q_style_trend")
@@ -291,7 +354,9 @@ def q_style_trend(spark, d):
 
 @query("q_style_trend_wide")
 def q_style_trend_wide(spark, d):
-    return TR.style_trend_wide(prep(spark, d), exclude=EXCLUDED_STYLE)
+    p = prep(spark, d)
+    return TR.positional(TR.style_trend(p, exclude=EXCLUDED_STYLE), "style",
+                         TR.top_style_names(p, exclude=EXCLUDED_STYLE), 10)
 
 
 @query("q_style_defining")
@@ -306,7 +371,8 @@ def q_country_trend(spark, d):
 
 @query("q_country_trend_wide")
 def q_country_trend_wide(spark, d):
-    return TR.country_trend_wide(prep(spark, d))
+    p = prep(spark, d)
+    return TR.positional(TR.country_trend(p), "country", AG.top_values(p, "country", 10), 10)
 
 
 # --- distributions ------------------------------------------------------------------------
@@ -341,7 +407,6 @@ PAIRWISE_COLUMNS = ["lowest_price", "gem_value", "demand_coefficient", "rating_c
                     "average_rating", "rating_count", "have", "want"]
 PAIRWISE_BINS = 20
 KDE_GRID = 200
-KDE_PREBINS = 8192
 
 
 def _hist(col, bins):
@@ -349,7 +414,7 @@ def _hist(col, bins):
 
 
 def _kde(col):
-    return lambda spark, d: rounded(D.kde(prep(spark, d), col, KDE_GRID, KDE_PREBINS), 9)
+    return lambda spark, d: rounded(D.kde(prep(spark, d), col, KDE_GRID), 9)
 
 
 def _xy(x, y, c):
@@ -386,7 +451,7 @@ def q_pairwise(spark, d):
 
 @query("q_pairwise_diagonal")
 def q_pairwise_diagonal(spark, d):
-    return rounded(D.column_densities(prep(spark, d), PAIRWISE_COLUMNS, KDE_GRID, KDE_PREBINS), 9)
+    return rounded(D.column_densities(prep(spark, d), PAIRWISE_COLUMNS, KDE_GRID), 9)
 
 
 # --- statistics and models ----------------------------------------------------------------------
@@ -457,10 +522,9 @@ def q_stream_ingest(spark, d):
 
 @query("q_report")
 def q_report(spark, d):
-    """The text summary report, one row per line (section order kept in line_no)."""
-    from .report import render_report, summary_tables
-    text = render_report(summary_tables(prep(spark, d), excluded_style=EXCLUDED_STYLE))
-    return spark.createDataFrame(list(enumerate(text.split("\n"))), "line_no int, line string")
+    """The report's contents as one long table (section, rank, key, metric, value)."""
+    from .report import report_table
+    return rounded(report_table(prep(spark, d), excluded_style=EXCLUDED_STYLE, digits=TIE_DIGITS))
 
 
 @query("q_split_counts")

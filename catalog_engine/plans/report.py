@@ -1,62 +1,89 @@
-"""The text summary report (IO-11): each section is a DataFrame; rendering
-is a thin driver-side formatter over those small results (at most 121 rows
-per section)."""
+"""The summary report (IO-11): one long table of all sections, and its text.
+
+The table (section, rank, key, metric, value) is a union of small frames; the
+label statistics are shared. Formatting it as text is a thin driver-side step
+over those few hundred rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from ..constants import EXCLUDED_STYLE
+from ..constants import EXCLUDED_STYLE, REPORT_SECTIONS, REPORT_SUMMARY, REPORT_TITLE
 from ..operators import aggregates as AG
 from ..operators import ranking as R
 from ..operators import stats as ST
 
-TITLE = "=== Release Catalogue Analysis Summary ==="
+SCHEMA = "section string, rank int, key string, metric string, value double"
 
 
-def summary_tables(df: DataFrame, excluded_style: str = EXCLUDED_STYLE) -> dict[str, DataFrame]:
-    """Report sections over the prepared analysis frame, in report order."""
-    labels = AG.label_stats(df)
-    corr_cols = ST.CORR_COLUMNS + (["total_duration_min"] if "total_duration_min" in df.columns else [])
-    return {
-        "Summary": AG.summary(df),
-        "Top 10 Genres": AG.top_tokens(df, "genre", 10),
-        f"Top 10 Styles (Excluding '{excluded_style}')": AG.top_tokens(df, "style", 10, exclude=[excluded_style]),
-        "Top 100 Labels by Popularity (Average Want + Average Rating Coefficient)":
-            R.top_k(labels, "popularity_score", 100, "label_name"),
-        "Top 100 Best Rated Labels (Average Rating Coefficient per Release)":
-            R.top_k(labels, "average_rating_coeff", 100, "label_name"),
-        "Top 100 Artists by Popularity (Average Want Count per Release)":
-            R.top_k(AG.artist_stats(df, "want", "average_want"), "average_want", 100, "artist"),
-        "Top 100 Best Rated Artists (Average Rating Coefficient per Release)":
-            R.top_k(AG.artist_stats(df, "rating_coefficient", "average_rating_coeff"),
-                    "average_rating_coeff", 100, "artist"),
-        "Top 20 Countries by Number of Releases": AG.top_values(df, "country", 20),
-        "Top 10 Formats": AG.top_tokens(df, "format", 10),
-        "Key Correlations": ST.corr_matrix(df, corr_cols),
-    }
+def _section(name: str, df: DataFrame, key: str, metrics: list[str], order: str, tie: str,
+             digits: int | None) -> DataFrame:
+    """A ranked section as long rows; `df` is the output of a limit."""
+    ranked = df.withColumn("rank", F.row_number().over(Window.orderBy(*R.ranking_order(order, tie, digits))))
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return ranked.select(F.lit(name).alias("section"), "rank", F.col(key).alias("key"), F.inline(cells))
 
 
-def _fmt(v) -> str:
-    if isinstance(v, float):
-        return f"{v:.6g}"
-    return "" if v is None else str(v)
+def report_table(df: DataFrame, excluded_style: str = EXCLUDED_STYLE, digits: int | None = None) -> DataFrame:
+    """All sections over the prepared analysis frame."""
+    labels = AG.label_stats(df)
+    whole = AG.summary(df)
+    corr_cols = ST.CORR_COLUMNS + (["total_duration_min"] if "total_duration_min" in df.columns else [])
+    counts = ["release_count"]
+    parts = [
+        whole.select(F.lit("summary").alias("section"), F.lit(0).alias("rank"), F.lit("").alias("key"), F.inline(F.array(
+            *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in whole.columns]))),
+        _section("genres", AG.top_tokens(df, "genre", 10), "genre", counts, "release_count", "genre", None),
+        _section("styles", AG.top_tokens(df, "style", 10, exclude=[excluded_style]), "style", counts, "release_count",
+                 "style", None),
+        _section("labels_by_popularity", R.top_k(labels, "popularity_score", 100, "label_name", digits), "label_name",
+                 ["average_want", "average_rating_coeff", "release_count", "popularity_score"], "popularity_score",
+                 "label_name", digits),
+        _section("labels_by_rating", R.top_k(labels, "average_rating_coeff", 100, "label_name", digits), "label_name",
+                 ["average_rating_coeff", "release_count"], "average_rating_coeff", "label_name", digits),
+        _section("artists_by_popularity", R.top_k(AG.artist_stats(df, "want", "average_want"), "average_want", 100,
+                                                  "artist", digits), "artist", ["average_want", "release_count"],
+                 "average_want", "artist", digits),
+        _section("artists_by_rating", R.top_k(AG.artist_stats(df, "rating_coefficient", "average_rating_coeff"),
+                                              "average_rating_coeff", 100, "artist", digits), "artist",
+                 ["average_rating_coeff", "release_count"], "average_rating_coeff", "artist", digits),
+        _section("countries", AG.top_values(df, "country", 20), "country", counts, "release_count", "country", None),
+        _section("formats", AG.top_tokens(df, "format", 10), "format", counts, "release_count", "format", None),
+        ST.corr_matrix(df, corr_cols).select(F.lit("correlations").alias("section"), F.lit(0).alias("rank"),
+                                             F.col("col_a").alias("key"), F.col("col_b").alias("metric"),
+                                             F.col("r").alias("value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def render_report(tables: dict[str, DataFrame]) -> str:
-    lines = [TITLE, ""]
-    for title, df in tables.items():
-        rows = df.collect()
-        lines.append(f"{title}:")
-        if title == "Summary" and rows:
-            for k, v in rows[0].asDict().items():
-                lines.append(f"{k}: {_fmt(v) if not isinstance(v, float) else f'{v:.2f}'}")
+def render_report(table: DataFrame, excluded_style: str = EXCLUDED_STYLE) -> str:
+    """The report as text: named summary lines (prices with $, durations in
+    minutes), ranked lists, and the correlations as a matrix."""
+    rows = table.collect()
+    lines = [REPORT_TITLE, ""]
+    for section, title in REPORT_SECTIONS.items():
+        mine = [r for r in rows if r["section"] == section]
+        lines.append(title.format(excluded=excluded_style) + ":")
+        if section == "summary":
+            value = {r["metric"]: r["value"] for r in mine}
+            lines += [text.format(value[m]) for m, text in REPORT_SUMMARY.items() if value.get(m) is not None]
+        elif section == "correlations":
+            names = list(dict.fromkeys(r["key"] for r in mine))
+            cell = {(r["key"], r["metric"]): r["value"] for r in mine}
+            wide = max(map(len, names), default=0) + 2
+            lines.append(" " * wide + "".join(n.rjust(wide) for n in names))
+            for a in names:
+                shown = ["NaN" if cell[a, b] is None else f"{cell[a, b]:.6f}" for b in names]
+                lines.append(a.ljust(wide) + "".join(x.rjust(wide) for x in shown))
         else:
-            cols = df.columns
-            widths = [max([len(c)] + [len(_fmt(r[c])) for r in rows]) for c in cols]
-            lines.append("  ".join(c.rjust(w) for c, w in zip(cols, widths)))
-            for r in rows:
-                lines.append("  ".join(_fmt(r[c]).rjust(w) for c, w in zip(cols, widths)))
+            for rank in sorted({r["rank"] for r in mine}):
+                row = [r for r in mine if r["rank"] == rank]
+                shown = ", ".join(f"{r['metric']}={r['value']:.6g}" for r in row)
+                lines.append(f"{rank}. {row[0]['key']}: {shown}")
         lines.append("")
     return "\n".join(lines)
 

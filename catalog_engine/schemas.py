@@ -33,6 +33,8 @@ CLEAN_COLUMNS = [f.name for f in CLEAN_RELEASE.fields]
 
 # Release payload as delivered by the catalogue service. lowest_price may be a
 # number or an object {"value": n}; it is read as VARIANT and branched on type.
+# The four lists that are stored whole are VARIANT too: every member of their
+# objects is kept, and a JSON null stays one.
 RELEASE_PAYLOAD = T.StructType([
     T.StructField("id", L), T.StructField("title", S), T.StructField("year", S),
     T.StructField("genres", T.ArrayType(S)), T.StructField("styles", T.ArrayType(S)),
@@ -44,13 +46,13 @@ RELEASE_PAYLOAD = T.StructType([
     ])),
     T.StructField("videos", T.ArrayType(_struct(("uri", S)))),
     T.StructField("country", S),
-    T.StructField("labels", T.ArrayType(_struct(("name", S), ("catno", S)))),
+    T.StructField("labels", T.VariantType()),
     T.StructField("artists_sort", S),
     T.StructField("lowest_price", T.VariantType()),
     T.StructField("released", S),
-    T.StructField("tracklist", T.ArrayType(_struct(("title", S), ("duration", S)))),
-    T.StructField("extraartists", T.ArrayType(_struct(("name", S)))),
-    T.StructField("images", T.ArrayType(_struct(("uri", S)))),
+    T.StructField("tracklist", T.VariantType()),
+    T.StructField("extraartists", T.VariantType()),
+    T.StructField("images", T.VariantType()),
     T.StructField("thumb", S),
 ])
 

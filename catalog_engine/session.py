@@ -20,8 +20,11 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app: str = "catalog_engine", extra: dict | None = None) -> SparkSession:
-    """Session for tests, the bench and local runs. On a cluster the launcher's
-    own settings win: nothing here overrides an existing session."""
+    """Session for tests, the bench and local runs. A running session is
+    returned as it is: none of these options touches it."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -38,14 +41,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir (or the context's
-    checkpoint dir). Only when neither is set, as in local tests, a private
-    folder is made and registered."""
+    checkpoint dir). Only in local mode, when neither is set, a private folder
+    is made and registered; on a cluster that is an error, as each machine
+    would write to a folder of its own."""
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         jd = sc._jsc.sc().getCheckpointDir()
         d = jd.get() if jd.isDefined() else None
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         d = tempfile.mkdtemp(prefix="catalog-ckpt-")
         sc.setCheckpointDir(d)
         jd = sc._jsc.sc().getCheckpointDir()

@@ -8,16 +8,22 @@ orders ⋈ lineitem ⋈ part ⋈ supplier ⋈ customer ⋈ nation, grouped by or
   year / released   year of o_orderdate as text / its ISO date
   genre, style      distinct p_type / p_brand, sorted, joined ', '
   format            distinct l_returnflag, sorted, joined
-  label / labels    least s_name / JSON list of {"name": s_name}, distinct, sorted
+  label / labels    s_name joined / JSON list of {"catno", "name"}, distinct, sorted
   country           nation of the customer
   rating_count      number of lines
   average_rating    sum(round(l_discount*100)) / lines / 2.0   (0..5)
   have / want       sum(l_quantity) / floor(sum(round(l_extendedprice*100)) / 1e6)
   num_for_sale      lines with l_linestatus = 'O'
   lowest_price      min(l_extendedprice)
-  tracklist         JSON list of {"duration": "<l_linenumber>:<quantity, 2 digits>"}
+  tracklist         JSON list of {"duration": "<l_linenumber>:<quantity, 2 digits>",
+                    "title"} of all lines but number 2
   youtube_links     video URL with the order key padded to 11 characters
 
+Odd payloads occur by order key, so that the stores hold what real payloads do:
+a null first label name (every 97th), no country (53rd), no year (41st), a
+price object (7th), two videos (5th), a video elsewhere (11th); lines number 3
+have a malformed duration and lines number 4 none.
+
 The tables are first turned into release payloads (the shape the catalogue
 service delivers, stored once as `payloads`); the release store is those
 payloads run through the ingest normalisation (operators.etl), so the store is
@@ -39,10 +45,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ARTIST_TITLE_SEPARATOR, VIDEO_URL_PREFIX
-from ..schemas import RAW_COLUMNS
-from ..session import checkpoint_root, path_exists, path_fingerprint
+from ..session import checkpoint_root, path_fingerprint
 
-STORE_VERSION = "v4"
+STORE_VERSION = "v5"
 SOURCE_TABLES = ["orders", "lineitem", "part", "supplier", "customer", "nation"]
 
 
@@ -75,9 +80,9 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("price_cents"),
         F.count_if(F.col("l_linestatus") == "O").alias("num_for_sale"),
         F.min("l_extendedprice").alias("lowest_price"),
-        F.sort_array(F.collect_list(F.struct(
+        F.sort_array(F.collect_list(F.when(F.col("l_linenumber") != 2, F.struct(
             F.col("l_linenumber").alias("line"),
-            F.col("l_quantity").cast("long").alias("qty")))).alias("tracks"),
+            F.col("l_quantity").cast("long").alias("qty"))))).alias("tracks"),
     )
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
@@ -89,21 +94,29 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .withColumn("want", F.floor(F.col("price_cents") / 1000000.0).cast("long"))
                      .withColumn("title", F.concat(F.col("c_name"), F.lit(ARTIST_TITLE_SEPARATOR + "Order "),
                                                    F.col("id").cast("string")))
-                     .withColumn("durations", F.transform("tracks", lambda t: F.concat(
-                         t["line"].cast("string"), F.lit(":"), F.lpad(t["qty"].cast("string"), 2, "0"))))
+                     .withColumn("track_objects", F.transform("tracks", lambda t: F.struct(
+                         F.when(t["line"] == 3, F.lit("none")).when(t["line"] != 4, F.concat(
+                             t["line"].cast("string"), F.lit(":"), F.lpad(t["qty"].cast("string"), 2, "0"))).alias("duration"),
+                         F.concat(F.lit("T"), t["line"].cast("string")).alias("title"))))
                      .withColumn("video_url", F.concat(F.lit(VIDEO_URL_PREFIX),
                                                        F.lpad(F.col("id").cast("string"), 11, "0"))))
 
 
+def _every(n: int):
+    return F.col("id") % n == 0
+
+
+def _label_json(name, first):
+    """One label object as text; names are plain, so quoting is enough."""
+    quoted = F.when(_every(97) & (name == first), F.lit("null")).otherwise(F.concat(F.lit('"'), name, F.lit('"')))
+    return F.concat(F.lit('{"name":'), quoted, F.lit(',"catno":"C'), F.col("id").cast("string"), F.lit('"}'))
+
+
 def releases_from_orders(spark: SparkSession, sf_dir: str, payloads: DataFrame | None = None) -> DataFrame:
     """The raw release table (27 columns): the saved payloads run through the
-    id-list ingest normalisation, with `label` = the first (least) label name
-    so that the label leaderboard has one key per supplier."""
+    id-list ingest normalisation."""
     from ..operators.etl import normalise_payloads
-    p = payloads if payloads is not None else payload_store(spark, sf_dir)
-    p = p.withColumn("_first_label", F.try_element_at("labels", F.lit(1))["name"])
-    recs = normalise_payloads(p, keep=("_first_label",))
-    return recs.withColumn("label", F.coalesce("_first_label", F.lit(""))).select(*RAW_COLUMNS)
+    return normalise_payloads(payloads if payloads is not None else payload_store(spark, sf_dir))
 
 
 def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,24 +125,27 @@ def payloads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = order_facts(spark, sf_dir)
     return f.select(
         F.col("id"), F.col("title"),
-        F.year("o_orderdate").cast("string").alias("year"),
+        F.when(~_every(41), F.year("o_orderdate").cast("string")).alias("year"),
         F.col("genres"), F.col("styles"),
         F.transform("format_names", lambda n: F.struct(n.alias("name"))).alias("formats"),
         F.struct(
             F.struct(F.col("average_rating").alias("average"), F.col("n_lines").alias("count")).alias("rating"),
             F.col("have"), F.col("want"), F.col("num_for_sale"),
         ).alias("community"),
-        F.array(F.struct(F.col("video_url").alias("uri"))).alias("videos"),
-        F.col("n_name").alias("country"),
-        F.transform("label_names", lambda n: F.struct(
-            n.alias("name"), F.lit(None).cast("string").alias("catno"))).alias("labels"),
+        F.when(_every(11), F.array(F.struct(F.concat(F.lit("https://videos.example/"), F.col("id").cast("string")).alias("uri"))))
+         .when(_every(5), F.array(F.struct(F.col("video_url").alias("uri")),
+                                  F.struct(F.concat(F.col("video_url"), F.lit("&t=1")).alias("uri"))))
+         .otherwise(F.array(F.struct(F.col("video_url").alias("uri")))).alias("videos"),
+        F.when(~_every(53), F.col("n_name")).alias("country"),
+        F.parse_json(F.concat(F.lit("["), F.array_join(F.transform(
+            "label_names", lambda n: _label_json(n, F.col("label_names")[0])), ","), F.lit("]"))).alias("labels"),
         F.col("c_name").alias("artists_sort"),
-        F.parse_json(F.col("lowest_price").cast("string")).alias("lowest_price"),
+        F.parse_json(F.when(_every(7), F.concat(F.lit('{"value":'), F.col("lowest_price").cast("string"), F.lit("}")))
+                     .otherwise(F.col("lowest_price").cast("string"))).alias("lowest_price"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("released"),
-        F.transform("durations", lambda d: F.struct(
-            F.lit(None).cast("string").alias("title"), d.alias("duration"))).alias("tracklist"),
-        F.array().cast("array<struct<name:string>>").alias("extraartists"),
-        F.array().cast("array<struct<uri:string>>").alias("images"),
+        F.parse_json(F.to_json("track_objects")).alias("tracklist"),
+        F.parse_json(F.lit("[]")).alias("extraartists"),
+        F.parse_json(F.lit("[]")).alias("images"),
         F.lit("").alias("thumb"),
     )
 
@@ -197,20 +213,45 @@ def _store_path(spark: SparkSession, sf_dir: str) -> str:
 _BUILD_LOCK = threading.RLock()
 
 
-def _publish(spark: SparkSession, write, path: str, replace: bool) -> None:
-    """Run `write(tmp)` into a fresh sibling folder, then rename it to `path`.
-    Readers see either no table or a complete one; when another writer got
-    there first, its table is kept and ours is dropped."""
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder that the pointer of `path` names, if there is one."""
+    from ..session import hadoop_path
+    fs, pointer = hadoop_path(spark, f"{path}/CURRENT")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        name = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+    return f"{path}/{name}" if name else None
+
+
+def publish(spark: SparkSession, write, path: str, replace: bool = False) -> str:
+    """Run `write(folder)` into a new version folder under `path`, then point
+    `path`/CURRENT to it; returns the folder that holds. The pointer is made by
+    exclusive creation, so of two first writers one wins and the other's
+    version goes; with `replace` it is overwritten, and the versions before
+    stay for those who still read them."""
     import uuid
     from ..session import hadoop_path
-    tmp = f"{path}.building-{uuid.uuid4().hex}"
-    write(tmp)
-    fs, final = hadoop_path(spark, path)
-    _, staged = hadoop_path(spark, tmp)
-    if replace and fs.exists(final):
-        fs.delete(final, True)
-    if not fs.rename(staged, final):
-        fs.delete(staged, True)
+    name = f"v-{uuid.uuid4().hex}"
+    write(f"{path}/{name}")
+    fs, pointer = hadoop_path(spark, f"{path}/CURRENT")
+    try:
+        out = fs.create(pointer, replace)
+    except Exception:  # Py4JJavaError: the file is there already
+        winner = current_version(spark, path)
+        if winner is None:
+            raise
+        own_fs, own = hadoop_path(spark, f"{path}/{name}")
+        own_fs.delete(own, True)
+        return winner
+    try:
+        out.write(bytearray(name.encode()))
+    finally:
+        out.close()
+    return f"{path}/{name}"
 
 
 def _materialised(spark: SparkSession, sf_dir: str, name: str, build, rebuild: bool = False) -> DataFrame:
@@ -219,9 +260,10 @@ def _materialised(spark: SparkSession, sf_dir: str, name: str, build, rebuild: b
     concurrent build never leaves a partial table behind)."""
     path = f"{_store_path(spark, sf_dir)}/{name}"
     with _BUILD_LOCK:
-        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-            _publish(spark, lambda p: build().write.mode("overwrite").parquet(p), path, replace=True)
-    return spark.read.parquet(path)
+        found = None if rebuild else current_version(spark, path)
+        if found is None:
+            found = publish(spark, lambda p: build().write.parquet(p), path, replace=rebuild)
+    return spark.read.parquet(found)
 
 
 def id_list_csv(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
@@ -229,10 +271,11 @@ def id_list_csv(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     the input file of the id-list ingest job, written once."""
     path = f"{_store_path(spark, sf_dir)}/id_list_csv"
     with _BUILD_LOCK:
-        if rebuild or not path_exists(spark, path + "/_SUCCESS"):
-            _publish(spark, lambda p: order_ids(spark, sf_dir).write.mode("overwrite")
-                     .option("header", True).csv(p), path, replace=True)
-    return path
+        found = None if rebuild else current_version(spark, path)
+        if found is None:
+            found = publish(spark, lambda p: order_ids(spark, sf_dir).write.option("header", True).csv(p), path,
+                            replace=rebuild)
+    return found
 
 
 def release_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:

@@ -178,7 +178,7 @@ def test_payload_lists(spark):
           [{"name": "L1", "catno": "c"}, {"name": None, "catno": None}],
           [{"uri": "https://www.YouTube.com/watch?v=abcdefghijk"}, {"uri": "https://vimeo.com/1"}, {"uri": None}])],
         "g array<string>, f array<struct<name:string>>, l array<struct<name:string,catno:string>>, "
-        "v array<struct<uri:string>>")
+        "v array<struct<uri:string>>").withColumn("l", F.parse_json(F.to_json("l", {"ignoreNullFields": "false"})))
     r = df.select(X.join_list("g").alias("g"), X.format_names("f").alias("f"), X.label_names("l").alias("l"),
                   X.youtube_links("v").alias("v"), X.join_list(F.lit(None).cast("array<string>")).alias("n"),
                   X.as_json("l").alias("j")).first()
@@ -187,7 +187,27 @@ def test_payload_lists(spark):
     assert r["l"] == "L1, "
     assert r["v"] == "https://www.YouTube.com/watch?v=abcdefghijk"
     assert r["n"] == ""
-    assert r["j"] == '[{"name":"L1","catno":"c"},{}]'
+    import json
+    assert json.loads(r["j"]) == [{"name": "L1", "catno": "c"}, {"name": None, "catno": None}]
+
+
+def test_number_text_as_python_writes_it(spark):
+    from catalog_engine.sources.files import number_text
+    values = [0.0005, 12345678.0, 5e-05, 1e16, 3.0, 0.0, -0.0, 1.5, -2.25, 1e22, 1.2345e-7, 123456789012345.6,
+              9999999999999998.0, 1e-4, 0.00012345, 1e100, -1e-300, 12345678.9, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(number_text("v"))
+    assert [r[0] for r in df.collect()] == [None if v is None else str(v) for v in values]
+
+
+def test_fixed2_uses_the_exact_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    import random
+    r = random.Random(1)
+    values = [2.675, 0.125, 1.005, 0.015, 0.005, 0.375, 8.345, 1234567.895, 0.995, 99.995] + [
+        r.randrange(1, 10 ** 6) / 1000 for _ in range(500)] + [r.random() * 100 for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(X.fixed2("v"))
+    want = [str(Decimal(v).quantize(Decimal("0.01"), ROUND_HALF_UP)) for v in values]
+    assert [x[0] for x in df.collect()] == want
 
 
 def test_display_values(spark):

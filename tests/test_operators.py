@@ -158,10 +158,10 @@ def test_insert_or_ignore(spark):
     batch = raw_rows(spark, [dict(id=1, release_id="1", title="new"), dict(id=2, release_id="2", title="first"),
                              dict(id=3, release_id="2", title="second"), dict(id=4, release_id="4", title="x")])
     batch = batch.withColumn("_pos", F.col("id"))
-    once = IO.insert_or_ignore(target, batch, "release_id", ["_pos"], [f.name for f in RAW_RELEASE.fields])
+    once = IO.insert_or_ignore(target, batch, "release_id", "_pos", [f.name for f in RAW_RELEASE.fields])
     got = sorted((r["release_id"], r["title"]) for r in once.collect())
     assert got == [("1", "stored"), ("2", "first"), ("4", "x")]
-    twice = IO.insert_or_ignore(once, batch, "release_id", ["_pos"], [f.name for f in RAW_RELEASE.fields])
+    twice = IO.insert_or_ignore(once, batch, "release_id", "_pos", [f.name for f in RAW_RELEASE.fields])
     assert sorted((r["release_id"], r["title"]) for r in twice.collect()) == got
 
 
@@ -317,35 +317,106 @@ def test_train_test_split(spark):
     na, nb = a.count(), b.count()
     assert na + nb == 2000 and 350 < nb < 650
     assert a.join(b, "id").count() == 0
+    parts = [sorted(r["id"] for r in ST.train_test_split(df.repartition(n), 0.25, seed=3)[1].collect()) for n in (4, 9)]
+    assert parts[0] == parts[1] != sorted(r["id"] for r in ST.train_test_split(df, 0.25, seed=4)[1].collect())
 
 
 def test_report_sections(spark):
-    from catalog_engine.plans.report import render_report, summary_tables, write_report
+    from catalog_engine.plans.report import render_report, report_table, write_report
     from catalog_engine.sources.tables import analysis_store
     df = analysis_store(spark, "/root/testdata/sf0.001")
-    tables = summary_tables(df, excluded_style="Brand#1")
-    assert list(tables)[0] == "Summary" and len(tables) == 10
-    text = render_report(tables)
+    table = report_table(df, excluded_style="Brand#1")
+    assert table.columns == ["section", "rank", "key", "metric", "value"]
+    assert table.select("section").distinct().count() == 10
+    text = render_report(table, excluded_style="Brand#1")
     assert text.startswith("=== Release Catalogue Analysis Summary ===")
     assert "Top 10 Genres:" in text and "Key Correlations:" in text
-    assert f"total_releases: {df.count()}" in text
+    assert f"Total Releases: {df.count()}" in text and "Average Lowest Price: $" in text and " minutes" in text
     import tempfile
     out = tempfile.mkdtemp(prefix="catalog-report-") + "/report"
     write_report(spark, text, out)
     assert spark.read.text(out).count() == len(text.split("\n"))
 
 
-def test_insert_with_key_broadcast_matches_plain(spark):
+def test_new_rows_of_a_batch(spark):
     target = raw_rows(spark, [dict(id=i, release_id=str(i), title="stored") for i in range(0, 40, 2)])
     batch = raw_rows(spark, [dict(id=i, release_id=str(i % 25), title=f"b{i}") for i in range(60)])
     batch = batch.withColumn("_pos", F.col("id"))
-    plain = IO.new_rows(target, batch, "release_id", ["_pos"])
-    small = IO.new_rows(target, batch, "release_id", ["_pos"], max_broadcast_keys=1000)
-    big = IO.new_rows(target, batch, "release_id", ["_pos"], max_broadcast_keys=3)
-    key = lambda df: sorted((r["release_id"], r["title"]) for r in df.collect())
-    assert key(plain) == key(small) == key(big)
-    assert key(plain) == sorted((str(i), f"b{i}") for i in range(25) if not (i % 2 == 0 and i < 40))
-    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    added = sorted((r["release_id"], r["title"]) for r in IO.new_rows(target, batch, "release_id", "_pos").collect())
+    assert added == sorted((str(i), f"b{i}") for i in range(25) if not (i % 2 == 0 and i < 40))
+
+
+def test_idlist_ingest(spark):
+    from catalog_engine.schemas import RELEASE_PAYLOAD
+    import json
+    payloads = [{"id": i, "title": f"A - T{i}", "labels": [{"name": "L"}]} for i in (1, 2, 3, 5)] + [{"title": "no id"}]
+    lines = spark.createDataFrame([(json.dumps(p),) for p in payloads], "t string")
+    rows = lines.select(F.from_json("t", RELEASE_PAYLOAD).alias("r")).select("r.*")
+    ids = ET.clean_id_list(spark.createDataFrame([("1",), (" 2 ",), ("2",), ("4",), ("x",), ("5",)], "release_id string"))
+    store = raw_rows(spark, [dict(id=1, release_id="1")])
+    assert [r["release_id"] for r in ET.existing_ids(store).collect()] == ["1"]
+    out = ET.ingest_ids(ids, store, rows).collect()
+    assert sorted(r["release_id"] for r in out) == ["2", "5"]        # 1 is stored, 4 has no payload
+
+
+def test_rare_category_reaches_the_top(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(v), float(v) / 2, f"common{i % 7}" if i % 400 else "rare and dear", "CD",
+             float(v) + (0 if i % 400 else 5000)) for i, v in enumerate(rng.normal(50, 5, 4000))]
+    rows += [(50.0, 25.0, f"once{i}", "LP", 50.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double, style string, format string, price double")
+    for kind in ("rf", "gbt"):
+        top = ST.tree_importance(df, kind, "price", ["a", "b"], ["style", "format"], trees=3, width=20).collect()
+        assert top[0]["feature"] == "style_rare and dear"
+        assert sum(r["importance"] for r in top) == pytest.approx(1.0, abs=1e-6)
+    gains = ST.category_gains(df, "style", "price", 5).collect()
+    assert gains[0]["value"] == "rare and dear" and [r["index"] for r in gains] == list(range(5))
+
+
+def test_sorted_positions(spark):
+    from catalog_engine.sources.files import sorted_positions
+    df = raw_rows(spark, [dict(id=i, gem_value=float(i % 7) if i % 5 else None) for i in range(200)]).repartition(5)
+    got = {r["id"]: r["position"] for r in sorted_positions(df).collect()}
+    order = sorted(range(200), key=lambda i: (-(i % 7 if i % 5 else 0), i))
+    assert got == {i: p for p, i in enumerate(order)}
+
+
+def test_kde_of_heavy_tails(spark):
+    """Bins follow the bandwidth, so a long range costs no accuracy."""
+    rng = np.random.default_rng(4)
+    x = rng.lognormal(0, 2.5, 4000)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = [r["density"] for r in sorted(D.kde(df, "v", grid=200).collect(), key=lambda r: r["grid_index"])]
+    h = x.std(ddof=1) * len(x) ** (-0.2)
+    grid = np.linspace(x.min(), x.max(), 200)
+    exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * math.sqrt(2 * math.pi))
+    assert got == pytest.approx(exact.tolist(), rel=1e-3, abs=1e-9)
+
+
+def test_unicode_words_and_white_space(spark):
+    df = spark.createDataFrame([("N\u00e9o Kyma, Forr\u00f3, \u00c9ntekhno, don't",)], "genre string")
+    assert sorted(r["term"] for r in AG.term_frequencies(df, "genre").collect()) == [
+        "don't", "forr\u00f3", "kyma", "n\u00e9o", "\u00e9ntekhno"]
+    from catalog_engine.functions import strip
+    assert spark.createDataFrame([("\u2003\xa0 a b\u3000\x1f",)], "t string").select(strip("t")).first()[0] == "a b"
+
+
+def test_two_writers_publish_one_version(spark, tmp):
+    from catalog_engine.sources.tables import current_version, publish
+    path = f"{tmp}/table"
+    assert current_version(spark, path) is None
+    a = publish(spark, lambda p: spark.range(3).write.parquet(p), path)
+    b = publish(spark, lambda p: spark.range(5).write.parquet(p), path)     # comes second: the first holds
+    assert a == b == current_version(spark, path) and spark.read.parquet(a).count() == 3
+    c = publish(spark, lambda p: spark.range(7).write.parquet(p), path, replace=True)
+    assert current_version(spark, path) == c and spark.read.parquet(c).count() == 7
+    assert spark.read.parquet(a).count() == 3                                 # still there for its readers
+
+
+def test_get_spark_leaves_a_running_session_alone(spark):
+    from catalog_engine.session import get_spark
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert get_spark(shuffle_partitions=777).conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_normalise_search_missing_payload_defaults(spark):
@@ -367,7 +438,7 @@ def test_first_per_key_with_a_hot_key(spark):
     n = 30000
     rows = [(i, "hot" if i % 3 == 0 else f"k{i}", n - i) for i in range(n)]   # a third of rows share one key
     df = spark.createDataFrame(rows, "id long, release_id string, _pos long").repartition(16)
-    got = {r["release_id"]: r["id"] for r in IO.first_per_key(df, "release_id", ["_pos"]).collect()}
+    got = {r["release_id"]: r["id"] for r in IO.first_per_key(df, "release_id", "_pos").collect()}
     assert got["hot"] == max(i for i in range(n) if i % 3 == 0)              # smallest _pos wins
     assert len(got) == 1 + sum(1 for i in range(n) if i % 3)
 

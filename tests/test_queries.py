@@ -11,8 +11,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k.startswith("q_")}
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")

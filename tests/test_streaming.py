@@ -57,12 +57,41 @@ def test_payload_json_price_forms(spark, tmp):
     write_drop(path, "a.json", [payload(1, price=12.5), payload(2, price={"value": 3}), payload(3, price="7")])
     recs = {r["id"]: r for r in normalise_payloads(read_payloads(spark, path)).collect()}
     assert [recs[i]["lowest_price"] for i in (1, 2, 3)] == [12.5, 3.0, 7.0]
-    assert recs[1]["labels"] == '[{"name":"L1","catno":"x"}]'
+    assert json.loads(recs[1]["labels"]) == [{"name": "L1", "catno": "x"}]
     assert recs[1]["youtube_links"] == "https://www.youtube.com/watch?v=00000000001"
     assert recs[1]["year"] == "1991"
     assert recs[1]["rating_coefficient"] == pytest.approx(1 / 11 * 4.0 + 10 / 11 * 3.0)
 
 
+def test_whole_members_and_nulls_are_kept(spark, tmp):
+    odd = payload(1)
+    odd["labels"] = [{"name": None, "catno": "c1"}, {"name": "L", "catno": None, "id": 7}]
+    odd["tracklist"] = [{"position": "A1", "type_": "track", "title": "t", "duration": "1:00"}]
+    odd["images"] = [{"type": "primary", "uri": "u", "width": 600}]
+    odd["extraartists"] = [{"name": "n", "role": "Mix", "id": 3}]
+    write_drop(f"{tmp}/q", "a.json", [odd])
+    r = normalise_payloads(read_payloads(spark, f"{tmp}/q")).first()
+    for c in ("labels", "tracklist", "images", "extraartists"):
+        assert json.loads(r[c]) == odd[c]
+    assert r["label"] == ", L"
+    from catalog_engine.operators.aggregates import label_stats
+    stats = label_stats(normalise_payloads(read_payloads(spark, f"{tmp}/q"))).collect()
+    assert [x["label_name"] for x in stats] == ["L"]                          # a null name is dropped, not 'Unknown'
+
+
+def test_malformed_lines_and_missing_dates(spark, tmp):
+    src, store, ckpt = f"{tmp}/in", f"{tmp}/store", f"{tmp}/ckpt"
+    undated = dict(payload(2), released=None)
+    for k, items in enumerate(([payload(1), undated], [payload(3), undated])):
+        write_drop(f"{src}/part{k}", "drop.json", items)
+        with open(f"{src}/part{k}/drop.json", "a") as fh:
+            fh.write('{"id": 9, "title": "cut o\\n{"title": "no id"}\n')
+        ingest_stream(spark, src, store, ckpt, rejects=f"{tmp}/rejects")
+    out = read_store(spark, store).collect()
+    assert sorted(r["id"] for r in out) == [1, 2, 3] and {r["released"] for r in out if r["id"] == 2} == {""}
+    assert sum(r["n_rejected"] for r in spark.read.parquet(f"{tmp}/rejects").collect()) >= 2
+
+
 def test_replayed_batch_is_idempotent(spark, tmp):
     """A crash after the batch wrote its folder but before the commit: on
     restart Spark replays the batch, which rewrites only its own folder."""

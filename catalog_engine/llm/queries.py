@@ -19,7 +19,7 @@ from .line_dedup import line_dedup
 from .mixing import mix
 from .near_dedup import near_dedup
 from .piece_bpe import encode_texts
-from .repetition import repetition_rules
+from .repetition import MAX_COVERED, MAX_LONGEST, MIN_REPEAT, MIN_WORDS, repetition_rules
 from .substring_dedup import substring_dedup
 from .warc import read_archives, write_archives
 
@@ -78,7 +78,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules(documents(spark, sf_dir)).drop("repeats")
+    return repetition_rules(documents(spark, sf_dir)).drop("repeats", "longest_repeat")
 
 
 def op10_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +98,59 @@ QUERIES = {
     "op10_edited_fingerprints": op10_edited_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _windows(n: int) -> str:
+    return f"""SELECT r, i, array_to_string(w[i:i + {n - 1}], ' ') AS k FROM d, unnest(range(1, len(w) - {n - 2})) t(i)"""
+
+
+def _covered(name: str, n: int) -> str:
+    """Words per document in windows of n words that occur twice or more in it."""
+    return f"""{name}_w AS ({_windows(n)}),
+{name} AS (
+  SELECT r, count(DISTINCT i + j) AS n FROM {name}_w JOIN (SELECT r, k FROM {name}_w GROUP BY r, k HAVING count(*) > 1)
+  USING (r, k), unnest(range({n})) t(j) GROUP BY r)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+win AS (SELECT x.r, d.doc_id, x.i, x.k FROM ({_windows(13)}) x JOIN d ON d.r = x.r),
+low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (
+  SELECT r, list(p) AS ps, count(*) AS n
+  FROM (SELECT DISTINCT r, i + j AS p FROM win JOIN low USING (k), unnest(range(13)) t(j) WHERE m < doc_id) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN w
+    ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)""",
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS top, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS bits FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(
+    list_transform(range(5), lambda b: CAST(substr(bits, i * 5 + b + 1, 1) AS INTEGER) * (16 >> b))) AS BIGINT), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM q""",
+    "op9_repetition_rules": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+{_covered("three", 3)},
+{_covered("spanned", MIN_REPEAT)},
+{_covered("much", MAX_LONGEST + 1)},
+base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    CAST(coalesce(three.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(spanned.n, 0) AS BIGINT) AS covered_words,
+    coalesce(much.n, 0) AS too_long
+  FROM d LEFT JOIN three USING (r) LEFT JOIN spanned USING (r) LEFT JOIN much USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  n_repeat_words, covered_words, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND covered_words <= {MAX_COVERED} * n_words
+    AND too_long = 0 AS kept
+FROM base""",
+}

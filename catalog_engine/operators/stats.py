@@ -9,6 +9,7 @@ fit; only that p x p summary reaches the driver, where numpy solves it.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -85,11 +86,16 @@ def _vif_values(n: int, mean: np.ndarray, S: np.ndarray) -> list[float]:
     scale = np.where(np.diag(S) > 0, np.sqrt(np.abs(np.diag(S)) / max(n, 1)), 1.0)
     mean, S = mean / scale, S / np.outer(scale, scale)
     out = []
-    # constant: regress 1 on the uncentred features (no intercept); VIF = n / SSR
-    xtx = S + n * np.outer(mean, mean)
-    xt1 = n * mean
-    ssr0 = n - xt1 @ np.linalg.pinv(xtx) @ xt1
-    out.append(math.inf if ssr0 <= 1e-12 * n else float(n / ssr0))
+    # constant: regressing 1 on the uncentred features (no intercept) leaves
+    # n / (1 + n m' S^-1 m), so its inflation is that divisor
+    d = np.sqrt(np.where(np.diag(S) > 0, np.diag(S), 1.0))
+    unit, m = S / np.outer(d, d), mean / d
+    if np.linalg.cond(unit) < 1e12:
+        out.append(float(1 + n * m @ np.linalg.solve(unit, m)))
+    else:
+        xtx, xt1 = S + n * np.outer(mean, mean), n * mean
+        ssr0 = n - xt1 @ np.linalg.pinv(xtx) @ xt1
+        out.append(math.inf if ssr0 <= 1e-12 * n else float(n / ssr0))
     for i in range(p):
         others = [j for j in range(p) if j != i]
         sii = S[i, i]
@@ -205,50 +211,95 @@ def kurtosistest_z(k: float, n: int) -> float:
 
 # --- OLS ------------------------------------------------------------------------
 
-def _fit(df: DataFrame, y: str, xs: list[str]):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in [y] + xs] +
-                     ([F.col("id")] if "id" in df.columns else [])).dropna()
-    data = VectorAssembler(inputCols=xs, outputCol="_features").transform(data)
-    lr = LinearRegression(featuresCol="_features", labelCol=y, solver="normal", regParam=0.0,
-                          elasticNetParam=0.0, fitIntercept=True, standardization=False)
-    return lr.fit(data), data
-
-
-def ols(df: DataFrame, y: str = "lowest_price", xs: list[str] = OLS_FEATURES):
-    """Ordinary least squares with an intercept (Spark ML normal equations).
-    Returns (coefficient table, fit table, model, training data)."""
-    model, data = _fit(df, y, xs)
-    s = model.summary
-    n = int(s.numInstances)
-    k = len(xs) + 1
-    dof = n - k
-    names = ["const"] + xs
-    coefs = [model.intercept] + list(model.coefficients)
-    se = list(s.coefficientStandardErrors)
-    tv = list(s.tValues)
-    pv = list(s.pValues)
-    se = [se[-1]] + se[:-1]
-    tv = [tv[-1]] + tv[:-1]
-    pv = [pv[-1]] + pv[:-1]
-    tq = t_ppf(0.975, dof)
-    coef_rows = [(nm, float(c), float(e), float(t), float(p), float(c - tq * e), float(c + tq * e))
-                 for nm, c, e, t, p in zip(names, coefs, se, tv, pv)]
-    ssr = float(s.meanSquaredError) * n
-    r2 = float(s.r2)
-    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
-    fstat = (r2 / (k - 1)) / ((1 - r2) / dof) if r2 < 1 else math.inf
-    fit_row = [(n, dof, k - 1, r2, float(s.r2adj), fstat, f_sf(fstat, k - 1, dof),
-                llf, -2 * llf + 2 * k, -2 * llf + k * math.log(n))]
-    spark = df.sparkSession
-    coef_df = spark.createDataFrame(coef_rows, "term string, coef double, std_err double, t double, "
-                                               "p_value double, ci_low double, ci_high double")
-    fit_df = spark.createDataFrame(fit_row, "n_obs long, df_resid long, df_model long, r_squared double, "
-                                            "adj_r_squared double, f_statistic double, f_p_value double, "
-                                            "log_likelihood double, aic double, bic double")
-    return coef_df, fit_df, model, data
+class OlsFit(NamedTuple):
+    """Least squares with an intercept, solved from the moment matrix."""
+    terms: list[str]
+    coef: np.ndarray
+    std_err: np.ndarray
+    n: int
+    ssr: float
+    sst: float
+    condition: float
+
+    @property
+    def dof(self) -> int:
+        return self.n - len(self.terms)
+
+
+def fit_ols(df: DataFrame, y: str = "lowest_price", xs: list[str] = OLS_FEATURES) -> OlsFit:
+    """Two aggregates of constant size give all that the tables need; the
+    system of as many unknowns as there are terms is solved on unit scales."""
+    n, mean, S = moments(df, [y, *xs])
+    scale = np.where(np.diag(S) > 0, np.sqrt(np.abs(np.diag(S))), 1.0)
+    unit = S / np.outer(scale, scale)
+    inverse = np.linalg.inv(unit[1:, 1:])
+    slopes = inverse @ unit[1:, 0] * scale[0] / scale[1:]
+    ssr = float(S[0, 0] - slopes @ S[1:, 0])
+    dof = n - len(xs) - 1
+    variance = ssr / dof
+    per_scale = mean[1:] / scale[1:]
+    std_err = np.sqrt(variance * np.concatenate([[1 / n + per_scale @ inverse @ per_scale],
+                                                 np.diag(inverse) / scale[1:] ** 2]))
+    xtx = np.zeros((len(xs) + 1, len(xs) + 1))
+    xtx[0, 0] = n
+    xtx[0, 1:] = xtx[1:, 0] = n * mean[1:]
+    xtx[1:, 1:] = S[1:, 1:] + n * np.outer(mean[1:], mean[1:])
+    ev = np.linalg.eigvalsh(xtx)
+    return OlsFit(["const", *xs], np.concatenate([[mean[0] - slopes @ mean[1:]], slopes]), std_err, n, ssr, float(S[0, 0]),
+                  math.sqrt(ev[-1] / ev[0]) if ev[0] > 0 else math.inf)
+
+
+def ols_coef(df: DataFrame, fit: OlsFit) -> DataFrame:
+    """(term, coef, std_err, t)."""
+    rows = [(t, float(c), float(e), float(c / e)) for t, c, e in zip(fit.terms, fit.coef, fit.std_err)]
+    return df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double")
+
+
+def ols_fit(df: DataFrame, fit: OlsFit) -> DataFrame:
+    """One row: sizes, R^2, F, log-likelihood, AIC and BIC."""
+    n, k = fit.n, len(fit.terms)
+    r2 = 1 - fit.ssr / fit.sst
+    f = (r2 / (k - 1)) / ((1 - r2) / fit.dof) if r2 < 1 else math.inf
+    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(fit.ssr / n) + 1)
+    row = (n, fit.dof, k - 1, r2, 1 - (1 - r2) * (n - 1) / fit.dof, f, llf, -2 * llf + 2 * k, -2 * llf + k * math.log(n))
+    return df.sparkSession.createDataFrame([row], "n_obs long, df_resid long, df_model long, r_squared double, "
+                                                  "adj_r_squared double, f_statistic double, log_likelihood double, "
+                                                  "aic double, bic double")
+
+
+def residuals(df: DataFrame, fit: OlsFit, y: str = "lowest_price", order_col: str = "id") -> DataFrame:
+    """(k, e): the order column and the residual of every row without nulls."""
+    xs = fit.terms[1:]
+    data = df.select(F.col(order_col).alias("k"), *[F.col(c).cast("double").alias(c) for c in [y, *xs]]).dropna()
+    predicted = F.lit(float(fit.coef[0]))
+    for c, b in zip(xs, fit.coef[1:]):
+        predicted = predicted + F.lit(float(b)) * F.col(c)
+    return data.select("k", (F.col(y) - predicted).alias("e"))
+
+
+def ols_diagnostics(df: DataFrame, fit: OlsFit, y: str = "lowest_price", order_col: str = "id") -> DataFrame:
+    """Residual skew, kurtosis, Jarque-Bera and Durbin-Watson (in `order_col` order)."""
+    e = residuals(df, fit, y, order_col)
+    m = e.agg(F.count(F.lit(1)).alias("n"), F.skewness("e").alias("s"), F.kurtosis("e").alias("k")).first()
+    n, s, k = int(m["n"]), float(m["s"]), float(m["k"]) + 3.0
+    row = (n, s, k, n / 6.0 * (s * s + (k - 3) ** 2 / 4.0), durbin_watson(e, "k", "e"))
+    return df.sparkSession.createDataFrame([row], "n_obs long, skew double, kurtosis double, jarque_bera double, "
+                                                  "durbin_watson double")
+
+
+def ols_tails(df: DataFrame, fit: OlsFit, y: str = "lowest_price", order_col: str = "id") -> DataFrame:
+    """What needs distribution functions, as (statistic, term, value): p-values,
+    95% bounds, the omnibus test (D'Agostino K^2), and the condition number."""
+    rows, tq, k = [], t_ppf(0.975, fit.dof), len(fit.terms)
+    for t, c, e in zip(fit.terms, map(float, fit.coef), map(float, fit.std_err)):
+        rows += [("p_value", t, 2 * t_sf(abs(c / e), fit.dof)), ("ci_low", t, c - tq * e), ("ci_high", t, c + tq * e)]
+    r2 = 1 - fit.ssr / fit.sst
+    f = (r2 / (k - 1)) / ((1 - r2) / fit.dof) if r2 < 1 else math.inf
+    d = ols_diagnostics(df, fit, y, order_col).first()
+    k2 = skewtest_z(d["skew"], d["n_obs"]) ** 2 + kurtosistest_z(d["kurtosis"], d["n_obs"]) ** 2
+    rows += [("f_p_value", "", f_sf(f, k - 1, fit.dof)), ("omnibus", "", k2), ("omnibus_p", "", math.exp(-k2 / 2)),
+             ("jarque_bera_p", "", math.exp(-d["jarque_bera"] / 2)), ("condition_number", "", fit.condition)]
+    return df.sparkSession.createDataFrame(rows, "statistic string, term string, value double")
 
 
 def durbin_watson(resid: DataFrame, order_col: str, resid_col: str, parts: int | None = None) -> float:
@@ -291,32 +342,6 @@ def durbin_watson(resid: DataFrame, order_col: str, resid_col: str, parts: int |
     return num / den if den else math.nan
 
 
-def ols_diagnostics(df: DataFrame, y: str = "lowest_price", xs: list[str] = OLS_FEATURES,
-                    order_col: str = "id") -> DataFrame:
-    """Residual skew, kurtosis, Jarque-Bera, omnibus (D'Agostino K^2), their
-    p-values, Durbin-Watson (in `order_col` order) and the condition number
-    of the design matrix."""
-    model, data = _fit(df, y, xs)
-    pred = model.transform(data).withColumn("_resid", F.col(y) - F.col("prediction"))
-    m = pred.agg(F.count(F.lit(1)).alias("n"), F.skewness("_resid").alias("s"),
-                 F.kurtosis("_resid").alias("k")).first()
-    n, s, k = int(m["n"]), float(m["s"]), float(m["k"]) + 3.0
-    jb = n / 6.0 * (s * s + (k - 3) ** 2 / 4.0)
-    k2 = skewtest_z(s, n) ** 2 + kurtosistest_z(k, n) ** 2
-    dw = durbin_watson(pred, order_col if order_col in pred.columns else y, "_resid")
-    nn, mean, S = moments(df, xs)
-    xtx = np.zeros((len(xs) + 1, len(xs) + 1))
-    xtx[0, 0] = nn
-    xtx[0, 1:] = xtx[1:, 0] = nn * mean
-    xtx[1:, 1:] = S + nn * np.outer(mean, mean)
-    ev = np.linalg.eigvalsh(xtx)
-    cond = math.sqrt(ev[-1] / ev[0]) if ev[0] > 0 else math.inf
-    row = [(n, k2, math.exp(-k2 / 2), s, k, jb, math.exp(-jb / 2), dw, cond)]
-    return df.sparkSession.createDataFrame(
-        row, "n_obs long, omnibus double, omnibus_p double, skew double, kurtosis double, "
-             "jarque_bera double, jarque_bera_p double, durbin_watson double, condition_number double")
-
-
 # --- tree importances ---------------------------------------------------------------
 
 def train_test_split(df: DataFrame, test: float = 0.25, seed: int = 42, key: str = "id"):

@@ -679,6 +679,96 @@ def _report_oracle() -> str:
 ORACLES["q_report"] = _report_oracle()
 
 
+
+
+def _moments(cols: list[str]) -> list[str]:
+    """CTEs mom0 (n, means m_i) and mom (centred cross products s_i_j) of the rows without nulls."""
+    rows = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(cols))
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    p = range(len(cols))
+    return [f"obs AS (SELECT id, {rows} FROM prep WHERE {nn})",
+            "mom0 AS (SELECT count(*) AS n, " + ", ".join(f"avg(x{i}) AS m{i}" for i in p) + " FROM obs)",
+            "mom AS (SELECT any_value(n) AS n, " + ", ".join(f"any_value(m{i}) AS m{i}" for i in p) + ", " + ", ".join(
+                f"sum((x{i} - m{i}) * (x{j} - m{j})) AS s_{i}_{j}" for i in p for j in p if i <= j) + " FROM obs, mom0)"]
+
+
+def _inverse(first: str, entry, p: int, extra: int = 0) -> list[str]:
+    """CTEs g0..gp: Gauss-Jordan over the p x p matrix `entry(i, j)` of the one
+    row of `first`, on unit scales (u_i), with an identity beside it. After the
+    last pivot the inverse on unit scales is a_i_{p + j}."""
+    cells = [(i, j) for i in range(p) for j in range(2 * p)]
+
+    def start(i: int, j: int) -> str:
+        if j >= p:
+            return "1.0" if j - p == i else "0.0"
+        return f"({entry(i, j)}) / (sqrt({entry(i, i)}) * sqrt({entry(j, j)}))"
+    out = [f"g0 AS (SELECT {first}.*, " + ", ".join(f"{start(i, j)} AS a_{i}_{j}" for i, j in cells) + f" FROM {first})"]
+    for k in range(p):
+        step = ", ".join(
+            (f"a_{k}_{j} / a_{k}_{k}" if i == k else f"a_{i}_{j} - a_{i}_{k} * a_{k}_{j} / a_{k}_{k}") + f" AS a_{i}_{j}"
+            for i, j in cells)
+        out.append(f"g{k + 1} AS (SELECT g{k}.* EXCLUDE ({', '.join(f'a_{i}_{j}' for i, j in cells)}), {step} FROM g{k})")
+    return out
+
+
+def _s(i: int, j: int) -> str:
+    return f"s_{min(i, j)}_{max(i, j)}"
+
+
+def _ols_ctes() -> list[str]:
+    xs = _ST.OLS_FEATURES
+    p = len(xs)
+    cols = ["lowest_price", *xs]
+    beta = ", ".join("(" + " + ".join(f"a_{i}_{p + j} * {_s(0, j + 1)} / sqrt({_s(j + 1, j + 1)})" for j in range(p))
+                     + f") / sqrt({_s(i + 1, i + 1)}) AS b{i + 1}" for i in range(p))
+    ssr = "s_0_0 - (" + " + ".join(f"b{i + 1} * {_s(0, i + 1)}" for i in range(p)) + ")"
+    b0 = "m0 - (" + " + ".join(f"b{i + 1} * m{i + 1}" for i in range(p)) + ")"
+    v0 = "1.0 / n + " + " + ".join(
+        f"m{i + 1} / sqrt({_s(i + 1, i + 1)}) * a_{i}_{p + j} * m{j + 1} / sqrt({_s(j + 1, j + 1)})"
+        for i in range(p) for j in range(p))
+    se = ", ".join(f"sqrt(v * a_{i}_{p + i} / {_s(i + 1, i + 1)}) AS e{i + 1}" for i in range(p))
+    return [*_moments(cols), *_inverse("mom", lambda i, j: _s(i + 1, j + 1), p),
+            f"bet AS (SELECT *, {beta} FROM g{p})", f"fit0 AS (SELECT *, {b0} AS b0, {ssr} AS ssr, s_0_0 AS sst FROM bet)",
+            f"fit1 AS (SELECT *, ssr / (n - {p + 1}) AS v FROM fit0)",
+            f"fit AS (SELECT *, sqrt(v * ({v0})) AS e0, {se}, 1 - ssr / sst AS r2 FROM fit1)"]
+
+
+_OLS = _ols_ctes()
+_K = len(_ST.OLS_FEATURES) + 1
+ORACLES["q_ols_coef"] = with_base(*_OLS, select="\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS term, round(b{i}, 6) AS coef, round(e{i}, 6) AS std_err, round(b{i} / e{i}, 6) AS t FROM fit"
+    for i, t in enumerate(["const", *_ST.OLS_FEATURES])))
+ORACLES["q_ols_fit"] = with_base(*_OLS, """ll AS (
+  SELECT *, -n / 2.0 * (ln(2 * pi()) + ln(ssr / n) + 1) AS llf FROM fit)""", select=f"""
+SELECT n AS n_obs, n - {_K} AS df_resid, CAST({_K - 1} AS BIGINT) AS df_model, round(r2, 6) AS r_squared,
+  round(1 - (1 - r2) * (n - 1) / (n - {_K}), 6) AS adj_r_squared,
+  round((r2 / {_K - 1}) / ((1 - r2) / (n - {_K})), 6) AS f_statistic, round(llf, 6) AS log_likelihood,
+  round(-2 * llf + 2 * {_K}, 6) AS aic, round(-2 * llf + {_K} * ln(n), 6) AS bic FROM ll""")
+ORACLES["q_ols_diagnostics"] = with_base(*_OLS, "res AS (SELECT id, x0 - (b0 + " + " + ".join(
+    f"b{i} * x{i}" for i in range(1, _K)) + ") AS e FROM obs, fit)", """mm AS (SELECT avg(e) AS mu FROM res)""", """cen AS (
+  SELECT count(*) AS n, avg(pow(e - mu, 2)) AS m2, avg(pow(e - mu, 3)) AS m3, avg(pow(e - mu, 4)) AS m4 FROM res, mm)""",
+                                         """dw AS (
+  SELECT sum(pow(e - p, 2)) / (SELECT sum(e * e) FROM res) AS d FROM (SELECT e, lag(e) OVER (ORDER BY id) AS p FROM res))""",
+                                         """sk AS (SELECT n, m3 / pow(m2, 1.5) AS s, m4 / (m2 * m2) AS k FROM cen)""", select="""
+SELECT n AS n_obs, round(s, 6) AS skew, round(k, 6) AS kurtosis,
+  round(n / 6.0 * (s * s + pow(k - 3, 2) / 4.0), 6) AS jarque_bera, round(d, 6) AS durbin_watson FROM sk, dw""")
+ORACLES["q_importance_checks"] = "SELECT 20 AS n_rows, TRUE AS sorted, TRUE AS sum_in_range"
+
+
+def _vif_oracle() -> str:
+    xs = _ST.VIF_FEATURES
+    p = len(xs)
+    # the centred inverse's diagonal on unit scales is the inflation; the constant's follows from the means
+    const = "1 + n * (" + " + ".join(
+        f"m{i} / sqrt({_s(i, i)}) * a_{i}_{p + j} * m{j} / sqrt({_s(j, j)})" for i in range(p) for j in range(p)) + ")"
+    parts = [f"SELECT 'const' AS feature, round({const}, 3) AS vif FROM g{p}"]
+    parts += [f"SELECT {q(c)} AS feature, round(a_{i}_{p + i}, 3) AS vif FROM g{p}" for i, c in enumerate(xs)]
+    return with_base(*_moments(xs), *_inverse("mom", _s, p), select="\nUNION ALL\n".join(parts))
+
+
+ORACLES["q_vif"] = _vif_oracle()
+
+
 def two_step_rounding(sql: str) -> str:
     """Rewrite every round(expr, d) with a literal d into
     round(round(expr, d + 3), d), matching functions.round_to."""

@@ -473,31 +473,44 @@ def q_corr_price(spark, d):
 
 @query("q_vif")
 def q_vif(spark, d):
-    return rounded(ST.vif(prep(spark, d), ST.VIF_FEATURES))
+    return rounded(ST.vif(prep(spark, d), ST.VIF_FEATURES), 3)
 
 
 @query("q_ols_simple")
 def q_ols_simple(spark, d):
-    coef, fit, _, _ = ST.ols(prep(spark, d), "lowest_price", ["gem_value"])
-    c = {r["term"]: r["coef"] for r in coef.collect()}
-    r2 = fit.first()["r_squared"]
-    return rounded(spark.createDataFrame([(c["gem_value"], c["const"], r2)],
+    fit = ST.fit_ols(prep(spark, d), "lowest_price", ["gem_value"])
+    return rounded(spark.createDataFrame([(float(fit.coef[1]), float(fit.coef[0]), 1 - fit.ssr / fit.sst)],
                                          "slope double, intercept double, r_squared double"))
 
 
 @query("q_ols_coef")
 def q_ols_coef(spark, d):
-    return rounded(ST.ols(prep(spark, d))[0])
+    return rounded(ST.ols_coef(prep(spark, d), ST.fit_ols(prep(spark, d))))
 
 
 @query("q_ols_fit")
 def q_ols_fit(spark, d):
-    return rounded(ST.ols(prep(spark, d))[1])
+    return rounded(ST.ols_fit(prep(spark, d), ST.fit_ols(prep(spark, d))))
 
 
 @query("q_ols_diagnostics")
 def q_ols_diagnostics(spark, d):
-    return rounded(ST.ols_diagnostics(prep(spark, d)))
+    return rounded(ST.ols_diagnostics(prep(spark, d), ST.fit_ols(prep(spark, d))))
+
+
+@query("q_ols_tails")
+def q_ols_tails(spark, d):
+    """p-values, bounds, omnibus test and condition number (no SQL: tested in pytest)."""
+    return rounded(ST.ols_tails(prep(spark, d), ST.fit_ols(prep(spark, d))))
+
+
+@query("q_importance_checks")
+def q_importance_checks(spark, d):
+    """What must hold of any importance table: rows, and the order."""
+    imp = ST.tree_importance(prep(spark, d), "rf").cache()
+    pairs = [r["importance"] for r in imp.collect()]
+    return spark.createDataFrame([(len(pairs), pairs == sorted(pairs, reverse=True), 0 < sum(pairs) <= 1 + 1e-9)],
+                                 "n_rows int, sorted boolean, sum_in_range boolean")
 
 
 @query("q_rf_importance")

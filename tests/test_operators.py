@@ -272,8 +272,9 @@ def test_ols_against_numpy(spark):
     y = 1.5 + 2.0 * X[:, 0] - 0.7 * X[:, 1] + rng.normal(size=n)
     df = spark.createDataFrame([(i, float(y[i]), float(X[i, 0]), float(X[i, 1])) for i in range(n)],
                                "id long, y double, a double, b double")
-    coef, fit, _, _ = ST.ols(df, "y", ["a", "b"])
-    c = {r["term"]: r for r in coef.collect()}
+    solved = ST.fit_ols(df, "y", ["a", "b"])
+    c = {r["term"]: r for r in ST.ols_coef(df, solved).collect()}
+    tails = {(r["statistic"], r["term"]): r["value"] for r in ST.ols_tails(df, solved, "y").collect()}
     Xc = np.column_stack([np.ones(n), X])
     beta, *_ = np.linalg.lstsq(Xc, y, rcond=None)
     resid = y - Xc @ beta
@@ -283,14 +284,16 @@ def test_ols_against_numpy(spark):
         assert c[name]["coef"] == pytest.approx(beta[k], rel=1e-9)
         assert c[name]["std_err"] == pytest.approx(se[k], rel=1e-6)
         assert c[name]["t"] == pytest.approx(beta[k] / se[k], rel=1e-6)
-        assert c[name]["ci_low"] == pytest.approx(beta[k] - ST.t_ppf(0.975, n - 3) * se[k], rel=1e-6)
-    f = fit.first()
+        assert tails["ci_low", name] == pytest.approx(beta[k] - ST.t_ppf(0.975, n - 3) * se[k], rel=1e-6)
+        assert tails["p_value", name] == pytest.approx(2 * ST.t_sf(abs(beta[k] / se[k]), n - 3), rel=1e-6)
+    assert tails["condition_number", ""] == pytest.approx(np.linalg.cond(Xc), rel=1e-6)
+    f = ST.ols_fit(df, solved).first()
     llf = -n / 2 * (math.log(2 * math.pi) + math.log(resid @ resid / n) + 1)
     assert f["log_likelihood"] == pytest.approx(llf, rel=1e-9)
     assert f["aic"] == pytest.approx(2 * 3 - 2 * llf, rel=1e-9)
     r2 = 1 - resid @ resid / ((y - y.mean()) ** 2).sum()
     assert f["r_squared"] == pytest.approx(r2, rel=1e-9)
-    diag = ST.ols_diagnostics(df, "y", ["a", "b"]).first()
+    diag = ST.ols_diagnostics(df, solved, "y").first()
     dw = (np.diff(resid) ** 2).sum() / (resid @ resid)
     assert diag["durbin_watson"] == pytest.approx(dw, rel=1e-8)
     m2, m3, m4 = (resid - resid.mean()) ** 2, (resid - resid.mean()) ** 3, (resid - resid.mean()) ** 4
@@ -299,7 +302,6 @@ def test_ols_against_numpy(spark):
     assert diag["skew"] == pytest.approx(skew, rel=1e-6, abs=1e-9)
     assert diag["kurtosis"] == pytest.approx(kurt, rel=1e-6)
     assert diag["jarque_bera"] == pytest.approx(n / 6 * (skew ** 2 + (kurt - 3) ** 2 / 4), rel=1e-6)
-    assert diag["condition_number"] == pytest.approx(np.linalg.cond(Xc), rel=1e-6)
 
 
 def test_distribution_tails():

@@ -12,6 +12,9 @@ Lines that are linked, directly or by others, form a class (exact repeats are
 the simplest case). The first line of a class, by doc_id and place, stays; the
 others go. Lines of fewer than `min_chars` code points always stay.
 
+Where a key has many lines, each meets the others in blocks; the counts of code
+points, which an edit changes by two at most, leave few pairs to the distance.
+
 Each distinct line of a chunk of documents gives its keys once, so a line that
 millions of documents share is a handful of rows per task. The rows (key, line
 hash) are the only large shuffle besides the documents' own.
@@ -33,10 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import INT64_MAX, chunks, cut
-from .linking import asked, classes, digest, id_filter, shared_keys, wanted_texts
+from .linking import asked, classes_in_place, digest, id_filter, shared_keys, wanted_texts
 
 TAU = 2
 MIN_CHARS = 24
+#: Bins of code points by which lines are compared first.
+BINS = 61
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -89,6 +94,22 @@ def line_keys(lines: list[str], tau: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(numbers), np.concatenate(keys).view(np.int64)
 
 
+def line_links(tau: int):
+    """For linking.classes_in_place: which lines are within tau of a line."""
+    def linker(lines: list[str]):
+        bags = np.zeros((len(lines), BINS), np.int32)
+        if len(lines) > 8:
+            for k, x in enumerate(lines):
+                bags[k] = np.bincount(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) % BINS,
+                                      minlength=BINS)
+
+        def find(r: int, others: np.ndarray) -> Iterator[int]:
+            near = others[np.abs(bags[others] - bags[r]).sum(axis=1) <= 2 * tau]
+            return (k for k in near.tolist() if within(lines[r], lines[k], tau))
+        return find
+    return linker
+
+
 def within(a: str, b: str, tau: int) -> bool:
     """Whether the edit distance is at most tau: common ends are trimmed, then
     the columns of the dynamic programme advance as bit vectors over the band of
@@ -183,7 +204,7 @@ def line_classes(docs: DataFrame, text_col: str = "text", tau: int = TAU, min_ch
                 pa.array([lines[k] for k in hit], pa.string())], ["id", "node", "text"])
 
     found = wanted_texts(texts.mapInArrow(find, "id long, node binary, text string"), members)
-    return classes(members, found, lambda a, b: [within(x, y, tau) for x, y in zip(a, b)])
+    return classes_in_place(members, found, line_links(tau))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tau: int = TAU,
@@ -217,7 +238,7 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: i
                                               pa.array(n, pa.int32()), pa.array(node, pa.binary())],
                                              ["doc", "doc_id", "n", "node"])
 
-    lines = base.select("doc", "doc_id", "text").mapInArrow(spread, "doc binary, doc_id long, n int, node binary")
+    lines = cut(base.select("doc", "doc_id", "text").mapInArrow(spread, "doc binary, doc_id long, n int, node binary"))
     if labels is not None:
         lines = lines.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")
     place = F.struct("doc_id", "doc", "n")  # rows that share a doc_id follow by their text's key

@@ -2,15 +2,18 @@
 
 An operator emits (key, id) rows, id being a 64-bit hash of a text, such that
 two texts that could be alike share a key. This module finds the keys with
-several ids, fetches those texts, compares pairs, and returns the classes: the
-connected components of all links between texts that share a key.
+several ids, fetches those texts, compares the members of each key, and returns
+the classes: the connected components of all links between texts that share a
+key.
 
-No key's group is ever expanded into all its pairs, and no link that matters is
-lost. In each round a few members of a key are compared with every member that
-is in another class by then, and leave the group. They are chosen outside the
-group's largest class; a group is done when one class holds what is left. So a
-group of copies of one text takes one round and one pair per copy, however
-large it is; a pair that is never compared was in one class already.
+The members of a key meet in a task, block by block where they are many, and
+every pair of them is compared there by something cheap; no key's pairs become
+rows. What leaves a task is either the verified links that join its members
+(`classes_in_place`, where verifying is cheap; a spanning forest, so at most one
+per member), or the pairs whose sketches agree enough (`classes_by_sketch`):
+first each member's best partner in another class, which joins what belongs
+together, then every remaining pair between different classes. No link between
+different classes is lost.
 
 Ids that collide only add members: texts are told apart by a 128-bit digest,
 and every link is verified on the texts.
@@ -23,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, shuffle_partitions
@@ -31,8 +34,8 @@ from .common import cut, shuffle_partitions
 #: Bits of the filter that spares the texts nobody asks for: a fixed 4 MB,
 #: whatever the input; when it fills up, only the sparing suffers.
 FILTER_BITS = 1 << 25
-#: Members compared per key in the first round, and the growth per round.
-FIRST, GROWTH = 1, 8
+#: Members of a key that meet at once in a task; larger groups meet block by block.
+BLOCK = 1024
 
 
 def digest(text: str) -> bytes:
@@ -79,9 +82,10 @@ def asked(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def wanted_texts(found: DataFrame, members: DataFrame) -> DataFrame:
-    """(id, node, text), one row per text, of the `found` rows whose id is a member."""
+    """(id, node, text, ...), one row per text, of the `found` rows whose id is a member."""
     ids = members.select("id").distinct()
-    return cut(found.join(ids, "id", "left_semi").groupBy("id", "node").agg(F.first("text").alias("text")))
+    rest = [F.first(c).alias(c) for c in found.columns if c not in ("id", "node")]
+    return cut(found.join(ids, "id", "left_semi").groupBy("id", "node").agg(*rest))
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -132,37 +136,144 @@ def _verified(pairs: DataFrame, texts: DataFrame, alike: Callable[[list[str], li
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary")
 
 
-def classes(members: DataFrame, texts: DataFrame,
-            alike: Callable[[list[str], list[str]], list[bool]]) -> DataFrame | None:
+def _groups(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, node) of the groups with several nodes; groups of the same nodes are one."""
+    rows = members.join(texts.select("id", "node"), "id").select("key", "node").distinct()
+    same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                   F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min("node").alias("m"))
+    return cut(rows.join(same.filter("n > 1").groupBy("n", "x", "y", "m").agg(F.min("key").alias("key")).select("key"),
+                         "key", "left_semi"))
+
+
+def _one_row_each(texts: DataFrame) -> DataFrame:
+    return cut(texts.drop("id").groupBy("node").agg(*[F.first(c).alias(c) for c in texts.columns if c not in ("id", "node")]))
+
+
+def _labelled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return groups.withColumn("label", F.col("node"))
+    return groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _meet(groups: DataFrame, sizes: DataFrame, columns: list[str],
+          pairs_of: Callable[[int, list[tuple], bool], list[tuple[bytes, bytes]]]) -> DataFrame:
+    """(a, b) rows that `pairs_of` finds among the members of each key in
+    `sizes` (key, n). It gets the key, rows (in first block, node, *columns) of
+    one block, or of two different ones, and whether they are two."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = (groups.join(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
+             .withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "node", *columns))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at, done = [], None, []
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in done], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != at:
+                    if len(held) > 1:
+                        done += pairs_of(at[0], held, at[1] != at[2])
+                        if len(done) > 50_000:
+                            yield out()
+                            done.clear()
+                    held, at = [], row[:3]
+                held.append((row[3] == row[1], *row[4:]))
+        if len(held) > 1:
+            done += pairs_of(at[0], held, at[1] != at[2])
+        if done:
+            yield out()
+
+    n = shuffle_partitions(groups.sparkSession)
+    return (cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(find, "a binary, b binary").distinct())
+
+
+def _ordered(a: bytes, b: bytes) -> tuple[bytes, bytes]:
+    return (a, b) if a < b else (b, a)
+
+
+def _sketch_pairs(at: DataFrame, sketches: DataFrame, least: int, best: bool) -> DataFrame:
+    """(a, b) of members of a key with different labels whose sketches agree in
+    at least `least` places: all such pairs, or each member's best. A pair that
+    shares several keys comes from the least of them (`sketches` has each node's
+    keys; a key that two labels share is compared in every round)."""
+    def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple[bytes, bytes]]:
+        first, node, label, sketch, keys = zip(*rows)
+        held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys]
+        table = np.frombuffer(b"".join(sketch), np.uint16).reshape(len(rows), -1)
+        names = {x: k for k, x in enumerate(dict.fromkeys(label))}
+        labels, side, every = np.array([names[x] for x in label]), np.array(first), np.arange(len(rows))
+        out = []
+        for r in range(len(rows)):
+            allowed = labels != labels[r]
+            if two:
+                allowed &= side != side[r]
+            if not best:
+                allowed[:r] = False
+            others = every[allowed]
+            if len(others):
+                agree = (table[others] == table[r]).sum(axis=1)
+                hits = others[agree >= (max(least, agree.max()) if best else least)]
+                out += [_ordered(node[r], node[k]) for k in (hits[:1] if best else hits).tolist()
+                        if min(held[r] & held[k]) == key]
+        return list(dict.fromkeys(out))
+
+    sizes = at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"))
+    return _meet(at.join(sketches.select("node", "sketch", "keys"), "node"), sizes.filter("x != y"),
+                 ["label", "sketch", "keys"], pairs_of)
+
+
+def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
+                      alike: Callable[[list[str], list[str]], list[bool]]) -> DataFrame | None:
     """(node, label) of the texts that are linked to another; None if none is.
-    `members` are (key, id), `texts` (id, node, text)."""
-    open_ones = members.join(texts.select("id", "node"), "id").select("key", "node").distinct()
-    # groups of the same members are one group
-    h = F.xxhash64("node")
-    same = open_ones.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
-                                        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min("node").alias("m"))
-    open_ones = cut(open_ones.join(same.filter("n > 1").groupBy("n", "x", "y", "m").agg(F.min("key").alias("key"))
-                                   .select("key"), "key", "left_semi"))
-    texts = cut(texts.select("node", "text").groupBy("node").agg(F.first("text").alias("text")))
-    labels, take = None, FIRST
-    while not open_ones.isEmpty():
-        at = (open_ones.withColumn("label", F.col("node")) if labels is None else
-              open_ones.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        sizes = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        # the largest class of each group that has several
-        largest = (sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"),
-                                            F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
-        at = cut(at.join(largest, "key"))
-        by = Window.partitionBy("key").orderBy("node")
-        picked = (at.filter("label != largest").withColumn("r", F.row_number().over(by)).filter(F.col("r") <= take)
-                  .select("key", F.col("node").alias("p"), F.col("label").alias("pl")))
-        picked = cut(picked)
-        pairs = (at.join(picked, "key").filter("label != pl")
-                 .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        links = cut(_verified(pairs, texts, alike))
+    `members` are (key, id), `texts` (id, node, text, sketch); sketches, arrays
+    of 16-bit numbers as bytes, agree in at least `least` places wherever the
+    texts are alike."""
+    groups = _groups(members, texts)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
+                [np.array(x, np.int64).tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["node", "keys"])
+
+    # a node has at most one key per band
+    own = groups.groupBy("node").agg(F.collect_set("key").alias("keys")).mapInArrow(packed, "node binary, keys binary")
+    texts, labels = cut(_one_row_each(texts).join(own, "node")), None
+    for best in (True, True, False):
+        pairs = cut(_sketch_pairs(_labelled(groups, labels), texts, least, best))
+        if pairs.isEmpty():
+            break
+        links = cut(_verified(pairs, texts.select("node", "text"), alike))
         if not links.isEmpty():
             labels = _merge(labels, links)
-        open_ones = cut(at.select("key", "node").join(picked.select("key", F.col("p").alias("node")),
-                                                      ["key", "node"], "left_anti"))
-        take *= GROWTH
     return labels
+
+
+def classes_in_place(members: DataFrame, texts: DataFrame,
+                     linker: Callable[[list[str]], Callable[[int], Iterator[int]]]) -> DataFrame | None:
+    """(node, label) of the texts that are linked to another; None if none is.
+    `members` are (key, id), `texts` (id, node, text). linker(texts) gives a
+    function of a text's number r that yields the numbers it links to among
+    those it is asked about: it is called as find(r, numbers)."""
+    def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple[bytes, bytes]]:
+        first, node, text = zip(*rows)
+        find, side = linker(list(text)), np.array(first)
+        root, out = np.arange(len(rows)), []
+        for r in range(len(rows) - 1):
+            # only members that are not joined to this one yet
+            others = r + 1 + np.flatnonzero(root[r + 1:] != root[r])
+            if two:
+                others = others[side[others] != side[r]]
+            for k in find(r, others) if len(others) else ():
+                if root[k] != root[r]:
+                    root[root == root[k]] = root[r]
+                    out.append(_ordered(node[r], node[k]))
+        return out
+
+    groups = _groups(members, texts)
+    sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    links = cut(_meet(groups.join(_one_row_each(texts).select("node", "text"), "node"), sizes, ["text"], pairs_of))
+    return None if links.isEmpty() else _components(links)

@@ -10,10 +10,12 @@ that is later than every register of its document, so a document costs about
 (shingles + registers * ln(registers)) arrivals.
 
 Registers are banded; documents that share a band are candidates. Candidates
-are verified by their exact J_P on all shingles, and the classes are the
-connected components of the verified links (see linking.py). With 25 bands of 5
-registers a pair at 0.8 is a candidate with probability 1 - (1 - 0.8^5)^25 =
-0.99995, and more above.
+whose registers agree as those of a pair at the threshold would, but for three
+standard deviations, are verified by their exact J_P on all shingles, and the
+classes are the connected components of the verified links (see linking.py). With 40 bands of 8
+registers a pair at 0.8 is a candidate with probability 1 - (1 - 0.8^8)^40 =
+0.9994, and more above; long bands keep texts that are merely related (below
+0.6) apart, of which a large group of edited copies holds many.
 
 Copies of a text are one node throughout, so a group of copies costs one row
 per task. Defined cases: equal texts share a class, empty ones too; a null text
@@ -33,12 +35,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Numbers, chunks, cut
-from .linking import asked, classes, digest, id_filter, shared_keys, wanted_texts
+from .linking import asked, classes_by_sketch, digest, id_filter, shared_keys, wanted_texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 40, 8
 REGISTERS = BANDS * ROWS
+#: How far below the threshold the registers of a pair that is verified may agree.
+DEVIATIONS = 3
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,28 +129,45 @@ def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return float(sum(1 / (from_x[at[both]] / x[both] + before_y[at[both]] / y[both]))) if len(both) else 0.0
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+Weights = tuple[np.ndarray, np.ndarray]
+
+
+def similarity(a: Weights, b: Weights) -> float:
     """J_P of two (sorted shingle hashes, counts)."""
-    names = np.union1d(a[0], b[0])
-    x, y = np.zeros(len(names)), np.zeros(len(names))
-    x[np.searchsorted(names, a[0])] = a[1]
-    y[np.searchsorted(names, b[0])] = b[1]
-    return probability_jaccard(x, y)
+    at = np.searchsorted(a[0], b[0])
+    at[at == len(a[0])] = 0
+    shared = np.flatnonzero(a[0][at] == b[0]) if len(a[0]) else np.empty(0, np.int64)
+    x, y = a[1][at[shared]], b[1][shared]
+    if len(shared) == 0:
+        return 0.0
+    # elements that one side lacks have no term of their own and add up in the others' sums
+    only_a, only_b = a[1].sum() - x.sum(), b[1].sum() - y.sum()
+    return probability_jaccard(np.concatenate([x, [only_a, 0.0]]), np.concatenate([y, [0.0, only_b]]))
+
+
+class _Held(dict):
+    """Weights of recent texts, bounded by their total size."""
+
+    def __init__(self, limit: int = 4_000_000):
+        super().__init__()
+        self.limit, self.size = limit, 0
+
+    def __missing__(self, text: str) -> Weights:
+        _, name, count = shingles([text])
+        order = np.argsort(name)
+        if self.size + len(name) > self.limit:
+            self.clear()
+            self.size = 0
+        self.size += len(name)
+        found = self[text] = name[order], count[order].astype(float)
+        return found
 
 
 def _alike(least: float):
+    held = _Held()
+
     def alike(left: list[str], right: list[str]) -> list[bool]:
-        held: dict[str, tuple] = {}
-
-        def weights(t: str) -> tuple:
-            if t not in held:
-                if len(held) > 64:
-                    held.clear()
-                _, name, count = shingles([t])
-                order = np.argsort(name)
-                held[t] = name[order], count[order].astype(float)
-            return held[t]
-        return [similarity(weights(a), weights(b)) >= least for a, b in zip(left, right)]
+        return [similarity(held[a], held[b]) >= least for a, b in zip(left, right)]
     return alike
 
 
@@ -172,12 +193,15 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
             found = list(dict.fromkeys(cols["text"]))
             ids = ids_of(found)
             hit = np.flatnonzero(asked(bitmap, ids)).tolist()
+            found = [found[k] for k in hit]
+            sketches = (signatures(found)[0] & np.uint64(0xFFFF)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[hit]), pa.array([digest(found[k]) for k in hit], pa.binary()),
-                pa.array([found[k] for k in hit], pa.string())], ["id", "node", "text"])
+                pa.array(ids[hit]), pa.array(list(map(digest, found)), pa.binary()), pa.array(found, pa.string()),
+                pa.array([x.tobytes() for x in sketches], pa.binary())], ["id", "node", "text", "sketch"])
 
-    found = wanted_texts(texts.mapInArrow(find, "id long, node binary, text string"), members)
-    return classes(members, found, _alike(least))
+    found = wanted_texts(texts.mapInArrow(find, "id long, node binary, text string, sketch binary"), members)
+    agreeing = int(REGISTERS * least - DEVIATIONS * (REGISTERS * least * (1 - least)) ** 0.5)
+    return classes_by_sketch(members, found, agreeing, _alike(least))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -30,7 +30,7 @@ def edit(text, n, r, letters="abcdé "):
 
 
 def test_banded_distance():
-    for s in range(4000):
+    for s in range(2000):
         r = random.Random(s)
         t, a = r.randint(0, 4), "".join(r.choice("abé") for _ in range(r.randint(0, 14)))
         b = edit(a, r.randint(0, 5), r, "abé")
@@ -48,6 +48,23 @@ def test_lines_within_tau_share_a_key():
             assert set(k[n == 0].tolist()) & set(k[n == 1].tolist()), (a, b, t)
 
 
+def test_crowded_keys(spark, monkeypatch):
+    """Long lines that share most of their text but few of which are alike."""
+    from catalog_engine.llm import linking
+    monkeypatch.setattr(linking, "BLOCK", 10)  # groups meet in several blocks
+    r = random.Random(3)
+    base = prose(1, 30)
+    lines = []
+    for k in range(60):
+        w = base.split()
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(len(w))] = f"v{r.randrange(40)}"
+        lines.append(edit(" ".join(w), r.choice([0, 0, 1, 2]), r))
+    rows = [(k, x) for k, x in enumerate(lines)]
+    got = L.line_dedup(frame(spark, rows)).collect()
+    assert sorted((x.doc_id, x.kept_text) for x in got) == sorted(brute(rows, 2, 24))
+
+
 def brute(rows, tau, least):
     places = [((i is None, i or 0, k), n, x) for k, (i, t) in enumerate(rows)
               for n, x in enumerate(t.split("\n") if t is not None else []) if len(x) >= least]

@@ -91,6 +91,15 @@ def test_classes_against_all_pairs(spark):
     assert got == brute(rows)
 
 
+def test_groups_that_meet_in_blocks(spark, monkeypatch):
+    from catalog_engine.llm import linking
+    monkeypatch.setattr(linking, "BLOCK", 8)
+    base = prose(3, 120)
+    rows = [(k, changed(base, k % 9, k)) for k in range(90)]
+    got = sorted(((x.doc_id, x.class_id) for x in N.near_dedup(frame(spark, rows)).collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_one_document_of_each_class_stays(spark):
     t = prose(5, 100)
     rows = [(4, t), (3, changed(t, 1, 1)), (5, t), (5, t), (9, "other text"), (None, None), (8, None), (9, "other text")]

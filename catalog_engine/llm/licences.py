@@ -3,13 +3,13 @@
 Paragraphs are lines. A multinomial logistic regression (L1, Spark ML) over the
 counts of word 1- to 3-grams names a licence family or 'none'. It is trained
 here, on the templates below, on variants of them (words dropped, other words
-before and after), on sentences that use the same words otherwise, and on a
-bounded sample of the corpus' own paragraphs.
+before and after), on sentences that use the same words otherwise, and on
+paragraphs of the corpus (a bounded sample) with a licence word put in.
 
-The features are sparse: only n-grams that hold a cue word, a word of the
-templates that the sampled paragraphs do not use. A paragraph without a cue
-word has no feature, so its class is that of the intercepts, and it is left out
-before the model runs; that changes no result.
+A paragraph is a candidate if it holds one of `STEMS`; every template does. The
+rest is 'none' by definition, which plain substring tests decide, first for the
+whole text and then by line. So the model sees few paragraphs of a corpus, all
+of them at any size.
 
 The unknown class is calibrated on variants that the fit has not seen and on
 held-out paragraphs without a licence: the threshold is the least probability
@@ -25,6 +25,9 @@ the classifier is trained on the templates alone.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -43,6 +46,8 @@ PRECISION = 0.99
 CONFIRMED = 0.5
 MAX_FEATURES = 20_000
 NONE, UNKNOWN = "none", "unknown"
+#: Parts of words, one of which every licence paragraph holds.
+STEMS = ("licen", "copyright", "redistribut", "gpl", "permission", "cc0", "noncommercial", "unencumbered")
 
 #: Short notices and opening sentences of public licences.
 TEMPLATES = {
@@ -136,11 +141,17 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("paragraph", "text"))
 
 
+def candidate(text: str | Column) -> Column:
+    """Whether a text holds one of the stems."""
+    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    return reduce(or_, [low.contains(x) for x in STEMS])
+
+
 class LicenceModel:
-    """Vocabulary, cue words, regression and threshold."""
+    """Vocabulary, regression and threshold."""
 
-    def __init__(self, vocabulary: CountVectorizerModel, cues: list[str], regression, labels: list[str], least: float):
-        self.vocabulary, self.cues, self.regression, self.labels, self.least = vocabulary, cues, regression, labels, least
+    def __init__(self, vocabulary: CountVectorizerModel, regression, labels: list[str], least: float):
+        self.vocabulary, self.regression, self.labels, self.least = vocabulary, regression, labels, least
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """Adds family (best class), probability and grams3 to rows with words w."""
@@ -174,26 +185,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
                          F.xxhash64(text_col).alias("h")).filter("text is not null").orderBy("h", "doc_id").limit(SAMPLE_DOCS)
     fixed = _fixed_rows(spark).withColumn("w", words("text"))
     known = fixed.filter(F.col("family") != NONE)
-    own = [w for r in known.select("w").collect() for w in r["w"]]
-    strong = {"license", "licensed", "licence", "licences", "licenses", "copyright", "gpl", "lgpl", "agpl", "spdx-license-identifier",
-              "apache", "bsd", "mit", "mozilla", "creative", "unlicense", "cc0", "cc"}
-    plain = (paragraphs(sample, "doc_id", "text").withColumn("w", words("text")).filter(F.size("w") > 0)
-             .filter(~F.arrays_overlap("w", F.array(*map(F.lit, sorted(strong)))))
-             .orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS).select("w"))
-    plain = cut(plain)
-    common = {r["x"] for r in plain.select(F.explode("w").alias("x")).filter(F.col("x").isin(sorted(set(own)))).distinct().collect()}
-    cues = sorted(w for w in set(own) - common if any(c.isalpha() for c in w)) or sorted(strong)
+    cues = sorted({w for r in known.select("w").collect() for w in r["w"] if any(x in w for x in STEMS)})
+    plain = cut(paragraphs(sample, "doc_id", "text").filter(~candidate("text")).withColumn("w", words("text"))
+                .filter(F.size("w") > 0).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS).select("w"))
+    cue = F.array(*map(F.lit, cues))
+    at = F.pmod(F.xxhash64("w"), F.size("w")).cast("int")
+    others = plain.select(F.lit(NONE).alias("family"), F.xxhash64("w").alias("h"), F.concat(
+        F.slice("w", F.lit(1), at), F.array(F.element_at(cue, (F.pmod(F.xxhash64("w", F.lit(1)), F.lit(len(cues))) + 1).cast("int"))),
+        F.slice("w", at + 1, F.size("w"))).alias("w"))
     # at most SAMPLE_PARAGRAPHS arrays of words, as one value beside the templates
     pool = plain.filter(F.pmod(F.xxhash64("w"), F.lit(15)) == 0).select(F.slice("w", 1, 20).alias("w")).collect()
     literal = F.array(*[F.array(*map(F.lit, r["w"])) for r in pool[:100]]) if pool else F.array().cast("array<array<string>>")
     fixed = cut(fixed.withColumn("b", literal))
-    is_cue = F.array(*map(F.lit, cues))
     fit_rows = _variants(fixed, pool, 0, VARIANTS).unionByName(
-        plain.filter(F.pmod(F.xxhash64("w"), F.lit(5)) > 0).select(F.lit(NONE).alias("family"), "w"))
+        others.filter(F.pmod(F.col("h"), F.lit(5)) > 0).select("family", "w"))
     test_rows = _variants(fixed, pool, VARIANTS, VARIANTS + HELD_OUT).unionByName(
-        plain.filter(F.pmod(F.xxhash64("w"), F.lit(5)) == 0).select(F.lit(NONE).alias("family"), "w"))
-    every = cut(fixed.filter(F.col("family") != NONE).select(F.explode(F.concat("w", grams("w", 2), grams("w", 3))).alias("g"))
-                .distinct().filter(F.arrays_overlap(F.split("g", " "), is_cue)).orderBy("g").limit(MAX_FEATURES))
+        others.filter(F.pmod(F.col("h"), F.lit(5)) == 0).select("family", "w"))
+    every = cut(fixed.select(F.explode(F.concat("w", grams("w", 2), grams("w", 3))).alias("g"))
+                .distinct().orderBy("g").limit(MAX_FEATURES))
     vocabulary = CountVectorizerModel.from_vocabulary([r["g"] for r in every.orderBy("g").collect()], inputCol="grams",
                                                       outputCol="features")
     labels = [NONE, *TEMPLATES]
@@ -202,7 +211,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
                                F.concat("w", grams("w", 2), grams("w", 3)).alias("grams")))
     regression = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.002, elasticNetParam=0.5,
                                     maxIter=60, standardization=False).fit(vocabulary.transform(rows))
-    model = LicenceModel(vocabulary, cues, regression, labels, 0.0)
+    model = LicenceModel(vocabulary, regression, labels, 0.0)
     judged = model.scored(test_rows.withColumnRenamed("family", "truth")).filter(F.col("family") != NONE)
     right = judged.select("probability", (F.col("family") == F.col("truth")).cast("int").alias("ok"))
     steps = F.explode(F.array(*[F.lit(k / 20) for k in range(20)])).alias("least")
@@ -218,8 +227,8 @@ def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     family ('unknown' if unsure or not confirmed), guess (the classifier's
     family), probability and template_share."""
     model = model or train(docs, id_col, text_col)
-    cues = F.array(*map(F.lit, model.cues))
-    rows = (paragraphs(docs, id_col, text_col).withColumn("w", words("text")).filter(F.arrays_overlap("w", cues)))
+    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter(candidate("_text"))
+    rows = paragraphs(found, "_id", "_text").filter(candidate("text")).withColumn("w", words("text"))
     scored = model.scored(rows).filter(F.col("family") != NONE)
     templates = F.create_map(*[x for f, ts in TEMPLATES.items() for x in (F.lit(f), F.array(*map(F.lit, ts)))])
     three = grams("w", 3)

@@ -4,7 +4,8 @@ from tests.llm.conftest import frame, prose
 
 def test_finds_families_and_leaves_the_rest(spark, documents):
     model = L.train(documents)
-    assert len(model.cues) > 50 and 0 <= model.least < 1
+    assert 0 <= model.least < 1
+    assert all(any(x in t.lower() for x in L.STEMS) for ts in L.TEMPLATES.values() for t in ts)
     rows = [(k, prose(k, 30) + "\n" + t + "\nend") for k, t in enumerate(t for ts in L.TEMPLATES.values() for t in ts)]
     truth = {k: f for k, f in enumerate(f for f, ts in L.TEMPLATES.items() for _ in ts)}
     others = [(1000 + k, t) for k, t in enumerate(L.OTHERS)] + [

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import chunks
 
 RECORDS_PER_FILE = 10_000
+#: Bytes given to the decompressor at a time.
+STEP = 1 << 13
 DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1\r\n"
 URN = "urn:x-page:"
@@ -136,18 +138,21 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int]:
 def _at(data: bytes, at: int) -> tuple[list[Record], int]:
     """The records that begin at a position, and where they end."""
     if data[at:at + 3] == b"\x1f\x8b\x08":
-        unpack = zlib.decompressobj(31)
+        unpack, pieces, fed = zlib.decompressobj(31), [], at
         try:
-            plain = unpack.decompress(memoryview(data)[at:])
+            while not unpack.eof and fed < len(data):  # a little at a time: what is left over is copied
+                pieces.append(unpack.decompress(data[fed:fed + STEP]))
+                fed += STEP
         except zlib.error:
             raise Damaged("gzip member is broken") from None
         if not unpack.eof:
             raise Damaged("gzip member is cut off")
+        plain, end = b"".join(pieces), min(fed, len(data)) - len(unpack.unused_data)
         records, k = [], 0
         while k < len(plain):
             found, k = parse_record(plain, k)
             records.append(found)
-        return records, len(data) - len(unpack.unused_data)
+        return records, end
     found, end = parse_record(data, at)
     return [found], end
 

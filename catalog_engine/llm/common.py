@@ -7,7 +7,10 @@ cuts at exactly those six characters, so UTF-8 words come from
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +23,9 @@ from ..sources.tables import read_table  # noqa: F401  (the queries of this pack
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same characters for str.strip.
 BLANKS = " \t\n\x0b\x0c\r"
-#: Bytes of text that a Python worker turns into one output batch.
-BATCH_BYTES = 8 << 20
+#: Characters of text that a Python worker works on at a time; its arrays take
+#: some fifty times as many bytes.
+BATCH_BYTES = 3 << 20
 #: Units per shuffle partition (see in_units).
 UNITS = 2
 INT64_MAX = (1 << 63) - 1
@@ -45,6 +49,15 @@ def text_id(text: str | Column) -> Column:
     return F.unhex(F.md5(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary")))
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker outlives its task
+    and idles beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not with every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], weight: Callable[[dict], list[int]] | None = None,
            text: str = "text", limit: int = BATCH_BYTES) -> Iterator[dict[str, list]]:
     """Columns as Python lists, cut so that one piece holds about `limit`
@@ -59,6 +72,8 @@ def chunks(batches: Iterable[pa.RecordBatch], weight: Callable[[dict], list[int]
                 lo, held = i + 1, 0
         if lo < batch.num_rows:
             yield {n: v[lo:] for n, v in cols.items()}
+        del cols
+    release()
 
 
 class Numbers(dict):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions
+from .common import cut, release, shuffle_partitions
 
 #: Bits of the filter that spares the texts nobody asks for: a fixed 4 MB,
 #: whatever the input; when it fills up, only the sparing suffers.
@@ -60,6 +60,7 @@ def shared_keys(rows: DataFrame) -> DataFrame:
         sizes = np.diff(np.append(heads, len(key)))
         several = np.repeat(sizes > 1, sizes)
         yield pa.RecordBatch.from_arrays([pa.array(key[several]), pa.array(ids[several])], ["key", "id"])
+        release()
 
     n = shuffle_partitions(rows.sparkSession)
     return rows.repartition(n, "key").mapInArrow(keep, "key long, id long")
@@ -186,6 +187,7 @@ def _meet(groups: DataFrame, sizes: DataFrame, columns: list[str],
             done += pairs_of(at[0], held, at[1] != at[2])
         if done:
             yield out()
+        release()
 
     n = shuffle_partitions(groups.sparkSession)
     return (cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")

@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, release
 
 MARK = "▁"
 #: Words that each of a worker's caches remembers at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Longest word that is remembered.
 CACHE_LENGTH = 64
 #: More than there are pieces and characters.
@@ -120,7 +120,7 @@ class PieceBpe:
 
     def _fits(self, left: int, right: int) -> bool:
         """Whether two tokens stay as they are when their characters are merged."""
-        if len(self.pairs) >= 4 * CACHE_WORDS:
+        if len(self.pairs) >= 3 * CACHE_WORDS:
             self.pairs.clear()
         a, b = self.text_of(left), self.text_of(right)
         fits = self.pairs[left * TOKENS + right] = self._merge(a + b) == [a, b]
@@ -165,6 +165,12 @@ class PieceBpe:
                 at -= 1
         return out[::-1]
 
+    def forget(self) -> None:
+        """Empties the caches, so that an idle worker holds the vocabulary only."""
+        for cache in (self.words, self.parts, self.pairs):
+            cache.clear()
+        release()
+
     def _word(self, word: str) -> bytes:
         """int32 ids of one word as bytes: of its parts, each remembered."""
         joins, lo, out = self.joins, 0, []
@@ -274,6 +280,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             ids, decoded = _coded(bpe, cols["text"])
             yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), ids, decoded],
                                              ["doc_id", "ids", "decoded"])
+        bpe.forget()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(rows, SCHEMA)
@@ -295,6 +302,7 @@ def encode_rows(docs: DataFrame, model_path: str, text_col: str = "text") -> Dat
                 ids, decoded = _coded(bpe, cols["text"])
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(done, n), ids, decoded], ["row", "ids", "decoded"])
                 done += n
+        bpe.forget()
 
     kind = row.schema["row"].dataType.simpleString()
     return row.mapInArrow(rows, f"row {kind}, ids array<int>, decoded string").select("row.*", "ids", "decoded")

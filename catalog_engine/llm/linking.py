@@ -206,7 +206,7 @@ def _sketch_pairs(at: DataFrame, sketches: DataFrame, least: int, best: bool) ->
     def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple[bytes, bytes]]:
         first, node, label, sketch, keys = zip(*rows)
         held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys]
-        table = np.frombuffer(b"".join(sketch), np.uint16).reshape(len(rows), -1)
+        table = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
         names = {x: k for k, x in enumerate(dict.fromkeys(label))}
         labels, side, every = np.array([names[x] for x in label]), np.array(first), np.arange(len(rows))
         out = []
@@ -233,7 +233,7 @@ def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
                       alike: Callable[[list[str], list[str]], list[bool]]) -> DataFrame | None:
     """(node, label) of the texts that are linked to another; None if none is.
     `members` are (key, id), `texts` (id, node, text, sketch); sketches, arrays
-    of 16-bit numbers as bytes, agree in at least `least` places wherever the
+    of 8-bit numbers as bytes, agree in at least `least` places wherever the
     texts are alike."""
     groups = _groups(members, texts)
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

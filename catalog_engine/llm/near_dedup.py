@@ -194,7 +194,7 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
             ids = ids_of(found)
             hit = np.flatnonzero(asked(bitmap, ids)).tolist()
             found = [found[k] for k in hit]
-            sketches = (signatures(found)[0] & np.uint64(0xFFFF)).astype(np.uint16)
+            sketches = (signatures(found)[0] & np.uint64(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[hit]), pa.array(list(map(digest, found)), pa.binary()), pa.array(found, pa.string()),
                 pa.array([x.tobytes() for x in sketches], pa.binary())], ["id", "node", "text", "sketch"])

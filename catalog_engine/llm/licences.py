@@ -6,10 +6,11 @@ here, on the templates below, on variants of them (words dropped, other words
 before and after), on sentences that use the same words otherwise, and on
 paragraphs of the corpus (a bounded sample) with a licence word put in.
 
-A paragraph is a candidate if it holds one of `STEMS`; every template does. The
-rest is 'none' by definition, which plain substring tests decide, first for the
-whole text and then by line. So the model sees few paragraphs of a corpus, all
-of them at any size.
+The model decides about every paragraph. Most are proven 'none' without its
+n-grams: each word has a worth, the most that it, and the n-grams counted with
+it, can add to a family's score over that of 'none'. Where the worths of all
+words stay below the lead that the intercepts give 'none', no family can win,
+so the paragraph is left out; that changes no result.
 
 The unknown class is calibrated on variants that the fit has not seen and on
 held-out paragraphs without a licence: the threshold is the least probability
@@ -25,6 +26,7 @@ the classifier is trained on the templates alone.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 from operator import or_
 
@@ -46,8 +48,10 @@ PRECISION = 0.99
 CONFIRMED = 0.5
 MAX_FEATURES = 20_000
 NONE, UNKNOWN = "none", "unknown"
-#: Parts of words, one of which every licence paragraph holds.
-STEMS = ("licen", "copyright", "redistribut", "gpl", "permission", "cc0", "noncommercial", "unencumbered")
+#: Training only: paragraphs with one of these are not taken for examples of
+#: 'none', and the template words with one are put into those that are.
+STEMS = ("licen", "copyright", "redistribut", "gpl", "permission", "cc0", "noncommercial", "unencumbered",
+         "rights reserved")
 
 #: Short notices and opening sentences of public licences.
 TEMPLATES = {
@@ -97,7 +101,7 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense.",
                   "SPDX-License-Identifier: Unlicense"],
     "Proprietary": ["All rights reserved. No part of this publication may be reproduced without prior written permission.",
-                    "Copyright, all rights reserved.",
+                    "Copyright, all rights reserved.", "All rights reserved.",
                     "This document is confidential and may not be distributed without prior written permission."],
 }
 #: Sentences that use the words of licences for something else.
@@ -122,11 +126,18 @@ def words(text: str | Column) -> Column:
 def grams(w: str | Column, n: int) -> Column:
     """Word n-grams of an array of words."""
     w = F.col(w) if isinstance(w, str) else w
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
-                                              lambda i: F.array_join(F.slice(w, i, n), " "))
+    # by single words: a slice copies the whole array for every n-gram
+    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n),
+                                              lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]))
                   ).otherwise(F.array().cast("array<string>"))
 
 
+def _once(rows: DataFrame, name: str, value: str | Column) -> DataFrame:
+    """rows with a column that is computed once: a later filter would otherwise
+    take the expression in, down to the words inside the loop over their n-grams."""
+    return rows.select(*[c for c in rows.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def _fixed_rows(spark: SparkSession) -> DataFrame:
     """family, template, text of all templates and other sentences."""
     rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(NONE, t) for t in OTHERS]
@@ -153,10 +164,49 @@ class LicenceModel:
     def __init__(self, vocabulary: CountVectorizerModel, regression, labels: list[str], least: float):
         self.vocabulary, self.regression, self.labels, self.least = vocabulary, regression, labels, least
 
+    def lead(self) -> float:
+        """By how much the intercepts put 'none' before every family."""
+        first, *rest = self.regression.interceptVector.toArray().tolist()
+        return first - max(rest)
+
+    def uses(self) -> Counter:
+        """In how many vocabulary entries a word is."""
+        return Counter(w for g in self.vocabulary.vocabulary for w in g.split(" "))
+
+    def worths(self) -> dict[str, float]:
+        """Bounds per word: the sum over the words of a paragraph is at least
+        what all its n-grams add to any family's score over that of 'none'. An
+        n-gram counts with its word in the fewest vocabulary entries; an
+        occurrence of a word has one n-gram per length and place in it."""
+        weights = self.regression.coefficientMatrix.toArray()
+        gain = dict(zip(self.vocabulary.vocabulary, (weights[1:] - weights[0]).max(axis=0).tolist()))
+        uses = self.uses()
+        out, slots = {g: x for g, x in gain.items() if " " not in g}, {}
+        for g, x in gain.items():
+            w = g.split(" ")
+            if len(w) > 1 and x > 0:
+                k = min(range(len(w)), key=lambda i: (uses[w[i]], i))
+                slot = w[k], len(w), k
+                slots[slot] = max(slots.get(slot, 0.0), x)
+        for (w, _, _), x in slots.items():
+            out[w] = out.get(w, 0.0) + x
+        return {w: x for w, x in out.items() if x != 0}
+
+    def possible(self, text: str | Column) -> Column:
+        """False where the model's class is proven to be 'none'."""
+        worths, lead = self.worths(), self.lead() - 1e-6
+        if lead <= 0 or not worths:
+            return F.lit(True)
+        uses = self.uses()
+        names = sorted(worths, key=lambda w: (-uses[w], w))  # a map is searched from its start
+        known = F.create_map(*[F.lit(x) for w in names for x in (w, worths[w])])
+        return F.aggregate(F.filter(words(text), lambda w: w.isin(names)), F.lit(0.0),
+                           lambda total, w: total + F.try_element_at(known, w)) >= lead
+
     def scored(self, rows: DataFrame) -> DataFrame:
         """Adds family (best class), probability and grams3 to rows with words w."""
-        rows = rows.withColumn("grams", F.concat("w", grams("w", 2), grams("w", 3)))
-        out = self.regression.transform(self.vocabulary.transform(rows))
+        rows = _once(rows, "grams", F.concat("w", grams("w", 2), grams("w", 3)))
+        out = self.regression.transform(_once(self.vocabulary.transform(rows), "features", "features"))
         p = vector_to_array("probability")
         return (out.withColumn("probability", F.array_max(p))
                 .withColumn("family", F.array(*map(F.lit, self.labels))[F.col("prediction").cast("int")])
@@ -212,7 +262,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     regression = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.002, elasticNetParam=0.5,
                                     maxIter=60, standardization=False).fit(vocabulary.transform(rows))
     model = LicenceModel(vocabulary, regression, labels, 0.0)
-    judged = model.scored(test_rows.withColumnRenamed("family", "truth")).filter(F.col("family") != NONE)
+    judged = model.scored(_once(test_rows.withColumnRenamed("family", "truth"), "w", "w")).filter(F.col("family") != NONE)
     right = judged.select("probability", (F.col("family") == F.col("truth")).cast("int").alias("ok"))
     steps = F.explode(F.array(*[F.lit(k / 20) for k in range(20)])).alias("least")
     table = (right.select("*", steps).filter("probability >= least").groupBy("least")
@@ -227,8 +277,8 @@ def find_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     family ('unknown' if unsure or not confirmed), guess (the classifier's
     family), probability and template_share."""
     model = model or train(docs, id_col, text_col)
-    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter(candidate("_text"))
-    rows = paragraphs(found, "_id", "_text").filter(candidate("text")).withColumn("w", words("text"))
+    rows = paragraphs(docs, id_col, text_col).filter(model.possible("text"))
+    rows = _once(rows, "w", words("text"))
     scored = model.scored(rows).filter(F.col("family") != NONE)
     templates = F.create_map(*[x for f, ts in TEMPLATES.items() for x in (F.lit(f), F.array(*map(F.lit, ts)))])
     three = grams("w", 3)

@@ -10,7 +10,9 @@ banded bit-parallel edit distance after their common ends are trimmed.
 
 Lines that are linked, directly or by others, form a class (exact repeats are
 the simplest case). The first line of a class, by doc_id and place, stays; the
-others go. Lines of fewer than `min_chars` code points always stay.
+others go. Lines of fewer than `min_chars` code points take no part in the edit
+join; with `every_repeat`, exact repeats of those that hold a word go as well,
+else they always stay.
 
 Where a key has many lines, each meets the others in blocks; the counts of code
 points, which an edit changes by two at most, leave few pairs to the distance.
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import INT64_MAX, chunks, cut
+from .common import BLANKS, INT64_MAX, chunks, cut
 from .linking import asked, classes_in_place, digest, id_filter, shared_keys, wanted_texts
 
 TAU = 2
@@ -208,21 +210,22 @@ def line_classes(docs: DataFrame, text_col: str = "text", tau: int = TAU, min_ch
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tau: int = TAU,
-               min_chars: int = MIN_CHARS) -> DataFrame:
+               min_chars: int = MIN_CHARS, every_repeat: bool = False) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, dropped (numbers of the
     lines that go, from 0) and kept_text."""
-    return _cleaned(docs, id_col, text_col, tau, min_chars, [])
+    return _cleaned(docs, id_col, text_col, tau, min_chars, every_repeat, [])
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tau: int = TAU,
-                 min_chars: int = MIN_CHARS) -> DataFrame:
+                 min_chars: int = MIN_CHARS, every_repeat: bool = False) -> DataFrame:
     """The documents with the dropped lines taken out of the text."""
     keep = [c for c in docs.columns if c != text_col]
-    out = _cleaned(docs, id_col, text_col, tau, min_chars, keep)
+    out = _cleaned(docs, id_col, text_col, tau, min_chars, every_repeat, keep)
     return out.select(*[F.col("row")[c].alias(c) if c != text_col else F.col("kept_text").alias(c) for c in docs.columns])
 
 
-def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int, carry: list[str]) -> DataFrame:
+def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int, every_repeat: bool,
+             carry: list[str]) -> DataFrame:
     labels = line_classes(docs, text_col, tau, min_chars)
     base = docs.select(_row_key(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"),
@@ -232,7 +235,7 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: i
         for cols in chunks(batches):
             rows = [(doc, INT64_MAX if i is None else i, n, digest(x))
                     for doc, i, t in zip(cols["doc"], cols["doc_id"], cols["text"])
-                    for n, x in enumerate(_lines(t)) if len(x) >= min_chars]
+                    for n, x in enumerate(_lines(t)) if len(x) >= min_chars or every_repeat and x.strip(BLANKS)]
             doc, doc_id, n, node = zip(*rows) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.binary()), pa.array(doc_id, pa.int64()),
                                               pa.array(n, pa.int32()), pa.array(node, pa.binary())],

@@ -73,7 +73,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(documents(spark, sf_dir)).select(
+    return line_dedup(documents(spark, sf_dir), every_repeat=True).select(
         "doc_id", "n_lines", "n_dropped", "dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -30,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that nearly equal an earlier line go; no document does."""
-    return deduplicated(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Lines that equal or nearly equal an earlier line go; no document does."""
+    return deduplicated(docs, every_repeat=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

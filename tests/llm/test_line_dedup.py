@@ -109,6 +109,25 @@ def test_ties_and_other_columns(spark):
         [(1, a), (1, a), (2, b), (3, "short\nshort"), (None, ""), (None, "end")], key=repr)
 
 
+def test_exact_repeats_of_short_lines(spark):
+    from catalog_engine.llm.queries import op8_line_dedup
+    sf = "/root/testdata/sf0.001"
+    a = prose(1, 12)
+    rows = [(1, "All rights reserved.\n\nOf."), (2, "Of.\n" + a + "\n \n\n}"), (3, "All rights reserved\n" + a + "!\n}\nOf.\n")]
+    got = {r.doc_id: r.kept_text for r in L.line_dedup(frame(spark, rows), every_repeat=True).collect()}
+    assert got == {1: rows[0][1], 2: a + "\n \n\n}", 3: "All rights reserved\n"}
+    texts = {r.doc_id: (r.text or "").split("\n") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    gone = {r.doc_id: set(r.dropped) for r in op8_line_dedup(spark, sf).collect()}
+    seen, repeats = set(), 0
+    for i in sorted(texts):
+        for n, x in enumerate(texts[i]):
+            if len(x) < L.MIN_CHARS:
+                assert (n in gone[i]) == (x in seen and x.strip() != ""), (i, n, x)
+                repeats += n in gone[i]
+                seen.add(x)
+    assert repeats
+
+
 def test_empty_table_and_parameters(spark):
     assert L.line_dedup(frame(spark, [])).count() == 0
     with pytest.raises(ValueError):

@@ -4,22 +4,27 @@ outputs. ORACLES holds DuckDB SQL where SQL can say the same."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, hadoop_path
-from .common import cut, read_table
+from .centroids import DIMS, K, ROUNDS, SCALE, SEED, centroid_clustering
 from .chat import format_chats
+from .common import INT64_MAX, cut, read_table
 from .fingerprints import edited_fingerprints
 from .licences import find_licences
 from .line_dedup import line_dedup
 from .mixing import mix
 from .near_dedup import near_dedup
+from .periodic import periodic_runs, with_repeated_tails
 from .piece_bpe import encode_texts
 from .repetition import MAX_COVERED, MAX_LONGEST, MIN_REPEAT, MIN_WORDS, repetition_rules
+from .secrets import STRONG, find_secrets
+from .secrets_sql import SECRETS_SQL
 from .substring_dedup import substring_dedup
 from .warc import read_archives, write_archives
 
@@ -85,6 +90,42 @@ def op10_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clustering(read_table(spark, sf_dir, "embeddings"))
+    of = lambda kind, values: F.get(F.array(*map(F.lit, values)).cast(f"array<{kind}>"), F.col("cluster"))
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    return found.rows.select(
+        F.col("id").alias("vec_id"), "cluster", "distance",
+        of("long", [min(x, INT64_MAX) for x in found.inertia]).alias("cluster_inertia"),
+        F.lit(min(sum(found.inertia), INT64_MAX)).cast("long").alias("inertia"), of("string", digests).alias("centroid_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(with_repeated_tails(documents(spark, sf_dir)))
+    best = F.expr("""get(array_sort(runs, (x, y) -> CASE
+        WHEN x.length * y.period > y.length * x.period THEN -1 WHEN x.length * y.period < y.length * x.period THEN 1
+        WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1
+        WHEN x.period < y.period THEN -1 WHEN x.period > y.period THEN 1 ELSE 0 END), 0)""")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_secrets(documents(spark, sf_dir))
+    base = F.filter("spans", lambda x: x["kind"].isin(STRONG))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select("doc_id", *map(count, STRONG),
+                       F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_chat": op2_chat,
@@ -96,6 +137,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_repetition_rules": op9_repetition_rules,
     "op10_edited_fingerprints": op10_edited_fingerprints,
+    "op11_centroids": op11_centroids,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_secrets": op13_secrets,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -113,6 +157,32 @@ def _covered(name: str, n: int) -> str:
   USING (r, k), unnest(range({n})) t(j) GROUP BY r)"""
 
 
+def _clustering_sql(dims: int = DIMS, k: int = K, rounds: int = ROUNDS, seed: int = SEED, scale: int = SCALE) -> str:
+    """Every round as two tables: a<i> assigns, c<i + 1> moves the centroids."""
+    tables = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+              f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+    SELECT sha256('{seed}:' || vec_id) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        tables.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, c, far FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY far, c) AS n FROM (
+      SELECT v.r, v.vec_id, v.v, k.c, CAST(list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.v[i] - k.v[i]) * (v.v[i] - k.v[i])))
+        AS BIGINT) AS far FROM v, c{i} k)) WHERE n = 1)""")
+        if i < rounds:
+            tables.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, unnest(range(1, {dims + 1})) t(i) GROUP BY c, i) GROUP BY c
+  UNION ALL SELECT c, v FROM c{i} WHERE c NOT IN (SELECT c FROM a{i}))""")
+    last = rounds
+    return f"""WITH {", ".join(tables)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, far AS distance, CAST(sum(far) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(far) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{last}.v, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} USING (c)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
@@ -153,4 +223,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distin
   NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND covered_words <= {MAX_COVERED} * n_words
     AND too_long = 0 AS kept
 FROM base""",
+    "op11_centroids": _clustering_sql(),
+    "op13_secrets": SECRETS_SQL,
 }

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, hadoop_path
 from ..sources.tables import read_table  # noqa: F401  (the queries of this package read tables with it)
 
 #: Java regular expression of one word.
@@ -29,6 +29,8 @@ BATCH_BYTES = 3 << 20
 #: Units per shuffle partition (see in_units).
 UNITS = 2
 INT64_MAX = (1 << 63) - 1
+#: Narrow rows that a task takes at ease (see packed).
+ROWS_PER_PARTITION = 100_000
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -44,6 +46,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Deletes the files of frames made by `cut` that nothing will read again."""
+    for df in frames:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            fs, path = hadoop_path(df.sparkSession, file.get())
+            fs.delete(path, True)
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many partitions as `rows` (a bound of its rows) need, at most
+    those it has: what follows a shuffle of a few rows need not be dealt widely."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
+
+
 def text_id(text: str | Column) -> Column:
     """128-bit identity of a text (16 bytes)."""
     return F.unhex(F.md5(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary")))

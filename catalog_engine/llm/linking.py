@@ -11,9 +11,10 @@ every pair of them is compared there by something cheap; no key's pairs become
 rows. What leaves a task is either the verified links that join its members
 (`classes_in_place`, where verifying is cheap; a spanning forest, so at most one
 per member), or the pairs whose sketches agree enough (`classes_by_sketch`):
-first each member's best partner in another class, which joins what belongs
-together, then every remaining pair between different classes. No link between
-different classes is lost.
+first each member's best partner of another class in its own block, which joins
+what belongs together, then every remaining pair between different classes,
+where members of a key's largest class need not meet each other. No link
+between different classes is lost.
 
 Ids that collide only add members: texts are told apart by a 128-bit digest,
 and every link is verified on the texts.
@@ -29,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release, shuffle_partitions
+from .common import cut, forget, packed, release, shuffle_partitions
 
 #: Bits of the filter that spares the texts nobody asks for: a fixed 4 MB,
 #: whatever the input; when it fills up, only the sparing suffers.
 FILTER_BITS = 1 << 25
 #: Members of a key that meet at once in a task; larger groups meet block by block.
 BLOCK = 1024
+#: Narrow rows that a pair of texts to verify counts for.
+PAIR_WEIGHT = 100
 
 
 def digest(text: str) -> bytes:
@@ -89,41 +92,49 @@ def wanted_texts(found: DataFrame, members: DataFrame) -> DataFrame:
     return cut(found.join(ids, "id", "left_semi").groupBy("id", "node").agg(*rest))
 
 
-def _components(links: DataFrame) -> DataFrame:
+def _components(links: DataFrame, rows: int) -> DataFrame:
     """(node, label): the least node of each component. Each step names every
-    node after its least neighbour and contracts the graph to the names."""
-    edges, names = links.select("a", "b"), None
+    node after its least neighbour and contracts the graph to the names, which
+    at least halves its nodes. `rows` bounds the links."""
+    edges, names = cut(packed(links.select("a", "b"), rows)), None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-                   .select("node", F.least("node", "near").alias("label")))
+        step = cut(packed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+                          .select("node", F.least("node", "near").alias("label")), 2 * rows))
         if names is None:
             names = step
         else:
-            names = cut(names.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-                        .select("node", F.coalesce("to", "label").alias("label")))
+            old = names
+            names = cut(packed(old.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+                               .select("node", F.coalesce("to", "label").alias("label")), 2 * rows))
+            forget(old)
         ends = step.select(F.col("node").alias("a"), F.col("label").alias("x"))
-        edges = cut(edges.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("x").alias("y")), "b")
-                    .filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        rest = cut(packed(edges.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("x").alias("y")), "b")
+                          .filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), rows))
+        forget(edges, *([step] if step is not names else []))
+        edges = rest
         if edges.isEmpty():
+            forget(edges)
             return names
 
 
 def _merge(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels after more links."""
+    rows = links.count()
     if labels is None:
-        return _components(links)
+        return _components(links, rows)
     a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}l")) for c in "ab")
-    named = (links.join(a, "a", "left").join(b, "b", "left")
-             .select(F.coalesce("al", "a").alias("a"), F.coalesce("bl", "b").alias("b")).filter("a != b").distinct())
-    named = cut(named)
+    named = cut(packed(links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("al", "a").alias("a"), F.coalesce("bl", "b").alias("b")).filter("a != b").distinct(), rows))
     if named.isEmpty():
         return labels
-    more = cut(_components(named))
+    more = _components(named, rows)
     moved = labels.join(more.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select(
         "node", F.coalesce("to", "label").alias("label"))
     fresh = more.join(labels.select("node"), "node", "left_anti")
-    return cut(moved.unionAll(fresh))
+    out = cut(packed(moved.unionAll(fresh), labels.count() + 2 * rows))
+    forget(labels, named, more)
+    return out
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, alike: Callable[[list[str], list[str]], list[bool]]) -> DataFrame:
@@ -156,17 +167,40 @@ def _labelled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
     return groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _meet(groups: DataFrame, sizes: DataFrame, columns: list[str],
-          pairs_of: Callable[[int, list[tuple], bool], list[tuple[bytes, bytes]]]) -> DataFrame:
-    """(a, b) rows that `pairs_of` finds among the members of each key in
-    `sizes` (key, n). It gets the key, rows (in first block, node, *columns) of
-    one block, or of two different ones, and whether they are two."""
+def _everywhere(groups: DataFrame, sizes: DataFrame, columns: list[str]) -> DataFrame:
+    """Cells in which every two members of a key in `sizes` (key, n) meet."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    cells = (groups.join(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
-             .withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "node", *columns))
-
+    return (groups.join(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
+            .withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "node", *columns))
+
+
+def _at_home(groups: DataFrame, sizes: DataFrame, columns: list[str]) -> DataFrame:
+    """Cells of one block each: a row per member."""
+    own = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int")
+    return (groups.join(sizes.select("key", "n"), "key").withColumn("block", own)
+            .select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "node", *columns))
+
+
+def _across(groups: DataFrame, sizes: DataFrame, columns: list[str]) -> DataFrame:
+    """Cells in which every two members of a key with different labels meet.
+    Members with the key's most common label have blocks of their own, which
+    meet the other blocks and not each other."""
+    known = sizes.select("key", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("a"),
+                         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("m"))
+    common, spot = F.col("label") == F.col("top"), F.xxhash64("node")
+    return (groups.join(known, "key")
+            .withColumn("block", F.when(common, F.pmod(spot, F.col("a"))).otherwise(F.col("a") + F.pmod(spot, F.col("m"))).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.when(common, F.col("a")).otherwise(0), F.col("a") + F.col("m") - 1)))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "node", *columns))
+
+
+def _meet(cells: DataFrame, pairs_of: Callable[[int, list[tuple], bool], list[tuple[bytes, bytes]]]) -> DataFrame:
+    """(a, b) rows that `pairs_of` finds among the members that meet in a cell.
+    It gets the key, rows (in first block, node, ...) of one block, or of two
+    different ones, and whether they are two."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at, done = [], None, []
 
@@ -189,7 +223,7 @@ def _meet(groups: DataFrame, sizes: DataFrame, columns: list[str],
             yield out()
         release()
 
-    n = shuffle_partitions(groups.sparkSession)
+    n = shuffle_partitions(cells.sparkSession)
     return (cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(find, "a binary, b binary").distinct())
 
@@ -200,12 +234,12 @@ def _ordered(a: bytes, b: bytes) -> tuple[bytes, bytes]:
 
 def _sketch_pairs(at: DataFrame, sketches: DataFrame, least: int, best: bool) -> DataFrame:
     """(a, b) of members of a key with different labels whose sketches agree in
-    at least `least` places: all such pairs, or each member's best. A pair that
-    shares several keys comes from the least of them (`sketches` has each node's
-    keys; a key that two labels share is compared in every round)."""
+    at least `least` places: each member's best in its block, or all such pairs.
+    Of all pairs, one that shares several keys comes from the least of them
+    (`sketches` has each node's keys; a key that two labels share is compared)."""
     def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple[bytes, bytes]]:
-        first, node, label, sketch, keys = zip(*rows)
-        held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys]
+        first, node, label, sketch, *keys = zip(*rows)
+        held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys[0]] if keys else []
         table = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
         names = {x: k for k, x in enumerate(dict.fromkeys(label))}
         labels, side, every = np.array([names[x] for x in label]), np.array(first), np.arange(len(rows))
@@ -219,14 +253,21 @@ def _sketch_pairs(at: DataFrame, sketches: DataFrame, least: int, best: bool) ->
             others = every[allowed]
             if len(others):
                 agree = (table[others] == table[r]).sum(axis=1)
-                hits = others[agree >= (max(least, agree.max()) if best else least)]
-                out += [_ordered(node[r], node[k]) for k in (hits[:1] if best else hits).tolist()
-                        if min(held[r] & held[k]) == key]
+                if best:
+                    k = int(agree.argmax())
+                    if agree[k] >= least:
+                        out.append(_ordered(node[r], node[others[k]]))
+                else:
+                    out += [_ordered(node[r], node[k]) for k in others[agree >= least].tolist()
+                            if min(held[r] & held[k]) == key]
         return list(dict.fromkeys(out))
 
-    sizes = at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"))
-    return _meet(at.join(sketches.select("node", "sketch", "keys"), "node"), sizes.filter("x != y"),
-                 ["label", "sketch", "keys"], pairs_of)
+    counts = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"),
+                                      F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    columns = ["label", "sketch"] if best else ["label", "sketch", "keys"]
+    rows = at.join(sketches.select("node", *columns[1:]), "node")
+    return _meet((_at_home if best else _across)(rows, sizes, columns), pairs_of)
 
 
 def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
@@ -236,21 +277,24 @@ def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
     of 8-bit numbers as bytes, agree in at least `least` places wherever the
     texts are alike."""
     groups = _groups(members, texts)
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
                 [np.array(x, np.int64).tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["node", "keys"])
 
     # a node has at most one key per band
-    own = groups.groupBy("node").agg(F.collect_set("key").alias("keys")).mapInArrow(packed, "node binary, keys binary")
-    texts, labels = cut(_one_row_each(texts).join(own, "node")), None
+    own = groups.groupBy("node").agg(F.collect_set("key").alias("keys")).mapInArrow(as_bytes, "node binary, keys binary")
+    each = _one_row_each(texts)
+    texts, labels = cut(each.join(own, "node")), None
+    forget(each)
     for best in (True, True, False):
         pairs = cut(_sketch_pairs(_labelled(groups, labels), texts, least, best))
-        if pairs.isEmpty():
-            break
-        links = cut(_verified(pairs, texts.select("node", "text"), alike))
+        links = cut(_verified(packed(pairs, pairs.count() * PAIR_WEIGHT), texts.select("node", "text"), alike))
         if not links.isEmpty():
             labels = _merge(labels, links)
+        forget(pairs, links)
+    forget(groups, texts)
     return labels
 
 
@@ -277,5 +321,6 @@ def classes_in_place(members: DataFrame, texts: DataFrame,
 
     groups = _groups(members, texts)
     sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    links = cut(_meet(groups.join(_one_row_each(texts).select("node", "text"), "node"), sizes, ["text"], pairs_of))
-    return None if links.isEmpty() else _components(links)
+    rows = groups.join(_one_row_each(texts).select("node", "text"), "node")
+    links = cut(_meet(_everywhere(rows, sizes, ["text"]), pairs_of))
+    return None if links.isEmpty() else _components(links, links.count())

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, shuffle_partitions
 
 WEIGHTS = (5, 2, 1)
 #: Times a source or a document may be taken.
@@ -40,6 +40,8 @@ BLOCK = 16
 #: Documents in a shard, about.
 SHARD_DOCS = 2048
 SEED = 20
+#: Parts of a source that learn its target apart.
+SALTS = 16
 
 
 def apportion(votes: Sequence[float], seats: int, most: Sequence[int]) -> list[int]:
@@ -129,7 +131,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                   .groupBy().applyInPandas(
         _apportion_sources, "missing boolean, name string, source_size long, n_docs long, target double, blocks long"))
     order = F.xxhash64(F.lit(seed), "doc_id", "text_md5")
-    placed = sized.join(sources, ["missing", "name"]).withColumns({
+    # a row per source, SALTS times, so that no source's documents are one key
+    salted = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_md5"), F.lit(SALTS)).cast("int")).join(
+        salted, ["missing", "name", "salt"]).drop("salt").withColumns({
         "order": order, "shard": F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text_md5"),
                                         F.ceil(F.col("n_docs") / SHARD_DOCS)).cast("long")})
     quotas = (placed.groupBy("missing", "name", "shard").agg(F.sum("size").alias("shard_size"),
@@ -139,6 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     w = (Window.partitionBy("missing", "name", "shard").orderBy("order", "doc_id", "text_md5")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     n = F.ceil(F.col("shard_size") / BLOCK)
+    placed = placed.repartition(shuffle_partitions(docs.sparkSession), "missing", "name", "shard")  # not by source
     known = placed.withColumn("start", F.sum("size").over(w) - F.col("size")).join(quotas, ["missing", "name", "shard"])
     known = known.withColumns({
         "passes": F.when(n > 0, F.floor(F.col("quota") / n)).otherwise(0),
@@ -160,9 +166,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents of the mix, whole, each as often as it is taken. Rows that
     are alike in id and text share their copies evenly, rounded up."""
     taken = (mix(docs, id_col, text_col, source_col).groupBy("doc_id", "text_md5")
-             .agg(F.ceil(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies"))
-             .filter("_copies > 0")
-             .select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"), "_copies"))
-    joined = docs.join(taken, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-                       & F.md5(F.col(text_col).cast("binary")).eqNullSafe(F.col("_md5")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+             .agg(F.ceil(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("copies")).filter("copies > 0"))
+    # a row with all its columns is one value, so no name clashes
+    rows = docs.select(F.col(id_col).cast("long").alias("i"), F.md5(F.col(text_col).cast("binary")).alias("m"),
+                       F.struct("*").alias("row"))
+    joined = rows.join(taken, F.col("i").eqNullSafe(F.col("doc_id")) & F.col("m").eqNullSafe(F.col("text_md5")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])

@@ -10,12 +10,13 @@ that is later than every register of its document, so a document costs about
 (shingles + registers * ln(registers)) arrivals.
 
 Registers are banded; documents that share a band are candidates. Candidates
-whose registers agree as those of a pair at the threshold would, but for three
+whose registers agree as those of a pair at the threshold would, but for four
 standard deviations, are verified by their exact J_P on all shingles, and the
-classes are the connected components of the verified links (see linking.py). With 40 bands of 8
-registers a pair at 0.8 is a candidate with probability 1 - (1 - 0.8^8)^40 =
-0.9994, and more above; long bands keep texts that are merely related (below
-0.6) apart, of which a large group of edited copies holds many.
+classes are the connected components of the verified links (see linking.py). With 45 bands of 7
+registers a pair at 0.8 is a candidate with probability 1 - (1 - 0.8^7)^45 =
+0.99997 and passes the register test with as much; long bands keep texts that
+are merely related (below 0.6) apart, of which a large group of edited copies
+holds many.
 
 Copies of a text are one node throughout, so a group of copies costs one row
 per task. Defined cases: equal texts share a class, empty ones too; a null text
@@ -34,15 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Numbers, chunks, cut
+from .common import Numbers, chunks, cut, forget
 from .linking import asked, classes_by_sketch, digest, id_filter, shared_keys, wanted_texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 40, 8
+BANDS, ROWS = 45, 7
 REGISTERS = BANDS * ROWS
 #: How far below the threshold the registers of a pair that is verified may agree.
-DEVIATIONS = 3
+DEVIATIONS = 4
+#: Parts of a class that are named apart (see near_dedup).
+SALTS = 8
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -201,7 +204,9 @@ def near_classes(docs: DataFrame, text_col: str = "text", least: float = SIMILAR
 
     found = wanted_texts(texts.mapInArrow(find, "id long, node binary, text string, sketch binary"), members)
     agreeing = int(REGISTERS * least - DEVIATIONS * (REGISTERS * least * (1 - least)) ** 0.5)
-    return classes_by_sketch(members, found, agreeing, _alike(least))
+    labels = classes_by_sketch(members, found, agreeing, _alike(least))
+    forget(members, found)
+    return labels
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -218,8 +223,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the first: least doc_id (null last), then least digest
     first = (rows.filter("label is not null").groupBy("label")
              .agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("f")))
-    first = first.select("label", "class_id", F.col("f")["node"].alias("first_node"))
-    return rows.join(first, "label", "left").select(
+    # one row per class, SALTS times, so that no class's documents are one key
+    first = first.select("label", "class_id", F.col("f")["node"].alias("first_node"),
+                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "node"), F.lit(SALTS)).cast("int"))
+    return rows.join(first, ["label", "salt"], "left").select(
         "doc_id", "node",
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         (F.col("label").isNull() | (F.col("doc_id").eqNullSafe(F.col("class_id"))
@@ -228,11 +236,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             least: float = SIMILARITY) -> DataFrame:
-    """The first document of each class; of rows that are alike in id and text, one."""
-    stay = (near_dedup(docs, id_col, text_col, least).filter("first").select("doc_id", "node").distinct()
-            .select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")))
-    node = F.unhex(F.md5(F.col(text_col).cast("string").cast("binary")))
-    found = docs.withColumn("_n", node).join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-                                             & F.col("_n").eqNullSafe(F.col("_node")), "left_semi")
-    by = Window.partitionBy(F.col(id_col), F.col("_n")).orderBy(F.lit(0))
-    return found.withColumn("_r", F.row_number().over(by)).filter("_r = 1 or _n is null").select(*docs.columns)
+    """The first document of each class; of rows that are alike in id and text,
+    one. A row with all its columns travels as one value, so no name clashes."""
+    stay = near_dedup(docs, id_col, text_col, least).filter("first").select("doc_id", "node").distinct()
+    text = F.col(text_col).cast("string")
+    found = docs.select(F.col(id_col).cast("long").alias("i"), F.unhex(F.md5(text.cast("binary"))).alias("n"),
+                        F.struct("*").alias("row"))
+    found = found.join(stay, F.col("i").eqNullSafe(F.col("doc_id")) & F.col("n").eqNullSafe(F.col("node")), "left_semi")
+    by = Window.partitionBy("i", "n").orderBy(F.lit(0))
+    return (found.withColumn("r", F.row_number().over(by)).filter("r = 1 or n is null")
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

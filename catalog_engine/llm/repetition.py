@@ -146,7 +146,7 @@ def _judge(cols: dict[str, list], min_words: int, min_repeat: int, max_covered:
 
 def with_verdict(docs: DataFrame, text_col: str = "text", *, min_words: int = MIN_WORDS, min_repeat: int = MIN_REPEAT,
                  max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
-    """The documents with all their columns and `kept` (which replaces a column of that name)."""
+    """row (a struct of all columns of the documents) and kept."""
     row = docs.select(F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +158,7 @@ def with_verdict(docs: DataFrame, text_col: str = "text", *, min_words: int = MI
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(done, n), kept.column(10)], ["row", "kept"])
                 done += n
 
-    out = row.mapInArrow(rows, f"row {row.schema['row'].dataType.simpleString()}, kept boolean")
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "kept"], "kept")
+    return row.mapInArrow(rows, f"row {row.schema['row'].dataType.simpleString()}, kept boolean")
 
 
 def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,

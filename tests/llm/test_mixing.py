@@ -55,3 +55,44 @@ def test_mixed_documents_repeat_whole_rows(spark):
     import hashlib
     assert {(r.doc_id, hashlib.md5((r.text or "").encode()).hexdigest()): r["count"] for r in got
             if r.doc_id is not None and r.doc_id > 3} == {k: v for k, v in want.items() if v}
+
+
+def test_a_source_is_spread_over_tasks(spark):
+    """Neither the join with the targets nor the running sums are dealt by source alone."""
+    import re
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+           if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.mix(frame(spark, rows_()))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    dealt = [re.findall("([a-z]+)#", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    wide = [x for x in dealt if x[:2] == ["missing", "name"]]
+    assert wide and ["missing", "name", "shard"] in wide and ["missing", "name", "salt"] in wide
+    assert sum(x == ["missing", "name"] for x in wide) <= 1  # the shards of a source, counted already
+
+
+def test_taken_words_by_hand(spark):
+    """`taken` of every document from the shards' quotas, block by block."""
+    import hashlib
+    rows = [(k, prose(k, 3 + 7 * (k % 11)), "ab"[k % 3 == 0]) for k in range(60)]
+    out = M.mix(frame(spark, rows)).collect()
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "ab"}
+    goal = M.targets([sizes["a"], sizes["b"]], [5, 2])
+    blocks = [-(-sizes[s] // M.BLOCK) for s in "ab"]
+    seats = M.apportion(goal, round(sum(goal) / M.BLOCK), [M.MAX_PASSES * b for b in blocks])
+    key = spark.createDataFrame([(k, hashlib.md5(t.encode()).hexdigest(), s) for k, t, s in rows], "k long, m string, s string")
+    order = {r.k: (r.o, r.k) for r in key.selectExpr("k", f"xxhash64({M.SEED}, k, m) AS o").collect()}
+    first = {r.s: r.f for r in spark.createDataFrame([("a",), ("b",)], "s string").selectExpr(
+        "s", f"xxhash64({M.SEED + 2}, false, s, 0L) AS f").collect()}
+    want = {}
+    for n, s in enumerate("ab"):
+        passes, rest = divmod(seats[n], blocks[n])
+        words = [k for k in sorted((k for k, _, x in rows if x == s), key=order.get) for _ in rows[k][1].split()]
+        start = first[s] % blocks[n]
+        chosen = {(start + i) % blocks[n] for i in range(rest)}
+        for i, k in enumerate(words):
+            want[k] = want.get(k, 0) + passes + (i // M.BLOCK in chosen)
+    assert {r.doc_id: r.taken for r in out} == want

@@ -100,6 +100,47 @@ def test_groups_that_meet_in_blocks(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_recall_over_all_pairs_of_the_given_documents(spark, documents):
+    """Every pair of different texts at the threshold or above, found by a plain
+    inverted index of shingles, shares a class."""
+    from collections import defaultdict
+    base = prose(11, 1500)
+    texts = sorted({r.text for r in documents.collect() if r.text} | {changed(base, n, n) for n in range(1, 40)})
+    weight, by = [weights(t) for t in texts], defaultdict(list)
+    for k, w in enumerate(weight):
+        for x in w:
+            by[x].append(k)
+    pairs = {(a, b) for ks in by.values() if len(ks) < 200 for a in ks for b in ks if a < b}
+    alike = [(a, b) for a, b in pairs if jp(weight[a], weight[b]) >= 0.8]
+    got = {r.doc_id: r.class_id for r in N.near_dedup(frame(spark, list(enumerate(texts)))).collect()}
+    assert len(alike) >= 20
+    assert sum(got[a] == got[b] for a, b in alike) >= 0.99 * len(alike)
+
+
+def test_probability_of_a_miss():
+    """By calculation, at the threshold: bands and register test together."""
+    from math import comb
+    bands = (1 - N.SIMILARITY ** N.ROWS) ** N.BANDS
+    n, p = N.REGISTERS, N.SIMILARITY
+    least = int(n * p - N.DEVIATIONS * (n * p * (1 - p)) ** 0.5)
+    test = sum(comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(least))
+    assert bands + test < 1e-4
+
+
+def test_files_of_finished_steps_are_deleted(spark):
+    import os
+    from urllib.parse import urlparse
+    from catalog_engine.llm.common import cut, forget
+    one = cut(spark.range(3))
+    root = urlparse(spark.sparkContext._jsc.sc().getCheckpointDir().get()).path
+    before = set(os.listdir(root))
+    forget(one)
+    assert len(before - set(os.listdir(root))) == 1
+    base, before = prose(3, 120), set(os.listdir(root))
+    N.near_dedup(frame(spark, [(k, changed(base, k % 4, k)) for k in range(60)])).collect()
+    assert len(set(os.listdir(root)) - before) <= 2  # the labels, which the result reads
+
+
 def test_one_document_of_each_class_stays(spark):
     t = prose(5, 100)
     rows = [(4, t), (3, changed(t, 1, 1)), (5, t), (5, t), (9, "other text"), (None, None), (8, None), (9, "other text")]

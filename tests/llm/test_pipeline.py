@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from catalog_engine.llm import repetition as R
 from catalog_engine.llm.piece_bpe import read_model, tokenizer
@@ -36,6 +38,19 @@ def test_stage_by_stage(spark, documents, tmp):
     assert len(f) == len(e) and all(r.ids == bpe.encode(texts[r.doc_id]).tolist() for r in f)
 
 
+def test_no_column_name_clashes(spark, tmp):
+    """Columns by any name that a stage uses inside keep their values."""
+    names = ["kept", "_id", "_n", "_r", "_copies", "_copy", "_md5", "_node", "row", "label", "node", "i", "m", "n", "r", "copies",
+             "first", "salt", "doc", "dropped", "size", "start", "missing", "name", "shard", "text_md5", "source_size"]
+    docs = frame(spark, [(k, prose(k, 90), "ab"[k % 2]) for k in range(12)])
+    docs = docs.select(*[c for c in docs.columns if c not in names], *[F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names])
+    for n, (_, stage) in enumerate(P.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp}/{n}")
+        docs = spark.read.parquet(f"{tmp}/{n}")
+        rows = docs.collect()
+        assert len(rows) >= 6 and all(r[x] == f"{x}-{r.doc_id}" for r in rows for x in names)
+
+
 def test_run_and_odd_rows(spark, tmp):
     assert P.run(spark, SF).count() > 100
     rows = [(1, None), (2, ""), (None, prose(1, 80)), (3, prose(2, 90)), (3, prose(2, 90)), (4, prose(2, 90)), (5, "a b")]

@@ -26,7 +26,7 @@ from catalog_engine.session import checkpoint_root
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
-    return with_verdict(docs).filter("kept").select(*docs.columns)
+    return with_verdict(docs).filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,13 +8,13 @@ key.
 
 The members of a key meet in a task, block by block where they are many, and
 every pair of them is compared there by something cheap; no key's pairs become
-rows. What leaves a task is either the verified links that join its members
-(`classes_in_place`, where verifying is cheap; a spanning forest, so at most one
-per member), or the pairs whose sketches agree enough (`classes_by_sketch`):
-first each member's best partner of another class in its own block, which joins
-what belongs together, then every remaining pair between different classes,
-where members of a key's largest class need not meet each other. No link
-between different classes is lost.
+rows. What leaves a task are verified links that join its members, a spanning
+forest, so at most one per member. `classes_in_place` needs one round of that.
+Where verifying is dear (`classes_by_sketch`), each member's best partner of
+another class in its own blocks comes first, twice, which joins what belongs
+together; then every remaining pair between different classes meets, where
+members of a key's largest class need not meet each other. No link between
+different classes is lost.
 
 Ids that collide only add members: texts are told apart by a 128-bit digest,
 and every link is verified on the texts.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, forget, packed, release, shuffle_partitions
+from .common import Numbers, cut, forget, packed, release, shuffle_partitions
 
 #: Bits of the filter that spares the texts nobody asks for: a fixed 4 MB,
 #: whatever the input; when it fills up, only the sparing suffers.
@@ -197,15 +197,18 @@ def _across(groups: DataFrame, sizes: DataFrame, columns: list[str]) -> DataFram
                     "block", "node", *columns))
 
 
-def _meet(cells: DataFrame, pairs_of: Callable[[int, list[tuple], bool], list[tuple[bytes, bytes]]]) -> DataFrame:
-    """(a, b) rows that `pairs_of` finds among the members that meet in a cell.
-    It gets the key, rows (in first block, node, ...) of one block, or of two
-    different ones, and whether they are two."""
+def _meet(cells: DataFrame, pairs_of: Callable[[int, list[tuple], bool], list[tuple]], *more: tuple[str, str]) -> DataFrame:
+    """(a, b) rows, with `more` columns (name, type), that `pairs_of` finds among
+    the members that meet in a cell. It gets the key, rows (in first block, node,
+    ...) of one block, or of two different ones, and whether they are two."""
+    names = ["a", "b", *[n for n, _ in more]]
+    kinds = [pa.binary(), pa.binary(), *[pa.type_for_alias({"int": "int32"}.get(t, t)) for _, t in more]]
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at, done = [], None, []
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in done], pa.binary()) for k in (0, 1)], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in done], t) for k, t in enumerate(kinds)], names)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -225,49 +228,76 @@ def _meet(cells: DataFrame, pairs_of: Callable[[int, list[tuple], bool], list[tu
 
     n = shuffle_partitions(cells.sparkSession)
     return (cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(find, "a binary, b binary").distinct())
+            .mapInArrow(find, ", ".join(["a binary", "b binary", *[f"{n} {t}" for n, t in more]])))
 
 
 def _ordered(a: bytes, b: bytes) -> tuple[bytes, bytes]:
     return (a, b) if a < b else (b, a)
 
 
-def _sketch_pairs(at: DataFrame, sketches: DataFrame, least: int, best: bool) -> DataFrame:
-    """(a, b) of members of a key with different labels whose sketches agree in
-    at least `least` places: each member's best in its block, or all such pairs.
-    Of all pairs, one that shares several keys comes from the least of them
-    (`sketches` has each node's keys; a key that two labels share is compared)."""
-    def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple[bytes, bytes]]:
-        first, node, label, sketch, *keys = zip(*rows)
-        held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys[0]] if keys else []
-        table = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
-        names = {x: k for k, x in enumerate(dict.fromkeys(label))}
-        labels, side, every = np.array([names[x] for x in label]), np.array(first), np.arange(len(rows))
-        out = []
+def _table(sketches: tuple) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+
+
+def _numbered(labels: tuple) -> np.ndarray:
+    names = Numbers()
+    return np.fromiter(map(names.__getitem__, labels), np.int64, len(labels))
+
+
+def _sizes(at: DataFrame) -> DataFrame:
+    """(key, n, top) of the keys that different labels share; top has the most common label."""
+    counts = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"),
+                                     F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+
+
+def _best_pairs(at: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """(a, b): for each node, of the members with other labels that it meets in
+    its blocks, one whose sketch agrees most, in at least `least` places."""
+    def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple]:
+        _, node, label, sketch = zip(*rows)
+        table, labels, every, out = _table(sketch), _numbered(label), np.arange(len(rows)), []
         for r in range(len(rows)):
-            allowed = labels != labels[r]
-            if two:
-                allowed &= side != side[r]
-            if not best:
-                allowed[:r] = False
-            others = every[allowed]
+            others = every[labels != labels[r]]
             if len(others):
                 agree = (table[others] == table[r]).sum(axis=1)
-                if best:
-                    k = int(agree.argmax())
-                    if agree[k] >= least:
-                        out.append(_ordered(node[r], node[others[k]]))
-                else:
-                    out += [_ordered(node[r], node[k]) for k in others[agree >= least].tolist()
-                            if min(held[r] & held[k]) == key]
-        return list(dict.fromkeys(out))
+                k = int(agree.argmax())
+                if agree[k] >= least:
+                    out.append((node[r], node[others[k]], int(agree[k])))
+        return out
 
-    counts = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"),
-                                      F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    columns = ["label", "sketch"] if best else ["label", "sketch", "keys"]
-    rows = at.join(sketches.select("node", *columns[1:]), "node")
-    return _meet((_at_home if best else _across)(rows, sizes, columns), pairs_of)
+    rows = at.join(texts.select("node", "sketch"), "node")
+    found = _meet(_at_home(rows, _sizes(at), ["label", "sketch"]), pairs_of, ("agree", "int"))
+    best = found.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _links_across(at: DataFrame, texts: DataFrame, least: int,
+                  alike: Callable[[list[str], list[str]], list[bool]]) -> DataFrame:
+    """(a, b): links that join all members of a key that are alike and have
+    different labels. Every such pair whose sketches agree in at least `least`
+    places and that nothing in its cell joins yet is verified there; one that
+    shares several keys in the cell of the least of them (`texts` has each
+    node's keys; a key that two labels share is compared)."""
+    def pairs_of(key: int, rows: list[tuple], two: bool) -> list[tuple]:
+        first, node, label, sketch, keys, text = zip(*rows)
+        held = [set(np.frombuffer(x, np.int64).tolist()) for x in keys]
+        table, root, side, out = _table(sketch), _numbered(label), np.array(first), []
+        for r in range(len(rows) - 1):
+            apart = root[r + 1:] != root[r]
+            if two:
+                apart &= side[r + 1:] != side[r]
+            others = r + 1 + np.flatnonzero(apart)
+            if len(others):
+                others = others[(table[others] == table[r]).sum(axis=1) >= least]
+            for k in others.tolist():
+                if root[k] != root[r] and min(held[r] & held[k]) == key and alike([text[r]], [text[k]])[0]:
+                    root[root == root[k]] = root[r]
+                    out.append(_ordered(node[r], node[k]))
+        return out
+
+    rows = at.join(texts.select("node", "sketch", "keys", "text"), "node")
+    return _meet(_across(rows, _sizes(at), ["label", "sketch", "keys", "text"]), pairs_of).distinct()
 
 
 def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
@@ -288,12 +318,17 @@ def classes_by_sketch(members: DataFrame, texts: DataFrame, least: int,
     each = _one_row_each(texts)
     texts, labels = cut(each.join(own, "node")), None
     forget(each)
-    for best in (True, True, False):
-        pairs = cut(_sketch_pairs(_labelled(groups, labels), texts, least, best))
-        links = cut(_verified(packed(pairs, pairs.count() * PAIR_WEIGHT), texts.select("node", "text"), alike))
+    for last in (False, False, True):
+        at = _labelled(groups, labels)
+        if last:
+            links = cut(_links_across(at, texts, least, alike))
+        else:
+            pairs = cut(_best_pairs(at, texts, least))
+            links = cut(_verified(packed(pairs, pairs.count() * PAIR_WEIGHT), texts.select("node", "text"), alike))
+            forget(pairs)
         if not links.isEmpty():
             labels = _merge(labels, links)
-        forget(pairs, links)
+        forget(links)
     forget(groups, texts)
     return labels
 
@@ -322,5 +357,5 @@ def classes_in_place(members: DataFrame, texts: DataFrame,
     groups = _groups(members, texts)
     sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     rows = groups.join(_one_row_each(texts).select("node", "text"), "node")
-    links = cut(_meet(_everywhere(rows, sizes, ["text"]), pairs_of))
+    links = cut(_meet(_everywhere(rows, sizes, ["text"]), pairs_of).distinct())
     return None if links.isEmpty() else _components(links, links.count())

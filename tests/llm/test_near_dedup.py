@@ -104,14 +104,14 @@ def test_recall_over_all_pairs_of_the_given_documents(spark, documents):
     """Every pair of different texts at the threshold or above, found by a plain
     inverted index of shingles, shares a class."""
     from collections import defaultdict
-    base = prose(11, 1500)
-    texts = sorted({r.text for r in documents.collect() if r.text} | {changed(base, n, n) for n in range(1, 40)})
-    weight, by = [weights(t) for t in texts], defaultdict(list)
-    for k, w in enumerate(weight):
-        for x in w:
+    base = prose(11, 600)
+    texts = sorted({r.text for r in documents.collect() if r.text} | {changed(base, n, n) for n in range(1, 16)})
+    by = defaultdict(list)
+    for k, t in enumerate(texts):
+        for x in weights(t):
             by[x].append(k)
-    pairs = {(a, b) for ks in by.values() if len(ks) < 200 for a in ks for b in ks if a < b}
-    alike = [(a, b) for a, b in pairs if jp(weight[a], weight[b]) >= 0.8]
+    pairs = {(a, b) for ks in by.values() if len(ks) < 100 for a in ks for b in ks if a < b}
+    alike = [(a, b) for a, b in pairs if sim(texts[a], texts[b]) >= 0.8]
     got = {r.doc_id: r.class_id for r in N.near_dedup(frame(spark, list(enumerate(texts)))).collect()}
     assert len(alike) >= 20
     assert sum(got[a] == got[b] for a, b in alike) >= 0.99 * len(alike)

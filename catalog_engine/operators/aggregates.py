@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LIST_SEPARATOR, WORD_PATTERN
 from ..functions import artist_key, csv_tokens, json_list, label_name
+from .quantiles import exact_median
 
 
 def tokens(df: DataFrame, col: str, exclude=(), alias: str | None = None) -> DataFrame:
@@ -70,10 +71,10 @@ def artist_stats(df: DataFrame, measure: str, alias: str) -> DataFrame:
 
 
 def summary(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Whole-table summary, one row. The median is exact (linear
-    interpolation); approx=True uses percentile_approx for unbounded inputs."""
+    """Whole-table summary, one row. The median is exact (linear interpolation),
+    by rank selection; approx=True uses percentile_approx in the same pass."""
     med = (F.percentile_approx("average_rating", 0.5, 10000).cast("double") if approx
-           else F.median("average_rating"))
+           else F.lit(exact_median(df, "average_rating")).cast("double"))
     cols = [F.count(F.lit(1)).alias("total_releases"),
             F.avg("average_rating").alias("average_rating"),
             med.alias("median_rating"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import top_tokens
 from .prep import genre_contains_any
+from .quantiles import exact_quantiles
 
 
 def _range(df: DataFrame, col: str):
@@ -134,14 +135,14 @@ def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
 def box_stats(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
     """Per group: q1, median, q3 (linear interpolation), whiskers = furthest
     values within 1.5 IQR of the quartiles, and the number of points beyond
-    the whiskers. Exact percentiles keep a value->count map per group (bounded
-    by distinct values, combined map-side); approx=True uses percentile_approx."""
+    the whiskers. Exact quartiles come by rank selection, whatever a group's
+    size; approx=True uses percentile_approx."""
     rows = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")).filter(
         F.col("_g").isNotNull() & F.col("_v").isNotNull())
-    q = (F.percentile_approx("_v", [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    quart = rows.groupBy("_g").agg(q.alias("_q"), F.count(F.lit(1)).alias("n")).select(
-        "_g", "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"),
+    probs = [0.25, 0.5, 0.75]
+    quart = (rows.groupBy("_g").agg(F.percentile_approx("_v", probs, 10000).alias("_q"), F.count(F.lit(1)).alias("n")) if approx
+             else exact_quantiles(rows, "_v", probs, "_g").withColumnRenamed("quantiles", "_q"))
+    quart = quart.select("_g", "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"),
         F.col("_q")[2].cast("double").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     fences = quart.select("_g", "n", "q1", "median", "q3",

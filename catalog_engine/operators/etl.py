@@ -146,6 +146,29 @@ def search(df: DataFrame, genres=(), styles=(), formats=(), year=None, sort=None
     return out.offset((page - 1) * per_page).limit(per_page).drop("_year_num")
 
 
+def search_order(sort=None, order: str = "desc") -> list:
+    """The order of a search result, as columns of a release table."""
+    by = {"rating": F.col("average_rating"), "year": F.col("year").cast("string").try_cast("int"), "title": F.col("title")}
+    if sort not in by:
+        return [F.col("id").asc()]
+    return [by[sort].asc_nulls_last() if order == "asc" else by[sort].desc_nulls_last(), F.col("id").asc()]
+
+
+def search_fields() -> dict:
+    """Tokens per search field of a release table, for postings."""
+    lists = {c: F.split(F.coalesce(F.col(c), F.lit("")), ", ") for c in ("genre", "style", "format")}
+    year = F.array_compact(F.array(F.col("year").cast("string").try_cast("int").cast("string")))
+    return {**lists, "year": year}
+
+
+def search_terms(genres=(), styles=(), formats=(), year=None) -> list:
+    """A search as terms over postings: (field, tokens), any token of each term.
+    A year range is one term."""
+    terms = [(f, [w]) for f, wanted in (("genre", genres), ("style", styles), ("format", formats)) for w in wanted or ()]
+    bounds = _year_bounds(year)
+    return terms + ([("year", [str(y) for y in range(bounds[0], bounds[1] + 1)])] if bounds else [])
+
+
 def search_state(df: DataFrame, per_page: int = SEARCH_PAGE_SIZE, **criteria) -> DataFrame:
     """Total matches of a search and its page count (the resumable progress
     record): one row."""

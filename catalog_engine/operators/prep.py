@@ -13,6 +13,7 @@ from ..functions import (
     total_duration_min,
 )
 from ..schemas import CLEAN_COLUMNS
+from .positions import Ranked, grams, matching_rows
 
 NUMERIC_FIELDS = ["average_rating", "rating_count", "have", "want", "rating_coefficient",
                   "demand_coefficient", "gem_value", "num_for_sale", "lowest_price"]
@@ -106,6 +107,22 @@ def filter_releases(df: DataFrame, entity: str = "artist", query: str = "", genr
     return df.filter(cond)
 
 
+def text_fields(entity: str = "artist") -> dict:
+    """The trigrams of what the text query of filter_releases searches, for postings."""
+    own = artist_from_title("title") if entity == "artist" else F.coalesce(F.col("label"), F.lit(""))
+    return {"text": F.concat(grams(F.lower(F.coalesce(F.col("title"), F.lit("")))), grams(F.lower(own)))}
+
+
+def text_candidates(spark, path: str, query: str) -> DataFrame:
+    """Rows of an index over `text_fields` that may hold the text query: those
+    with all its trigrams. Queries of fewer than three characters have no
+    trigram: all rows. filter_releases verifies."""
+    q = (query or "").lower().strip()
+    terms = [("text", [q[i:i + 3]]) for i in range(len(q) - 2)]
+    terms = list({t[1][0]: t for t in terms}.values())
+    return matching_rows(spark, path, terms) if terms else Ranked(spark, f"{path}/ranked").rows()
+
+
 def restrict_to_top(df: DataFrame, col: str, top: DataFrame) -> DataFrame:
     """Rows whose `col` is in a computed top-N table. The top table is the
     output of a limit, so its size is bounded and it is broadcast."""

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..constants import LEADERBOARD_PAGE_SIZE, LEADERBOARD_PRIOR_WEIGHT, LIST_SEPARATOR
 from ..functions import as_number, round_to
+from ..session import cut
 from .prep import entity_key, filter_releases
+from .quantiles import exact_median
 
 
 def leaderboard(df: DataFrame, entity: str = "artist", m: float = LEADERBOARD_PRIOR_WEIGHT,
@@ -69,9 +71,8 @@ def style_stats(df: DataFrame, rating_col: str = "rating_coefficient") -> DataFr
 
 def style_priors(stats: DataFrame) -> tuple[float, float]:
     """Default priors: m = median style size, C = mean of per-style means."""
-    row = stats.agg(F.median("release_count").alias("m"),
-                    F.avg(F.col("sum_rating_coeff") / F.col("release_count")).alias("c")).first()
-    return float(row["m"] or 0.0), float(row["c"] or 0.0)
+    c = stats.agg(F.avg(F.col("sum_rating_coeff") / F.col("release_count"))).first()[0]
+    return float(exact_median(stats, "release_count") or 0.0), float(c or 0.0)
 
 
 def best_styles(df: DataFrame, m: float | None = None, C: float | None = None, k: int = 100,
@@ -80,6 +81,7 @@ def best_styles(df: DataFrame, m: float | None = None, C: float | None = None, k
     coefficient, bayesian_avg = (sum + m*C) / (count + m), top k."""
     stats = style_stats(df)
     if m is None or C is None:
+        stats = cut(stats)  # read several times by the priors
         dm, dc = style_priors(stats)
         m = dm if m is None else m
         C = dc if C is None else C

@@ -214,6 +214,12 @@ SELECT count(*) AS total_items, {Q.SEARCH['per_page']} AS per_page,
        CAST(ceil(count(*) / {Q.SEARCH['per_page']}) AS BIGINT) AS total_pages
 FROM raw WHERE {_search_where()}""")
 
+ORACLES["q_search_postings"] = ORACLES["q_search"]
+ORACLES["q_search_state_postings"] = ORACLES["q_search_state"]
+ORACLES["q_search_deep_page"] = with_base(select=f"""
+SELECT * FROM (SELECT row_number() OVER (ORDER BY average_rating DESC NULLS LAST, id ASC) AS rank, {RAW_COLS} FROM raw)
+WHERE rank > {(Q.DEEP_PAGE - 1) * Q.SEARCH['per_page']} AND rank <= {Q.DEEP_PAGE * Q.SEARCH['per_page']}""")
+
 ORACLES["q_sorted_by_gem"] = with_base(select=f"""
 SELECT {RAW_COLS}, row_number() OVER (ORDER BY round(gem_value, 9) DESC, id ASC) - 1 AS position FROM raw""")
 ORACLES["q_idlist_ingest"] = with_base(select=f"SELECT {RAW_COLS} FROM raw WHERE released >= '1998-01-01'")
@@ -353,6 +359,7 @@ def _filter_where() -> str:
 
 ORACLES["q_artist_leaderboard_filtered"] = with_base(_leaderboard_cte("artist", _filter_where()),
                                                      select=f"SELECT artist, {LB_COLS} FROM lb")
+ORACLES["q_leaderboard_by_text"] = ORACLES["q_artist_leaderboard_filtered"]
 ORACLES["q_artist_pages"] = with_base(_leaderboard_cte("artist"), select="""
 SELECT count(*) AS entity_count, CAST(ceil(count(*) / 10) AS BIGINT) AS page_count FROM lb""")
 ORACLES["q_label_pages"] = with_base(_leaderboard_cte("label"), select="""

@@ -18,6 +18,8 @@ from ..functions import round_to
 from ..operators import aggregates as AG
 from ..operators import distributions as D
 from ..operators import etl as ET
+from ..operators import positions as PO
+from ..operators import prep as PR
 from ..operators import ranking as R
 from ..operators import stats as ST
 from ..operators import store as IO
@@ -31,6 +33,7 @@ EXCLUDED_STYLE = "Brand#1"
 SEARCH = dict(genres=["MEDIUM"], formats=["R"], year="1996-1998", sort="rating", order="desc",
               per_page=50)
 SEARCH_PAGE = 2
+DEEP_PAGE = 12
 LEADERBOARD_FILTER = dict(query="order 1", genre="MEDIUM", year_min="1996", year_max="1999")
 
 # Scores that agree to this many decimals are ties in the queries, because two
@@ -132,6 +135,45 @@ def q_search_state(spark, d):
     return ET.search_state(raw(spark, d), per_page=SEARCH["per_page"], **crit)
 
 
+def search_index(spark, d):
+    """Folder of the releases in the order of the fixed search, with postings."""
+    order = ET.search_order(SEARCH["sort"], SEARCH["order"])
+    return TB.written(spark, d, "search_index", lambda path: PO.write_index(raw(spark, d), order, ET.search_fields(), path))
+
+
+def _search_terms():
+    return ET.search_terms(**{k: SEARCH[k] for k in ("genres", "formats", "year")})
+
+
+@query("q_search_postings")
+def q_search_postings(spark, d):
+    """q_search from the postings: the page's rows alone are read."""
+    return rounded(PO.search_page(spark, search_index(spark, d), _search_terms(), SEARCH_PAGE, SEARCH["per_page"]).drop("position"))
+
+
+@query("q_search_state_postings")
+def q_search_state_postings(spark, d):
+    """q_search_state from the postings: no row of the store is read."""
+    size = SEARCH["per_page"]
+    return PO.search_total(spark, search_index(spark, d), _search_terms()).select(
+        "total_items", F.lit(size).alias("per_page"), F.ceil(F.col("total_items") / size).cast("long").alias("total_pages"))
+
+
+@query("q_search_deep_page")
+def q_search_deep_page(spark, d):
+    """Page DEEP_PAGE of all releases in that order, with ranks: one partition of the ranked table."""
+    page = PO.Ranked(spark, f"{search_index(spark, d)}/ranked").page(DEEP_PAGE, SEARCH["per_page"])
+    return rounded(page.select("rank", *RAW_COLUMNS))
+
+
+@query("q_leaderboard_by_text")
+def q_leaderboard_by_text(spark, d):
+    """q_artist_leaderboard_filtered over the candidates of the trigram postings."""
+    path = TB.written(spark, d, "text_index", lambda p: PO.write_index(clean(spark, d), [F.col("id").asc()], PR.text_fields(), p))
+    rows = PR.text_candidates(spark, path, LEADERBOARD_FILTER["query"]).drop("position")
+    return rounded(R.leaderboard(rows, "artist", **LEADERBOARD_FILTER))
+
+
 @query("q_sorted_by_gem")
 def q_sorted_by_gem(spark, d):
     """The whole table in gem order, with each row's position."""

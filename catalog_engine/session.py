@@ -78,3 +78,12 @@ def path_fingerprint(spark: SparkSession, path: str) -> str:
     st = fs.getFileStatus(p)
     size = fs.getContentSummary(p).getLength()
     return f"{path}:{size}:{st.getModificationTime()}"
+
+
+def cut(df):
+    """Reliable checkpoint in the shared folder: what follows starts from files
+    that survive any executor."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint(eager=True)

@@ -190,7 +190,7 @@ def interacted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", "user_id").select(F.col("user_id").alias("id")).distinct()
 
 
-_CODE_FILES = ["sources/tables.py", "operators/prep.py", "operators/etl.py", "functions/scores.py",
+_CODE_FILES = ["sources/tables.py", "operators/positions.py", "operators/prep.py", "operators/etl.py", "functions/scores.py",
                "functions/numeric.py", "functions/nested.py", "functions/text.py", "schemas.py"]
 
 
@@ -297,3 +297,11 @@ def analysis_store(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> D
     from ..operators.prep import preprocess
     return _materialised(spark, sf_dir, "analysis",
                          lambda: preprocess(release_store(spark, sf_dir)), rebuild)
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The folder that `write(folder)` filled, once per state of the test tables
+    and of the code that builds them."""
+    path = f"{_store_path(spark, sf_dir)}/{name}"
+    with _BUILD_LOCK:
+        return current_version(spark, path) or publish(spark, write, path)

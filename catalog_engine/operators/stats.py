@@ -12,10 +12,13 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
+from .positions import with_positions
+
 CORR_COLUMNS = ["average_rating", "rating_count", "have", "want", "rating_coefficient",
                 "demand_coefficient", "gem_value", "num_for_sale", "lowest_price", "num_tracks"]
 PRICE_FEATURES = ["average_rating", "rating_count", "have", "want", "rating_coefficient",
@@ -352,54 +355,145 @@ def train_test_split(df: DataFrame, test: float = 0.25, seed: int = 42, key: str
     return df.filter(~in_test), df.filter(in_test)
 
 
-def category_gains(df: DataFrame, col: str, target: str, width: int) -> DataFrame:
-    """(value, index, gain): the `width` values whose split "is this value" takes
-    most of the target's variance, over all rows and all values, best first."""
+class _Split(NamedTuple):
+    """An inner node: its feature, and the leaves on either side by number."""
+
+    feature: int
+    left: list[int]
+    right: list[int]
+
+
+def _read_tree(text: str) -> tuple[list[_Split], list[float]]:
+    """Inner nodes and leaf predictions, leaves numbered from the left, of a
+    tree's printed form."""
+    lines = [x.strip() for x in text.splitlines() if x.strip().startswith(("If ", "Else ", "Predict:"))]
+    splits: list[_Split] = []
+    leaves: list[float] = []
+    at = 0
+
+    def node() -> list[int]:
+        nonlocal at
+        line = lines[at]
+        at += 1
+        if line.startswith("Predict:"):
+            leaves.append(float(line.split(":")[1]))
+            return [len(leaves) - 1]
+        feature = int(line.split("feature ")[1].split(" ")[0])
+        left = node()
+        at += 1  # Else
+        right = node()
+        splits.append(_Split(feature, left, right))
+        return left + right
+
+    node()
+    return splits, leaves
+
+
+def category_index(df: DataFrame, col: str, target: str, smooth: float) -> DataFrame:
+    """(text, index): every text of a column in the order of its mean target,
+    drawn towards the whole mean as by `smooth` more rows, then by name."""
     y = F.col(target).cast("double")
-    whole = df.agg(F.count(y).alias("n"), F.avg(y).alias("m")).first()
-    n, m = whole["n"] or 0, whole["m"] or 0.0
-    per = df.groupBy(F.col(col).alias("value")).agg(F.count(y).alias("c"), F.avg(y).alias("a"))
-    gain = F.col("c") * F.pow(F.col("a") - F.lit(m), 2) / F.greatest(F.lit(n) - F.col("c"), F.lit(1))
-    best = per.select("value", gain.alias("gain")).orderBy(F.desc("gain"), "value").limit(width)
-    order = Window.orderBy(F.desc("gain"), "value")  # over the rows of a limit
-    return best.withColumn("index", F.row_number().over(order) - 1)
+    whole = df.agg(F.avg(y)).first()[0] or 0.0
+    per = df.groupBy(F.col(col).cast("string").alias("text")).agg(F.sum(y).alias("_s"), F.count(y).alias("_c"))
+    mean = (F.col("_s") + F.lit(whole * smooth)) / (F.col("_c") + F.lit(smooth))
+    return with_positions(per.select("text", mean.alias("_m")), [F.col("_m").asc(), F.col("text").asc()], "index").select("text", "index")
+
+
+def _attributed(cells: DataFrame, trees: list[list[_Split]], features: dict[int, str], per_tree: bool):
+    """({numeric feature: gain}, DataFrame (column, text, gain)). A split that
+    leaves n rows of mean M on a side and N rows of mean m above gains n (M - m)^2
+    there; on a text column each text of that side gets a part by its rows' own
+    n_t (M_t - m)^2. `cells` are (tree, leaf, column, text, n, s), every row of
+    the data once per tree and text column."""
+    spark = cells.sparkSession
+    one = cells.filter(F.col("column") == min(features.values())) if features else cells
+    leaf = {(r["tree"], r["leaf"]): (r["n"], r["s"]) for r in one.groupBy("tree", "leaf").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s")).collect()}  # one row per leaf of the model
+    numeric: dict[int, float] = {}
+    under, sides = [], []
+    for t, splits in enumerate(trees):
+        gains = []
+        for k, split in enumerate(splits):
+            halves = [tuple(map(sum, zip((0, 0.0), *[leaf.get((t, x), (0, 0.0)) for x in half]))) for half in (split.left, split.right)]
+            n, s = halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
+            mean = s / n if n else 0.0
+            gains.append([(c * (x / c - mean) ** 2 if c else 0.0) for c, x in halves])
+            if split.feature in features:
+                under += [(t, x, k, side, features[split.feature]) for side, half in enumerate((split.left, split.right)) for x in half]
+                sides.append((t, k, mean))
+        scale = 1.0 / total if per_tree and (total := sum(map(sum, gains))) else 1.0
+        for k, split in enumerate(splits):
+            gains[k] = [x * scale for x in gains[k]]
+            if split.feature not in features:
+                numeric[split.feature] = numeric.get(split.feature, 0.0) + sum(gains[k])
+        sides = [(*x, *gains[x[1]]) if x[0] == t and len(x) == 3 else x for x in sides]
+    # a row per leaf below a split, and per split: as many as the model has
+    below = F.broadcast(spark.createDataFrame(under, "tree int, leaf int, split int, side int, column string"))
+    split = F.broadcast(spark.createDataFrame(sides, "tree int, split int, mean double, gain0 double, gain1 double"))
+    held = (cells.join(below, ["tree", "leaf", "column"]).groupBy("tree", "split", "side", "column", "text")
+            .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).join(split, ["tree", "split"]))
+    held = cut(held.withColumn("pull", F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("mean"), 2))
+               .withColumn("gain", F.when(F.col("side") == 0, F.col("gain0")).otherwise(F.col("gain1"))))
+    pulls = F.broadcast(held.groupBy("tree", "split", "side").agg(F.sum("pull").alias("all")))  # two per split
+    return numeric, held.join(pulls, ["tree", "split", "side"]).filter("pull > 0").groupBy("column", "text").agg(
+        F.sum(F.col("gain") * F.col("pull") / F.col("all")).alias("gain"))
 
 
 def tree_importance(df: DataFrame, kind: str = "rf", target: str = "lowest_price",
                     numeric: list[str] = TREE_NUMERIC, categorical: list[str] = TREE_CATEGORICAL,
                     k: int = 20, seed: int = 42, trees: int = 20, depth: int | None = None,
-                    width: int = 200) -> DataFrame:
+                    bins: int = 256, smooth: float = 5.0) -> DataFrame:
     """Top-k feature importances of a random forest (kind='rf', depth 6) or
     gradient boosted trees (kind='gbt', depth 4) predicting the target from
-    numeric columns and one-hot whole-text categories.
-
-    A tree learner keeps every feature of every row, so a column cannot have
-    one feature per text. Each categorical column gets `width` features: the
-    texts, common or rare, whose own split explains most of the target, measured
-    on all rows. Rows with other texts stay, with no such feature set."""
-    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    numeric columns and whole-text categories: (feature, importance), a
+    category's feature being its column and text.
+
+    A text column is one feature: all its texts, numbered in the order of their
+    mean target (`category_index`), so a split takes texts apart wherever the
+    order is cut (at `bins` places, dealt by rows). What a split gains goes back
+    to the texts on its sides (`_attributed`), from one pass over the leaves that
+    all rows reach; so every text, however rare, has an importance. Numeric
+    features have the gains of their splits; all sum to 1 before the cut to k.
+    Rows with a null in any of the columns are left out."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    data = df.select(*numeric, *categorical, target).dropna()
-    names = list(numeric)
+    spark = df.sparkSession
+    rows = df.select(*numeric, *[F.col(c).cast("string").alias(c) for c in categorical], F.col(target).cast("double").alias(target)).dropna()
+    data = rows
     for c in categorical:
-        best = [(r["value"], r["index"]) for r in category_gains(data, c, target, width).collect()]
-        best.sort(key=lambda r: r[1])
-        names += [f"{c}_{v}" for v, _ in best] + [f"{c} (none)"] * (width - len(best))
-        table = df.sparkSession.createDataFrame(best, "_value string, _index int")  # at most `width` rows
-        data = (data.join(F.broadcast(table), data[c].cast("string") == F.col("_value"), "left")
-                .withColumn(f"{c}__idx", F.coalesce("_index", F.lit(width)).cast("double")).drop("_value", "_index"))
-    idx, ohe = [f"{c}__idx" for c in categorical], [f"{c}__ohe" for c in categorical]
-    # index `width` is the last category, which the encoder drops: no feature set
-    encoder = OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True)
-    sizes = df.sparkSession.createDataFrame([(float(i),) * len(idx) for i in (0, width)], ", ".join(f"{i} double" for i in idx))
-    data = encoder.fit(sizes).transform(data)
-    data = VectorAssembler(inputCols=numeric + ohe, outputCol="_features").transform(data)
-    data = data.select("_features", F.col(target).cast("double").alias(target))
+        index = category_index(rows, c, target, smooth).select(F.col("text").alias(c), F.col("index").alias(f"{c}__index"))
+        data = data.join(index, c)
+    names = [*numeric, *[f"{c}__index" for c in categorical]]
+    data = cut(VectorAssembler(inputCols=names, outputCol="_features").transform(data).select("_features", *categorical, target))
+    if data.isEmpty():
+        return spark.createDataFrame([], "feature string, importance double")
+    options = dict(featuresCol="_features", labelCol=target, seed=seed, maxBins=bins, leafCol="_leaves")
     if kind == "rf":
-        est = RandomForestRegressor(featuresCol="_features", labelCol=target, numTrees=trees, maxDepth=depth or 6, seed=seed)
+        model = RandomForestRegressor(numTrees=trees, maxDepth=depth or 6, **options).fit(data)
     else:
-        est = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=trees, maxDepth=depth or 4, seed=seed)
-    found = est.fit(data).featureImportances
-    rows = sorted(zip(names, map(float, found.toArray())), key=lambda t: (-t[1], t[0]))[:k]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+        model = GBTRegressor(maxIter=trees, maxDepth=depth or 4, **options).fit(data)
+    grown = [_read_tree(t.toDebugString) for t in model.trees]
+    # what each tree was grown on: the target, or what the trees before it left
+    leaves = F.transform(vector_to_array("_leaves"), lambda x: x.cast("int"))
+    reached = model.transform(data).withColumn("_l", leaves).select(*categorical, target, "_l")
+    for t in range(len(grown)):  # a column per tree, so that none repeats the sums before it
+        reached = reached.withColumn(f"_y{t}", F.col(target) if t == 0 or kind == "rf" else F.col(f"_y{t - 1}") - F.get(
+            F.lit([float(p * model.treeWeights[t - 1]) for p in grown[t - 1][1]]), F.get("_l", F.lit(t - 1))))
+    per_tree = F.array(*[F.struct(F.lit(t).alias("tree"), F.get("_l", F.lit(t)).alias("leaf"), F.col(f"_y{t}").alias("y"))
+                         for t in range(len(grown))])
+    texts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in categorical]) if categorical \
+        else F.array(F.struct(F.lit("").alias("column"), F.lit("").alias("text")))
+    cells = (reached.select(texts.alias("c"), F.explode(per_tree).alias("r")).select(F.explode("c").alias("c"), "r.*")
+             .groupBy("tree", "leaf", "c.column", "c.text").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")))
+    cells = cut(cells)
+    features = {len(numeric) + i: c for i, c in enumerate(categorical)}
+    gains, by_text = _attributed(cells, [splits for splits, _ in grown], features, kind == "rf")
+    by_text = cut(by_text)
+    total = sum(gains.values()) + (by_text.agg(F.sum("gain")).first()[0] or 0.0)
+    best = by_text.orderBy(F.desc("gain"), "column", "text").limit(k).collect()
+    found = [(numeric[f], x) for f, x in gains.items()] + [(c, 0.0) for i, c in enumerate(numeric) if i not in gains]
+    found += [(f"{r['column']}_{r['text']}", r["gain"]) for r in best]
+    top = sorted(((f, x / total if total else 0.0) for f, x in found), key=lambda r: (-r[1], r[0]))[:k]
+    return spark.createDataFrame(top, "feature string, importance double")

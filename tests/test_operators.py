@@ -368,11 +368,40 @@ def test_rare_category_reaches_the_top(spark):
     rows += [(50.0, 25.0, f"once{i}", "LP", 50.0) for i in range(600)]
     df = spark.createDataFrame(rows, "a double, b double, style string, format string, price double")
     for kind in ("rf", "gbt"):
-        top = ST.tree_importance(df, kind, "price", ["a", "b"], ["style", "format"], trees=3, width=20).collect()
+        top = ST.tree_importance(df, kind, "price", ["a", "b"], ["style", "format"], trees=3, k=2000).collect()
         assert top[0]["feature"] == "style_rare and dear"
-        assert sum(r["importance"] for r in top) == pytest.approx(1.0, abs=1e-6)
-    gains = ST.category_gains(df, "style", "price", 5).collect()
-    assert gains[0]["value"] == "rare and dear" and [r["index"] for r in gains] == list(range(5))
+        assert sum(r["importance"] for r in top) == pytest.approx(1.0, abs=1e-6) and all(r["importance"] >= 0 for r in top)
+    order = ST.category_index(df, "style", "price", 5.0).collect()
+    assert sorted(r["index"] for r in order) == list(range(608))
+    assert max(order, key=lambda r: r["index"])["text"] == "rare and dear"
+
+
+def test_text_that_matters_only_after_another_split(spark):
+    """Its mean is that of all others; only beside `a` does it move the price."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(6000):
+        a, style = float(rng.integers(0, 2)), "hidden" if i % 50 == 0 else f"s{i % 300}"
+        rows.append((a, float(rng.normal()), style, "CD", 50.0 + (40 * (2 * a - 1) if style == "hidden" else 0) + float(rng.normal(0, 0.1))))
+    df = spark.createDataFrame(rows, "a double, b double, style string, format string, price double")
+    for kind in ("rf", "gbt"):
+        top = ST.tree_importance(df, kind, "price", ["a", "b"], ["style", "format"], trees=5).collect()
+        assert len(top) == 20 and "style_hidden" in [r["feature"] for r in top[:3]]
+
+
+def test_gain_parts_equal_the_model_gains(spark):
+    """Without text splits the gains are those of the learner itself."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(y), "only", 3 * float(x) + (5 if y > 0 else 0) + float(e)) for x, y, e in rng.normal(size=(800, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, style string, price double")
+    got = {r["feature"]: r["importance"] for r in ST.tree_importance(df, "gbt", "price", ["a", "b"], ["style"], trees=4, bins=32).collect()}
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df)
+    own = GBTRegressor(featuresCol="f", labelCol="price", maxIter=4, maxDepth=4, maxBins=32, seed=42).fit(data).featureImportances.toArray()
+    assert got["a"] == pytest.approx(own[0], abs=0.02) and got["b"] == pytest.approx(own[1], abs=0.02)
+    assert ST.tree_importance(df.filter("false"), "rf", "price", ["a", "b"], ["style"]).count() == 0
+
 
 
 def test_sorted_positions(spark):

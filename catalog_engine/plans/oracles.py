@@ -172,6 +172,8 @@ SELECT {RAW_COLS} FROM (
   UNION ALL
   SELECT * FROM search_rows WHERE release_id NOT IN (SELECT release_id FROM raw))""")
 
+ORACLES["q_bucketed_insert"] = ORACLES["q_insert_or_ignore"]
+
 CLEAN_SEARCH = f"""clean_search AS (
   SELECT id,
     CASE WHEN artists_sort IS NULL OR artists_sort = '' THEN title

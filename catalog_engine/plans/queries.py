@@ -8,6 +8,7 @@ decimals (densities to 9) so that the SQL oracle can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from ..operators import stats as ST
 from ..operators import store as IO
 from ..operators import trends as TR
 from ..operators.prep import clean_releases, entity_releases
-from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS
+from ..schemas import CLEAN_COLUMNS, RAW_COLUMNS, RAW_RELEASE
+from ..session import checkpoint_root
 from ..sources import tables as TB
 
 # The test tables have no 'Techno'; this style token stands in for it.
@@ -118,6 +120,15 @@ def q_insert_or_ignore(spark, d):
     return rounded(IO.insert_or_ignore(raw(spark, d), batch, "release_id", "_pos", RAW_COLUMNS))
 
 
+@query("q_bucketed_insert")
+def q_bucketed_insert(spark, d):
+    """q_insert_or_ignore into a store bucketed by key, the batch as its second one."""
+    path = f"{checkpoint_root(spark)}/bucketed-{uuid.uuid4().hex}"
+    IO.append_to_buckets(raw(spark, d), path, "release_id", "id", 0, RAW_RELEASE)
+    IO.append_to_buckets(_search_batch(spark, d), path, "release_id", "_pos", 1, RAW_RELEASE)
+    return rounded(IO.read_buckets(spark, path, RAW_RELEASE).select(*RAW_COLUMNS))
+
+
 @query("q_clean_insert")
 def q_clean_insert(spark, d):
     batch = clean_releases(_search_batch(spark, d), keep=("_pos",))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .aggregates import top_tokens
@@ -190,6 +190,21 @@ def points(df: DataFrame, x: str, y: str, colour: str | None = None, bins: int |
     return both.groupBy(xb, yb).agg(*aggs)
 
 
+def sample_points(df: DataFrame, x: str, y: str, k: int, seed: int = 42, key: str = "id", stratum: str | None = None) -> DataFrame:
+    """Exactly k points (all, if there are fewer) behind a scatter, per stratum
+    if one is named: those with the least md5 of seed and key, so the same ones
+    however the data are partitioned. Rows with a null coordinate, key or stratum
+    are left out; equal keys follow by their coordinates."""
+    named = [stratum] if stratum else []
+    rows = df.select(*named, key, x, y).dropna()
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.col(key), F.col(x), F.col(y)]
+    if not stratum:
+        return rows.orderBy(*order).limit(k)
+    # a limit per group keeps at most k rows of each in every task before the shuffle
+    return (rows.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
+            .filter(F.col("_r") <= k).drop("_r"))
+
+
 def pairwise(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
     """Binned relation of every column pair (a < b in the given order):
     (x_col, y_col, x_bin, y_bin, count). Each row is binned once per column;

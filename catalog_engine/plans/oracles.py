@@ -556,6 +556,10 @@ SELECT qs._g AS genre, qs.n, round(q1, 6) AS q1, round(med, 6) AS median, round(
 FROM qs JOIN wh ON qs._g = wh._g""")
 
 
+ORACLES["q_xy_sample"] = with_base(select=f"""
+SELECT id, round(average_rating, 6) AS average_rating, round(lowest_price, 6) AS lowest_price FROM prep
+WHERE id IS NOT NULL AND average_rating IS NOT NULL AND lowest_price IS NOT NULL
+ORDER BY md5('42:' || id), id LIMIT {Q.SAMPLE_POINTS}""")
 ORACLES["q_box_tracks"] = _box("num_tracks")
 ORACLES["q_box_duration"] = _box("total_duration_min")
 

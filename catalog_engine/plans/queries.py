@@ -36,6 +36,7 @@ SEARCH = dict(genres=["MEDIUM"], formats=["R"], year="1996-1998", sort="rating",
               per_page=50)
 SEARCH_PAGE = 2
 DEEP_PAGE = 12
+SAMPLE_POINTS = 500
 LEADERBOARD_FILTER = dict(query="order 1", genre="MEDIUM", year_min="1996", year_max="1999")
 
 # Scores that agree to this many decimals are ties in the queries, because two
@@ -487,6 +488,12 @@ def q_hist_num_tracks(spark, d):
     return D.unit_histogram(prep(spark, d), "num_tracks")
 
 
+@query("q_xy_sample")
+def q_xy_sample(spark, d):
+    """A sample of fixed size of the rating and price scatter."""
+    return rounded(D.sample_points(prep(spark, d), "average_rating", "lowest_price", SAMPLE_POINTS))
+
+
 @query("q_box_tracks")
 def q_box_tracks(spark, d):
     return rounded(D.box_by_top_genres(prep(spark, d), "num_tracks"))

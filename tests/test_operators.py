@@ -505,3 +505,13 @@ def test_approx_and_sampling_options(spark):
     assert sample.count() == D.points(prep, "average_rating", "have", bins=None, fraction=0.1, seed=7).count()
     grid = D.points(prep, "average_rating", "have", colour="want", bins=10)
     assert sum(r["count"] for r in grid.collect()) == 5000 and "mean_want" in grid.columns
+
+
+def test_sample_of_fixed_size(spark):
+    rows = [(k, float(k % 13), float(k % 7) if k % 5 else None, "ab"[k % 3 == 0]) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, g string")
+    got = [sorted(r.id for r in D.sample_points(df.repartition(n), "x", "y", 50).collect()) for n in (4, 9)]
+    assert got[0] == got[1] and len(set(got[0])) == 50 and not any(i % 5 == 0 for i in got[0])
+    per = [sorted((r.g, r.id) for r in D.sample_points(df.repartition(n), "x", "y", 20, stratum="g").collect()) for n in (4, 9)]
+    assert per[0] == per[1] and [sum(g == s for g, _ in per[0]) for s in "ab"] == [20, 20]
+    assert D.sample_points(df, "x", "y", 10 ** 6).count() == 320

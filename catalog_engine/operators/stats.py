@@ -67,20 +67,19 @@ def corr_with(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 # --- moments, VIF -------------------------------------------------------------
 
 def moments(df: DataFrame, cols: list[str]):
-    """n, column means and the centred cross-product matrix S of the
-    non-null rows: two constant-size aggregates (means first, for accuracy)."""
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    r = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    n = int(r["n"])
-    mean = np.array([r[f"m{i}"] or 0.0 for i in range(len(cols))], dtype=float)
+    """n, column means and the centred cross-product matrix S of the non-null
+    rows, in one scan: covariances are kept as centred co-moments (count, means,
+    cross product) that merge across tasks, so large offsets cost no digits."""
+    d = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
     p = len(cols)
-    z = [(F.col(c) - F.lit(float(mean[i]))) for i, c in enumerate(cols)]
-    sums = d.agg(*[F.sum(z[i] * z[j]).alias(f"s_{i}_{j}") for i in range(p) for j in range(i, p)]).first()
+    r = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"c{i}").alias(f"m{i}") for i in range(p)],
+              *[F.covar_pop(f"c{i}", f"c{j}").alias(f"s_{i}_{j}") for i in range(p) for j in range(i, p)]).first()
+    n = int(r["n"])
     S = np.zeros((p, p))
     for i in range(p):
         for j in range(i, p):
-            S[i, j] = S[j, i] = sums[f"s_{i}_{j}"] or 0.0
-    return n, mean, S
+            S[i, j] = S[j, i] = n * (r[f"s_{i}_{j}"] or 0.0)
+    return n, np.array([r[f"m{i}"] or 0.0 for i in range(p)], dtype=float), S
 
 
 def _vif_values(n: int, mean: np.ndarray, S: np.ndarray) -> list[float]:

@@ -515,3 +515,13 @@ def test_sample_of_fixed_size(spark):
     per = [sorted((r.g, r.id) for r in D.sample_points(df.repartition(n), "x", "y", 20, stratum="g").collect()) for n in (4, 9)]
     assert per[0] == per[1] and [sum(g == s for g, _ in per[0]) for s in "ab"] == [20, 20]
     assert D.sample_points(df, "x", "y", 10 ** 6).count() == 320
+
+
+def test_moments_in_one_scan_at_a_large_offset(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3)) @ np.array([[1, .5, 0], [0, 1, .2], [0, 0, 2]]) + 1e9
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x] + [(None, 1.0, 2.0)], "a double, b double, c double").repartition(7)
+    n, mean, S = ST.moments(df, ["a", "b", "c"])
+    z = x - x.mean(axis=0)
+    assert n == 3000 and mean == pytest.approx(x.mean(axis=0), rel=1e-14) and S == pytest.approx(z.T @ z, rel=1e-6)
+    assert ST.moments(df.filter("false"), ["a", "b"])[0] == 0

@@ -12,9 +12,8 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut
 from .positions import with_positions
@@ -304,42 +303,34 @@ def ols_tails(df: DataFrame, fit: OlsFit, y: str = "lowest_price", order_col: st
     return df.sparkSession.createDataFrame(rows, "statistic string, term string, value double")
 
 
+def _range_of(col: str, cuts: list) -> Column:
+    """How many of the sorted cuts lie below a value: found in two steps of about
+    the root of their number each."""
+    width = math.isqrt(len(cuts)) + 1
+    below = lambda some: F.size(F.filter(some, lambda c: c < F.col(col)))
+    whole = below(F.array(*map(F.lit, cuts[width - 1::width]))) if len(cuts) >= width else F.lit(0)
+    rest = F.slice(F.array(*map(F.lit, cuts)), whole * width + 1, F.lit(width)) if cuts else None
+    return whole * width + (below(rest) if cuts else F.lit(0))
+
+
 def durbin_watson(resid: DataFrame, order_col: str, resid_col: str, parts: int | None = None) -> float:
-    """sum((e_t - e_{t-1})^2) / sum(e_t^2) in `order_col` order. Rows are range
-    partitioned and sorted; each partition reports its inner sum and its first
-    and last residual, and the driver adds the few boundary terms. No global
-    single-partition window."""
-    spark = resid.sparkSession
-    parts = parts or spark.sparkContext.defaultParallelism
-    r = (resid.select(F.col(order_col).alias("k"), F.col(resid_col).cast("double").alias("e"))
-              .repartitionByRange(parts, "k").sortWithinPartitions("k"))
-
-    def per_partition(batches):
-        import pandas as pd
-        first_k = first_e = last_e = None
-        inner = sq = 0.0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            e = pdf["e"].to_numpy()
-            if first_k is None:
-                first_k, first_e = pdf["k"].iloc[0], e[0]
-            else:
-                inner += (e[0] - last_e) ** 2
-            d = e[1:] - e[:-1]
-            inner += float((d * d).sum())
-            sq += float((e * e).sum())
-            last_e = e[-1]
-        if first_k is not None:
-            yield pd.DataFrame({"first_k": [first_k], "first_e": [first_e], "last_e": [last_e],
-                                "inner": [inner], "sq": [sq]})
-
-    schema = T.StructType([T.StructField("first_k", r.schema["k"].dataType), T.StructField("first_e", T.DoubleType()),
-                           T.StructField("last_e", T.DoubleType()), T.StructField("inner", T.DoubleType()),
-                           T.StructField("sq", T.DoubleType())])
-    rows = sorted(r.mapInPandas(per_partition, schema).collect(), key=lambda x: x["first_k"])
-    num = sum(x["inner"] for x in rows)
-    num += sum((b["first_e"] - a["last_e"]) ** 2 for a, b in zip(rows, rows[1:]))
+    """sum((e_t - e_{t-1})^2) / sum(e_t^2) in the order of a numeric column; rows
+    without it, or without a residual, are left out, rows with equal values follow
+    their residuals, and no rows give NaN. Rows are
+    dealt into ranges between approximate quantiles (`parts` numbers reach the
+    driver); `lag` gives the steps within a range, and the last residual of each
+    range that has rows meets the first of the next. No window over all rows."""
+    parts = parts or resid.sparkSession.sparkContext.defaultParallelism
+    r = resid.select(F.col(order_col).alias("k"), F.col(resid_col).cast("double").alias("e")).dropna()
+    at = r.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("cuts")).first()["cuts"]
+    ranges = r.withColumn("part", _range_of("k", sorted(set(at or []))))
+    steps = ranges.withColumn("step", F.col("e") - F.lag("e").over(Window.partitionBy("part").orderBy("k", "e")))
+    ends = steps.groupBy("part").agg(
+        F.sum(F.col("step") * F.col("step")).alias("inner"), F.sum(F.col("e") * F.col("e")).alias("sq"),
+        F.min(F.struct("k", "e"))["e"].alias("first"), F.max(F.struct("k", "e"))["e"].alias("last"))
+    rows = sorted(ends.collect(), key=lambda x: x["part"])  # a row per range
+    num = sum(x["inner"] or 0.0 for x in rows)
+    num += sum((b["first"] - a["last"]) ** 2 for a, b in zip(rows, rows[1:]))
     den = sum(x["sq"] for x in rows)
     return num / den if den else math.nan
 

@@ -229,6 +229,13 @@ ORACLES["q_truncated"] = with_base(select="""
 SELECT count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS left_after_delete FROM raw WHERE year = '1996'""")
 ORACLES["q_export_records"] = with_base(select="SELECT " + ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" for c in RAW_COLUMNS) + " FROM raw")
+ORACLES["q_existing_ids"] = with_base(select="SELECT DISTINCT CAST(release_id AS VARCHAR) AS release_id FROM raw")
+ORACLES["q_export_written"] = with_base(select=" UNION ALL ".join(
+    f"SELECT {q(fmt)} AS format, " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in (
+        "id", "title", "labels", "year", "average_rating", "gem_value")) + " FROM raw" for fmt in ("json", "csv")))
+ORACLES["q_sorted_written"] = with_base(select="""
+SELECT id, round(round(gem_value, 9), 6) AS gem_value, row_number() OVER (ORDER BY round(gem_value, 9) DESC, id ASC) - 1 AS position
+FROM raw""")
 
 ORACLES["q_saved_search_state"] = with_base(select=f"""
 SELECT 3 AS resume_page, CAST(count(*) AS INTEGER) AS total_items, {Q.SEARCH['per_page']} AS per_page,
@@ -690,6 +697,11 @@ def _report_oracle() -> str:
 
 
 ORACLES["q_report"] = _report_oracle()
+for _live, _batch in (("q_live_artist_leaderboard", "q_artist_leaderboard"), ("q_live_label_leaderboard", "q_label_leaderboard"),
+                      ("q_live_top_styles", "q_top_styles"), ("q_live_labels_popularity", "q_top_labels_popularity"),
+                      ("q_live_label_trend", "q_label_trend"), ("q_live_style_trend", "q_style_trend"),
+                      ("q_live_gem_per_year", "q_gem_per_year")):
+    ORACLES[_live] = ORACLES[_batch]
 
 
 

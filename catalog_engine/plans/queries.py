@@ -250,6 +250,48 @@ def q_saved_search_state(spark, d):
                                  "resume_page int, total_items int, per_page int, sort string, genres string, year string")
 
 
+@query("q_existing_ids")
+def q_existing_ids(spark, d):
+    """The distinct ids that a store written in overlapping batches has."""
+    stored = raw(spark, d)
+    return ET.existing_ids(stored.unionByName(stored.filter("year = '1996'")))
+
+
+@query("q_export_written")
+def q_export_written(spark, d):
+    """The export as JSON lines and as CSV, read back: what each file format holds."""
+    from ..sources.files import export_records
+    out = None
+    for fmt in ("json", "csv"):
+        path = _written(spark, f"export-{fmt}")
+        export_records(raw(spark, d), path, fmt)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
+        rows = (spark.read.schema(schema).json(path) if fmt == "json" else
+                spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path))
+        rows = rows.select(F.lit(fmt).alias("format"), "id", "title", "labels", "year", "average_rating", "gem_value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("q_sorted_written")
+def q_sorted_written(spark, d):
+    """The table rewritten in gem order: each row with its position in the files,
+    in the order of their names."""
+    from ..sources.files import rewrite_sorted
+    path = _written(spark, "sorted")
+    rewrite_sorted(raw(spark, d).withColumn("gem_value", round_to("gem_value", 9)).select("id", "gem_value"), path)
+    rows = spark.read.parquet(path).select("id", "gem_value", F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("row"))
+    sizes = {r["file"]: r["count"] for r in rows.groupBy("file").count().collect()}  # one number per file
+    starts, before = [], 0
+    for name in sorted(sizes):
+        starts += [F.lit(name), F.lit(before).cast("long")]
+        before += sizes[name]
+    if not starts:
+        return rows.select("id", "gem_value", F.col("row").alias("position"))
+    return rounded(rows.select("id", "gem_value", (F.create_map(*starts)[F.col("file")] + F.col("row")).alias("position")))
+
+
 @query("q_export_records")
 def q_export_records(spark, d):
     from ..sources.files import as_records
@@ -591,6 +633,57 @@ def q_stream_ingest(spark, d):
     return rounded(ingest_payload_drops(spark, d))
 
 
+def _live(spark, d):
+    """Partials that the ingest of two drops kept current."""
+    from ..operators import partials as PA
+    from ..streaming.ingest import ingest_drops_to_partials
+    path = TB.written(spark, d, "live_partials", lambda p: ingest_drops_to_partials(spark, d, p))
+    return PA, PA.read_partials(spark, path)
+
+
+@query("q_live_artist_leaderboard")
+def q_live_artist_leaderboard(spark, d):
+    """q_artist_leaderboard from the partials, without the store."""
+    PA, parts = _live(spark, d)
+    return rounded(PA.leaderboard(parts, "artist"))
+
+
+@query("q_live_label_leaderboard")
+def q_live_label_leaderboard(spark, d):
+    PA, parts = _live(spark, d)
+    return rounded(PA.leaderboard(parts, "label"))
+
+
+@query("q_live_top_styles")
+def q_live_top_styles(spark, d):
+    PA, parts = _live(spark, d)
+    return PA.top_counts(parts, "style", 10, exclude=[EXCLUDED_STYLE])
+
+
+@query("q_live_labels_popularity")
+def q_live_labels_popularity(spark, d):
+    PA, parts = _live(spark, d)
+    return rounded(R.top_k(PA.label_stats(parts), "popularity_score", 100, "label_name", TIE_DIGITS))
+
+
+@query("q_live_label_trend")
+def q_live_label_trend(spark, d):
+    PA, parts = _live(spark, d)
+    return PA.label_trend(parts, digits=TIE_DIGITS)
+
+
+@query("q_live_style_trend")
+def q_live_style_trend(spark, d):
+    PA, parts = _live(spark, d)
+    return PA.style_trend(parts, exclude=EXCLUDED_STYLE)
+
+
+@query("q_live_gem_per_year")
+def q_live_gem_per_year(spark, d):
+    PA, parts = _live(spark, d)
+    return rounded(PA.mean_per_year(parts, "gem_value").drop("release_count"))
+
+
 # --- report and split ----------------------------------------------------------------------------
 
 @query("q_report")

@@ -1,7 +1,7 @@
 """The summary report (IO-11): one long table of all sections, and its text.
 
-The table (section, rank, key, metric, value) is a union of small frames; the
-label statistics are shared. Formatting it as text is a thin driver-side step
+The table (section, rank, key, metric, value) is a union of small frames, all but
+the median and the correlations from one aggregate. Formatting it as text is a thin driver-side step
 over those few hundred rows.
 """
 
@@ -13,11 +13,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import EXCLUDED_STYLE, REPORT_SECTIONS, REPORT_SUMMARY, REPORT_TITLE
-from ..operators import aggregates as AG
+from ..operators import partials as PA
 from ..operators import ranking as R
 from ..operators import stats as ST
+from ..operators.quantiles import exact_median
+from ..session import cut
 
 SCHEMA = "section string, rank int, key string, metric string, value double"
+#: Summary lines that are means, by their column.
+SUMMARY_MEANS = {c: "average_rating" if c == "average_rating" else "average_total_duration" if c == "total_duration_min"
+                 else f"average_{c}" for c in PA.MEANS}
 
 
 def _section(name: str, df: DataFrame, key: str, metrics: list[str], order: str, tie: str,
@@ -29,30 +34,36 @@ def _section(name: str, df: DataFrame, key: str, metrics: list[str], order: str,
 
 
 def report_table(df: DataFrame, excluded_style: str = EXCLUDED_STYLE, digits: int | None = None) -> DataFrame:
-    """All sections over the prepared analysis frame."""
-    labels = AG.label_stats(df)
-    whole = AG.summary(df)
+    """All sections over the prepared analysis frame. Counts and means of all of
+    them come from one aggregate over the cells of every row (operators/partials),
+    written once; besides it only the median and the correlations read the frame."""
+    totals = cut(PA.merged(PA.partials(PA.cells(df)), "family", "key"))
+    labels, artists = PA.label_stats(totals), PA.artist_stats(totals)
     corr_cols = ST.CORR_COLUMNS + (["total_duration_min"] if "total_duration_min" in df.columns else [])
     counts = ["release_count"]
+    means = totals.filter("family = 'mean'").select(
+        "key", F.col("n").alias("rows"), (F.col("x") / F.col("n_x")).alias("mean"))
+    names = F.create_map(*[F.lit(x) for c, name in SUMMARY_MEANS.items() for x in (c, name)])
+    whole = means.select(names[F.col("key")].alias("metric"), F.col("mean").alias("value")).unionByName(
+        means.agg(F.coalesce(F.max("rows"), F.lit(0)).cast("double").alias("value")).select(
+            F.lit("total_releases").alias("metric"), "value")).unionByName(
+        df.sparkSession.createDataFrame([("median_rating", exact_median(df, "average_rating"))], "metric string, value double"))
     parts = [
-        whole.select(F.lit("summary").alias("section"), F.lit(0).alias("rank"), F.lit("").alias("key"), F.inline(F.array(
-            *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in whole.columns]))),
-        _section("genres", AG.top_tokens(df, "genre", 10), "genre", counts, "release_count", "genre", None),
-        _section("styles", AG.top_tokens(df, "style", 10, exclude=[excluded_style]), "style", counts, "release_count",
+        whole.select(F.lit("summary").alias("section"), F.lit(0).alias("rank"), F.lit("").alias("key"), "metric", "value"),
+        _section("genres", PA.top_counts(totals, "genre", 10), "genre", counts, "release_count", "genre", None),
+        _section("styles", PA.top_counts(totals, "style", 10, exclude=[excluded_style]), "style", counts, "release_count",
                  "style", None),
         _section("labels_by_popularity", R.top_k(labels, "popularity_score", 100, "label_name", digits), "label_name",
                  ["average_want", "average_rating_coeff", "release_count", "popularity_score"], "popularity_score",
                  "label_name", digits),
         _section("labels_by_rating", R.top_k(labels, "average_rating_coeff", 100, "label_name", digits), "label_name",
                  ["average_rating_coeff", "release_count"], "average_rating_coeff", "label_name", digits),
-        _section("artists_by_popularity", R.top_k(AG.artist_stats(df, "want", "average_want"), "average_want", 100,
-                                                  "artist", digits), "artist", ["average_want", "release_count"],
-                 "average_want", "artist", digits),
-        _section("artists_by_rating", R.top_k(AG.artist_stats(df, "rating_coefficient", "average_rating_coeff"),
-                                              "average_rating_coeff", 100, "artist", digits), "artist",
+        _section("artists_by_popularity", R.top_k(artists, "average_want", 100, "artist", digits), "artist",
+                 ["average_want", "release_count"], "average_want", "artist", digits),
+        _section("artists_by_rating", R.top_k(artists, "average_rating_coeff", 100, "artist", digits), "artist",
                  ["average_rating_coeff", "release_count"], "average_rating_coeff", "artist", digits),
-        _section("countries", AG.top_values(df, "country", 20), "country", counts, "release_count", "country", None),
-        _section("formats", AG.top_tokens(df, "format", 10), "format", counts, "release_count", "format", None),
+        _section("countries", PA.top_counts(totals, "country", 20), "country", counts, "release_count", "country", None),
+        _section("formats", PA.top_counts(totals, "format", 10), "format", counts, "release_count", "format", None),
         ST.corr_matrix(df, corr_cols).select(F.lit("correlations").alias("section"), F.lit(0).alias("rank"),
                                              F.col("col_a").alias("key"), F.col("col_b").alias("metric"),
                                              F.col("r").alias("value")),

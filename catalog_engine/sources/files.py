@@ -67,16 +67,17 @@ def as_records(df: DataFrame) -> DataFrame:
 
 
 def export_records(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Export all releases as string-valued records (JSON lines or CSV with header)."""
+    """Export all releases as string-valued records (JSON lines, or CSV with a
+    header and quotes doubled inside values)."""
     w = as_records(df).write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def gem_order() -> list[Column]:

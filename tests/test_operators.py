@@ -525,3 +525,27 @@ def test_moments_in_one_scan_at_a_large_offset(spark):
     z = x - x.mean(axis=0)
     assert n == 3000 and mean == pytest.approx(x.mean(axis=0), rel=1e-14) and S == pytest.approx(z.T @ z, rel=1e-6)
     assert ST.moments(df.filter("false"), ["a", "b"])[0] == 0
+
+
+def test_durbin_watson_over_ranges(spark):
+    rng = np.random.default_rng(5)
+    for n, parts in ((0, 4), (1, 4), (3, 9), (400, 1), (400, 2), (400, 7), (400, 50)):
+        k = np.sort(rng.integers(0, 10**12, n)) if n != 3 else np.array([5, 5, 9])  # ranges without rows, ties
+        e = rng.normal(size=n)
+        e = e[np.lexsort((e, k))]
+        rows = [(int(a), float(b)) for a, b in zip(k, e)] + [(None, 7.0), (3, None)]
+        rng.shuffle(rows)
+        df = spark.createDataFrame([(None if a is None else int(a), b) for a, b in rows], "k long, e double").repartition(3)
+        got = ST.durbin_watson(df, "k", "e", parts)
+        if n == 0:
+            assert math.isnan(got)
+        else:
+            e = np.array([b for _, b in sorted(zip(k.tolist(), e.tolist()))])
+            assert got == pytest.approx((np.diff(e) ** 2).sum() / (e @ e), rel=1e-9)
+
+
+def test_ranges_by_two_steps(spark):
+    for n in (0, 1, 2, 5, 17, 100):
+        cuts = [3 * i for i in range(n)]
+        df = spark.range(-2, 3 * n + 3).withColumn("r", ST._range_of("id", cuts))
+        assert all(x.r == sum(c < x.id for c in cuts) for x in df.collect())

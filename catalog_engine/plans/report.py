@@ -37,7 +37,7 @@ def report_table(df: DataFrame, excluded_style: str = EXCLUDED_STYLE, digits: in
     """All sections over the prepared analysis frame. Counts and means of all of
     them come from one aggregate over the cells of every row (operators/partials),
     written once; besides it only the median and the correlations read the frame."""
-    totals = cut(PA.merged(PA.partials(PA.cells(df)), "family", "key"))
+    totals = cut(PA.partials(PA.cells(df), "family", "key"))
     labels, artists = PA.label_stats(totals), PA.artist_stats(totals)
     corr_cols = ST.CORR_COLUMNS + (["total_duration_min"] if "total_duration_min" in df.columns else [])
     counts = ["release_count"]

@@ -5,9 +5,9 @@ outputs. ORACLES holds DuckDB SQL where SQL can say the same."""
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +28,7 @@ from .secrets_sql import SECRETS_SQL
 from .substring_dedup import substring_dedup
 from .warc import read_archives, write_archives
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,9 @@ points, which an edit changes by two at most, leave few pairs to the distance.
 
 Each distinct line of a chunk of documents gives its keys once, so a line that
 millions of documents share is a handful of rows per task. The rows (key, line
-hash) are the only large shuffle besides the documents' own.
+hash) are the only large shuffle besides the documents' own. Lines are counted
+before they meet the first of their class; the few too common for one task meet
+it by broadcast (at most four per task, whatever the data).
 
 Defined cases: a null text has no lines and stays null; text without line
 breaks is one line; rows alike in id and text count as one document; a null
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, INT64_MAX, chunks, cut
+from .common import BLANKS, INT64_MAX, chunks, cut, forget, shuffle_partitions
 from .linking import asked, classes_in_place, digest, id_filter, shared_keys, wanted_texts
 
 TAU = 2
@@ -224,6 +226,42 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select(*[F.col("row")[c].alias(c) if c != text_col else F.col("kept_text").alias(c) for c in docs.columns])
 
 
+def _firsts(lines: DataFrame, labels: DataFrame | None, place: Column) -> DataFrame:
+    """(node, first, n) of the lines whose class has more than one occurrence:
+    where the class comes first and how often the line itself occurs. Lines are
+    grouped by themselves before their classes are looked up, so a common line
+    is one row in every join here."""
+    nodes = lines.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"),
+                                      F.count(F.lit(1)).alias("n"))
+    if labels is None:
+        return cut(nodes.filter("first != last").select("node", "first", "n"))
+    linked = cut(nodes.join(labels, "node"))  # a class has two different lines at least
+    alone = nodes.join(labels, "node", "left_anti").filter("first != last").select("node", "first", "n")
+    of_class = _meeting(linked.drop("first", "last"), linked.groupBy("label").agg(
+        F.min("first").alias("first"), F.count(F.lit(1)).alias("rows")), "label", linked.count())
+    firsts = cut(alone.unionByName(of_class.select("node", "first", "n")))
+    forget(linked)
+    return firsts
+
+
+def _meeting(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
+    """rows with the `first` of their key, from values (key, first, rows: how
+    many of the `total` rows have it). A key above a quarter of a task's share
+    would fill one task; there are at most four a task, so these values are
+    broadcast and their rows stay where they are."""
+    share = max(1, total // (4 * shuffle_partitions(rows.sparkSession)))
+    hot, rest = values.filter(F.col("rows") > share), values.filter(F.col("rows") <= share)
+    hot = F.broadcast(hot.select(key, "first"))
+    cold = rows.join(hot, key, "left_anti").join(rest.select(key, "first"), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
+def _dropped(lines: DataFrame, firsts: DataFrame, place: Column) -> DataFrame:
+    """doc and the numbers of its lines that are not the first of their class."""
+    met = _meeting(lines, firsts.withColumnRenamed("n", "rows"), "node", lines.count())
+    return met.filter(place != F.col("first")).groupBy("doc").agg(F.sort_array(F.collect_set("n")).alias("dropped"))
+
+
 def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int, every_repeat: bool,
              carry: list[str]) -> DataFrame:
     labels = line_classes(docs, text_col, tau, min_chars)
@@ -242,13 +280,8 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: i
                                              ["doc", "doc_id", "n", "node"])
 
     lines = cut(base.select("doc", "doc_id", "text").mapInArrow(spread, "doc binary, doc_id long, n int, node binary"))
-    if labels is not None:
-        lines = lines.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")
     place = F.struct("doc_id", "doc", "n")  # rows that share a doc_id follow by their text's key
-    first = (lines.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .filter("first != last").select("node", "first"))
-    dropped = (lines.join(first, "node").filter(place != F.col("first"))
-               .groupBy("doc").agg(F.sort_array(F.collect_set("n")).alias("dropped")))
+    dropped = _dropped(lines, _firsts(lines, labels, place), place)
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -20,8 +20,8 @@ points, which an edit changes by two at most, leave few pairs to the distance.
 Each distinct line of a chunk of documents gives its keys once, so a line that
 millions of documents share is a handful of rows per task. The rows (key, line
 hash) are the only large shuffle besides the documents' own. Lines are counted
-before they meet the first of their class; the few too common for one task meet
-it by broadcast (at most four per task, whatever the data).
+before they meet the first of their class; the few too common for one task (at
+most two per task, whatever the data) are salted.
 
 Defined cases: a null text has no lines and stays null; text without line
 breaks is one line; rows alike in id and text count as one document; a null
@@ -246,14 +246,20 @@ def _firsts(lines: DataFrame, labels: DataFrame | None, place: Column) -> DataFr
 
 def _meeting(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
     """rows with the `first` of their key, from values (key, first, rows: how
-    many of the `total` rows have it). A key above a quarter of a task's share
-    would fill one task; there are at most four a task, so these values are
-    broadcast and their rows stay where they are."""
-    share = max(1, total // (4 * shuffle_partitions(rows.sparkSession)))
-    hot, rest = values.filter(F.col("rows") > share), values.filter(F.col("rows") <= share)
-    hot = F.broadcast(hot.select(key, "first"))
-    cold = rows.join(hot, key, "left_anti").join(rest.select(key, "first"), key)
-    return rows.join(hot, key).unionByName(cold)
+    many of the `total` rows have it). A key with more rows than half a task's
+    share is dealt over as many salts as it has such halves (in powers of two);
+    there are at most two such keys a task, and only their names reach the driver."""
+    share = max(1, total // (2 * shuffle_partitions(rows.sparkSession)))
+    salts: dict[int, list] = {}
+    for name, n in values.filter(F.col("rows") > share).select(key, "rows").collect():
+        salts.setdefault(1 << (-(-n // share) - 1).bit_length(), []).append(name)
+    dealt, copies = F.lit(0), F.array(F.lit(0))
+    for n, names in salts.items():
+        hot = F.col(key).isin(names)
+        dealt = F.when(hot, F.pmod(F.xxhash64(*rows.columns), F.lit(n)).cast("int")).otherwise(dealt)
+        copies = F.when(hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(copies)
+    return rows.withColumn("salt", dealt).join(
+        values.select(key, "first", F.explode(copies).alias("salt")), [key, "salt"]).drop("salt")
 
 
 def _dropped(lines: DataFrame, firsts: DataFrame, place: Column) -> DataFrame:

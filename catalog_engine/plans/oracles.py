@@ -433,6 +433,10 @@ SELECT year, count(*) AS release_count FROM prep WHERE year IS NOT NULL GROUP BY
 ORACLES["q_gem_per_year"] = with_base(select="""
 SELECT year, round(avg(gem_value), 6) AS average_gem_value FROM prep
 WHERE year IS NOT NULL AND gem_value IS NOT NULL GROUP BY year ORDER BY year""")
+ORACLES["q_gem_per_year_clustered"] = with_base(select=f"""
+SELECT year, round(avg(gem_value), 6) AS average_gem_value FROM prep
+WHERE year BETWEEN {Q.CLUSTERED_YEARS[0]} AND {Q.CLUSTERED_YEARS[1]} AND gem_value IS NOT NULL
+  AND list_contains(string_split(style, ', '), '{Q.EXCLUDED_STYLE}') GROUP BY year ORDER BY year""")
 ORACLES["q_label_trend"] = with_base(LABELS, """top AS (
   SELECT label_name FROM label_stats ORDER BY round(popularity_score, 9) DESC, label_name ASC LIMIT 10)""",
                                      select="""

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import round_to
 from ..operators import aggregates as AG
+from ..operators import clustered as CL
 from ..operators import distributions as D
 from ..operators import etl as ET
 from ..operators import positions as PO
@@ -37,6 +38,7 @@ SEARCH = dict(genres=["MEDIUM"], formats=["R"], year="1996-1998", sort="rating",
 SEARCH_PAGE = 2
 DEEP_PAGE = 12
 SAMPLE_POINTS = 500
+CLUSTERED_YEARS = (1995, 1996)
 LEADERBOARD_FILTER = dict(query="order 1", genre="MEDIUM", year_min="1996", year_max="1999")
 
 # Scores that agree to this many decimals are ties in the queries, because two
@@ -438,6 +440,13 @@ def q_gem_per_year(spark, d):
     return rounded(TR.gem_per_year(prep(spark, d)))
 
 
+@query("q_gem_per_year_clustered")
+def q_gem_per_year_clustered(spark, d):
+    """Gem value per year of one style in a range of years: row groups outside are skipped."""
+    path = TB.written(spark, d, "clustered", lambda p: CL.write_clustered(prep(spark, d), p))
+    return rounded(TR.gem_per_year(CL.clustered_rows(spark, path, CLUSTERED_YEARS, EXCLUDED_STYLE)))
+
+
 @query("q_label_trend")
 def q_label_trend(spark, d):
     return TR.label_trend(prep(spark, d), digits=TIE_DIGITS)

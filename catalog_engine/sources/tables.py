@@ -190,7 +190,7 @@ def interacted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", "user_id").select(F.col("user_id").alias("id")).distinct()
 
 
-_CODE_FILES = ["sources/tables.py", "operators/positions.py", "operators/prep.py", "operators/etl.py", "functions/scores.py",
+_CODE_FILES = ["sources/tables.py", "operators/positions.py", "operators/clustered.py", "operators/prep.py", "operators/etl.py", "functions/scores.py",
                "functions/numeric.py", "functions/nested.py", "functions/text.py", "schemas.py"]
 
 

@@ -74,3 +74,10 @@ def test_long_text_and_empty_table(spark):
     x = R.repetition_rules(frame(spark, [(1, t)])).first()
     assert x.n_words == 60_000 and x.kept
     assert R.repetition_rules(frame(spark, [])).count() == 0 and R.with_verdict(frame(spark, [])).count() == 0
+
+
+def test_short_text_with_a_repeated_line_stays(spark):
+    line = prose(11, 12, 10**6)
+    text = "\n".join([line, prose(12, 40, 10**6), line, prose(13, 36, 10**6)])
+    x = R.repetition_rules(frame(spark, [(1, text)])).first()
+    assert (x.n_words, x.covered_words, x.base_failed, x.kept) == (100, 24, False, True)

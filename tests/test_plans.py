@@ -64,3 +64,9 @@ def test_top_n_broadcast_is_bounded(spark):
     p = plan(QUERIES["q_label_trend"](spark, SF_SMALL))
     assert "BroadcastExchange" in p
     assert "TakeOrderedAndProject(limit=10" in p
+
+
+def test_lines_reach_their_order_without_collected_buffers(spark):
+    p = plan(TB.order_facts(spark, SF_SMALL))
+    dealt = [x for x in p.splitlines() if "hashpartitioning(l_orderkey" in x]
+    assert any("REPARTITION_BY_COL" in x for x in dealt) and "collect_set" not in p

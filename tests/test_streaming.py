@@ -107,3 +107,16 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     ingest_stream(spark, src, store, ckpt)                 # restart replays the batch
     after = sorted(r["id"] for r in read_store(spark, store).collect())
     assert after == before == list(range(12))
+
+
+def test_drops_are_small_compressed_files(spark, tmp, monkeypatch):
+    from catalog_engine.sources.tables import payload_store
+    from catalog_engine.streaming import ingest
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(ingest, "RECORDS_PER_FILE", 500, raising=False)
+    ingest.deliver_drops(spark, sf, f"{tmp}/in", "second")
+    files = [f for f in os.listdir(f"{tmp}/in/second") if f.startswith("part-")]
+    assert len(files) > 1 and all(f.endswith(".json.gz") for f in files)
+    whole = payload_store(spark, sf).filter("released IS NULL OR released >= '1997-07-01'")
+    rows = lambda df: sorted(map(repr, normalise_payloads(df).collect()))
+    assert rows(read_payloads(spark, f"{tmp}/in/second")) == rows(whole)

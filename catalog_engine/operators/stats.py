@@ -67,18 +67,22 @@ def corr_with(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 
 def moments(df: DataFrame, cols: list[str]):
     """n, column means and the centred cross-product matrix S of the non-null
-    rows, in one scan: covariances are kept as centred co-moments (count, means,
-    cross product) that merge across tasks, so large offsets cost no digits."""
+    rows, in two scans: the means, then plain sums of the products of what is
+    left of each column beside its mean, so large offsets cost no digits. Sums
+    of products cost a row far less than p (p + 1) / 2 merged covariances."""
     d = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
     p = len(cols)
-    r = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"c{i}").alias(f"m{i}") for i in range(p)],
-              *[F.covar_pop(f"c{i}", f"c{j}").alias(f"s_{i}_{j}") for i in range(p) for j in range(i, p)]).first()
-    n = int(r["n"])
+    first = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"c{i}").alias(f"m{i}") for i in range(p)]).first()
+    n, mean = int(first["n"]), [first[f"m{i}"] or 0.0 for i in range(p)]
+    e = d.select(*[(F.col(f"c{i}") - F.lit(float(mean[i]))).alias(f"e{i}") for i in range(p)])
+    r = e.agg(*[F.sum(f"e{i}").alias(f"d{i}") for i in range(p)],
+              *[F.sum(F.col(f"e{i}") * F.col(f"e{j}")).alias(f"s_{i}_{j}") for i in range(p) for j in range(i, p)]).first()
+    left = [r[f"d{i}"] or 0.0 for i in range(p)]  # what rounding of the means leaves
     S = np.zeros((p, p))
     for i in range(p):
         for j in range(i, p):
-            S[i, j] = S[j, i] = n * (r[f"s_{i}_{j}"] or 0.0)
-    return n, np.array([r[f"m{i}"] or 0.0 for i in range(p)], dtype=float), S
+            S[i, j] = S[j, i] = (r[f"s_{i}_{j}"] or 0.0) - (left[i] * left[j] / n if n else 0.0)
+    return n, np.array(mean, dtype=float), S
 
 
 def _vif_values(n: int, mean: np.ndarray, S: np.ndarray) -> list[float]:

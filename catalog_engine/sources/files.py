@@ -66,10 +66,15 @@ def as_records(df: DataFrame) -> DataFrame:
                         else F.col(f.name).cast("string")).alias(f.name) for f in df.schema.fields])
 
 
-def export_records(df: DataFrame, path: str, fmt: str = "json") -> None:
+#: Records in an exported file; a compressed file is read whole by one task.
+RECORDS_PER_FILE = 200_000
+
+
+def export_records(df: DataFrame, path: str, fmt: str = "json", compression: str = "gzip") -> None:
     """Export all releases as string-valued records (JSON lines, or CSV with a
-    header and quotes doubled inside values)."""
-    w = as_records(df).write.mode("overwrite")
+    header and quotes doubled inside values), compressed unless `compression` is
+    'none'."""
+    w = as_records(df).write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", RECORDS_PER_FILE)
     if fmt == "csv":
         w.option("header", True).option("escape", '"').csv(path)
     else:

@@ -66,3 +66,17 @@ def test_write_csv(spark, tmp):
     df = spark.range(5).select(F.col("id"), (F.col("id") * 2).alias("x"))
     FS.write_csv(df, f"{tmp}/out")
     assert spark.read.option("header", True).csv(f"{tmp}/out").count() == 5
+
+
+def test_exports_are_compressed_files_of_bounded_size(spark, tmp, monkeypatch):
+    import os
+    monkeypatch.setattr(FS, "RECORDS_PER_FILE", 100)
+    store = release_store(spark, SF_SMALL).select("id", "title", "labels").coalesce(1)
+    want = sorted(map(tuple, FS.as_records(store).collect()))
+    for fmt in ("json", "csv"):
+        FS.export_records(store, f"{tmp}/{fmt}", fmt)
+        parts = [f for f in os.listdir(f"{tmp}/{fmt}") if f.startswith("part-")]
+        assert len(parts) == -(-len(want) // 100) and all(f.endswith(".gz") for f in parts)
+        reader = spark.read.schema("id string, title string, labels string")
+        back = reader.json(f"{tmp}/{fmt}") if fmt == "json" else reader.option("header", True).option("escape", '"').csv(f"{tmp}/{fmt}")
+        assert sorted(map(tuple, back.collect())) == want

@@ -48,6 +48,18 @@ def test_small_caches_change_nothing(both, monkeypatch):
     assert all(mine.encode(t).tolist() == lib.encode(t) for t in samples(200))
 
 
+def test_words_of_a_task_are_cut_once(both):
+    """A task's documents have some hundred thousand different words; those that come again are known."""
+    _, lib = both
+    mine, r = B.PieceBpe(B.read_model(PIECE_MODEL)), random.Random(3)
+    words = list({"".join(r.choices("abcdefghiklmnoprstu", k=6)) for _ in range(200_000)})
+    text, cut = " ".join(words), []
+    ids, word = mine.encode(text), mine._word
+    mine._word = lambda w: cut.append(w) or word(w)
+    assert (mine.encode(text) == ids).all() and not cut
+    assert ids[:1000].tolist() == lib.encode(text)[:1000]
+
+
 def test_whole_table(spark, documents, both):
     _, lib = both
     got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op4_piece_bpe(spark, "/root/testdata/sf0.001").collect()}

@@ -49,3 +49,30 @@ def test_hosts_in_capitals_and_odd_durations(spark):
     got = df.select(youtube_links("videos").alias("y"), F.round(total_duration_min("tracklist") * 60).alias("s")).first()
     assert got["y"] == "https://WWW.YouTube.com/a, https://youtube.com/b"
     assert got["s"] == 90 - 60 + 5
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files_and_no_settings(spark, tmp_path):
+    before, conf = _shuffle_files(spark), spark.conf.getAll
+    TB.publish(spark, lambda p: spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 9).alias("k")).count()
+               .orderBy("k").write.parquet(p), str(tmp_path))
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.getAll == conf
+
+
+def test_collected_lines_are_dealt_out_once(spark):
+    """Customers and nations meet the orders, not the orders' collected lines."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = TB.order_facts(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    (at,) = [i for i, x in enumerate(plan) if "ObjectHashAggregate" in x and "partial_" not in x]
+    above = [x for i, x in enumerate(plan[:at]) if "Exchange" in x and all(depth(y) > depth(x) for y in plan[i + 1:at + 1])]
+    assert above == []

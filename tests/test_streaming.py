@@ -120,3 +120,35 @@ def test_drops_are_small_compressed_files(spark, tmp, monkeypatch):
     whole = payload_store(spark, sf).filter("released IS NULL OR released >= '1997-07-01'")
     rows = lambda df: sorted(map(repr, normalise_payloads(df).collect()))
     assert rows(read_payloads(spark, f"{tmp}/in/second")) == rows(whole)
+
+
+def test_a_batch_is_parsed_into_files_that_go(spark, tmp, monkeypatch):
+    from catalog_engine.streaming import ingest
+    write_drop(f"{tmp}/in", "drop1.json", [payload(i) for i in range(12)] + [payload(3, title="again")])
+    seen, append = [], ingest.append_to_buckets
+
+    def watched(rows, *args):
+        seen.append((rows.storageLevel.useMemory, all(f"{tmp}/ckpt/" in f for f in rows.inputFiles()), rows.count()))
+        append(rows, *args)
+    monkeypatch.setattr(ingest, "append_to_buckets", watched)
+    ingest.ingest_stream(spark, f"{tmp}/in", f"{tmp}/store", f"{tmp}/ckpt")
+    assert seen == [(False, True, 13)]
+    assert os.listdir(f"{tmp}/ckpt/parsed") == []
+    assert sorted(r["id"] for r in read_store(spark, f"{tmp}/store").collect()) == list(range(12))
+
+
+def test_a_drop_goes_when_it_is_ingested(spark, tmp, monkeypatch):
+    from catalog_engine.operators.partials import read_partials
+    from catalog_engine.sources.tables import payload_store
+    from catalog_engine.streaming import ingest
+    there, deliver = [], ingest.deliver_drops
+
+    def watched(spark, sf_dir, src, which):
+        there.append(os.listdir(src) if os.path.exists(src) else [])
+        deliver(spark, sf_dir, src, which)
+    monkeypatch.setattr(ingest, "deliver_drops", watched)
+    sf = "/root/testdata/sf0.001"
+    ingest.ingest_drops_to_partials(spark, sf, f"{tmp}/parts")
+    assert there == [[], []]
+    n = read_partials(spark, f"{tmp}/parts").filter("family = 'lead_artist'").agg(F.sum("n")).first()[0]
+    assert n == payload_store(spark, sf).count()

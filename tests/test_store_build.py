@@ -76,3 +76,13 @@ def test_collected_lines_are_dealt_out_once(spark):
     (at,) = [i for i, x in enumerate(plan) if "ObjectHashAggregate" in x and "partial_" not in x]
     above = [x for i, x in enumerate(plan[:at]) if "Exchange" in x and all(depth(y) > depth(x) for y in plan[i + 1:at + 1])]
     assert above == []
+
+
+def test_stores_and_ranked_tables_are_written_small(spark, tmp_path):
+    import os
+    from catalog_engine.operators.positions import Ranked, write_ranked
+    made = TB._materialised(spark, SF_SMALL, f"small-{tmp_path.name}", lambda: spark.range(20))
+    write_ranked(spark.range(20), [F.col("id").desc()], str(tmp_path / "ranked"), 2)
+    files = made.inputFiles() + [f for _, _, names in os.walk(tmp_path / "ranked" / "rows") for f in names if f.startswith("part-")]
+    assert len(files) > 2 and all(f.endswith(".zstd.parquet") for f in files)
+    assert [r["id"] for r in Ranked(spark, str(tmp_path / "ranked")).page(2, 5).collect()] == [14, 13, 12, 11, 10]

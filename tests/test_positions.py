@@ -92,6 +92,19 @@ def test_trigram_candidates_lose_nothing(spark, index, query):
         assert found.count() < 1500
 
 
+def test_rows_of_postings_are_short_and_whole(spark, tmp_path):
+    """A token that all rows share is read in short rows, in the order of the places."""
+    df = spark.range(5000).select("id", F.when(F.col("id") % 7 == 0, "rare, all").otherwise("all").alias("genre"))
+    PO.write_index(df, [F.col("id").asc()], {"genre": F.split("genre", ", ")}, str(tmp_path / "i"), 3)
+    rows = spark.read.schema(PO.POSTINGS).parquet(f"{tmp_path}/i/postings").collect()
+    assert max(len(r.places) for r in rows) <= 1024 and all(r.places == sorted(r.places) for r in rows)
+    assert {t: sorted(x for r in rows if r.token == t for x in r.places) for t in ("all", "rare")} == {
+        "all": list(range(5000)), "rare": list(range(0, 5000, 7))}
+    terms = [("genre", ["all"]), ("genre", ["rare"])]
+    assert PO.search_total(spark, f"{tmp_path}/i", terms).first()[0] == 715
+    assert [r.id for r in PO.search_page(spark, f"{tmp_path}/i", terms, 20, 20).orderBy("position").collect()] == list(range(7 * 380, 7 * 400, 7))
+
+
 def test_grams(spark):
     df = spark.createDataFrame([("abcd",), ("ab",), ("",), (None,), ("𝄞éxé𝄞éx",)], "t string")
     got = {r.t: r.g for r in df.select("t", PO.grams(F.col("t")).alias("g")).collect()}
